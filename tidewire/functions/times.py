@@ -67,7 +67,7 @@ def window_start(as_of: Column, days: int) -> Column:
 
 def trade_date(c: Column) -> Column:
     """Strict `yyyy-MM-dd HH:mm:ss` to date; malformed text is an error."""
-    return F.to_date(F.to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")))
+    return F.to_date(F.to_timestamp(c, "yyyy-MM-dd HH:mm:ss"))
 
 
 def duration_ms(started: Column, finished: Column) -> Column:

@@ -26,6 +26,17 @@ def _minutes(n: int) -> Column:
     return F.expr(f"interval {int(n)} minutes")
 
 
+def _tagged(kind: str, values: Column) -> Column:
+    """Array of values to array of (kind, value)."""
+    return F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+
+
+def definition_items(definitions: DataFrame) -> DataFrame:
+    """List entries of seed definitions as (seed_set_name, kind, value), without the homepage flag."""
+    lists = F.concat(*[_tagged(kind, F.col(column)) for kind, column in SEED_KINDS.items()])
+    return definitions.select(F.col("name").alias("seed_set_name"), F.inline(lists))
+
+
 def manual_items(definitions: DataFrame) -> DataFrame:
     """Literal lists of seed definitions as (name, kind, value) rows; one pass, no unions."""
     homepage = F.when(F.col("discover_homepage"), F.array(F.lit("true"))).otherwise(F.array().cast("array<string>"))
@@ -33,11 +44,7 @@ def manual_items(definitions: DataFrame) -> DataFrame:
     lists = [(HOMEPAGE_KIND, homepage)] + [
         (kind, F.coalesce(F.col(column), none)) for kind, column in SEED_KINDS.items()
     ]
-    tagged = [
-        F.transform(values, lambda v, kind=kind: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
-        for kind, values in lists
-    ]
-    return definitions.select("name", F.inline(F.concat(*tagged)))
+    return definitions.select("name", F.inline(F.concat(*[_tagged(kind, values) for kind, values in lists])))
 
 
 def stock_universe_items(

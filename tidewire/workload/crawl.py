@@ -1 +1,209 @@
-"""Test-table bindings."""
+"""Task expansion, frontier, listings and run statistics over the test tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidewire.operators import frontier as FR
+from tidewire.operators import listing, runs
+from tidewire.sources import forum, video
+from tidewire.workload import views as V
+from tidewire.workload.registry import Tables, query
+
+POLICY = FR.FreshnessPolicy()
+
+
+def seeds(t: Tables) -> DataFrame:
+    """One seed per part, with values for every kind."""
+    key = F.col("p_partkey").cast("string")
+    none = F.array().cast("array<string>")
+    return t.part.select(
+        F.concat(F.lit("s"), key).alias("name"),
+        (F.col("p_size") > 25).alias("discover_homepage"),
+        F.array(F.concat(F.lit("https://xueqiu.com/1/"), key, F.lit("/"))).alias("post_urls"),
+        F.array(F.concat(F.lit("av"), key), F.lit("junk")).alias("bilibili_video_targets"),
+        F.array(key, F.lit("https://x.y/")).alias("bilibili_space_urls"),
+        F.split("p_name", " ").alias("stock_ids"),
+        F.array("p_brand").alias("topic_ids"),
+        none.alias("user_ids"),
+    )
+
+
+@query(
+    "task_expansion",
+    """WITH p AS (SELECT 's' || p_partkey AS seed_name, * FROM part)
+SELECT seed_name, 'xueqiu' AS source, 'discover' AS kind, 'https://xueqiu.com/' AS url, 100 AS priority, 'homepage' AS seed_kind, NULL AS item FROM p WHERE p_size > 25
+UNION ALL SELECT seed_name, 'xueqiu', 'fetch_post', 'https://xueqiu.com/1/' || p_partkey, 200, 'post_url', NULL FROM p
+UNION ALL SELECT seed_name, 'xueqiu', 'discover', 'https://xueqiu.com/query/v1/symbol/search/status.json?count=20&comment=0&symbol=' || w || '&hl=0&source=all&sort=time&page=1&q=&type=90', 120, 'stock', w
+  FROM (SELECT seed_name, unnest(string_split(p_name, ' ')) AS w FROM p)
+UNION ALL SELECT seed_name, 'xueqiu', 'discover', 'https://xueqiu.com/k?q=' || replace(p_brand, '#', '%23'), 120, 'topic', p_brand FROM p
+UNION ALL SELECT seed_name, 'bilibili', 'fetch_post', 'https://www.bilibili.com/video/av' || p_partkey, 200, NULL, 'av' || p_partkey FROM p
+UNION ALL SELECT seed_name, 'bilibili', 'discover', 'https://space.bilibili.com/' || p_partkey, 120, 'space', CAST(p_partkey AS VARCHAR) FROM p""",
+)
+def task_expansion(t: Tables) -> DataFrame:
+    s = seeds(t)
+    tasks = forum.expand(s).unionByName(video.expand(s))
+    meta = F.col("metadata")
+    item = F.coalesce(meta["stock_id"], meta["topic_id"], meta["user_id"], meta["video_target"], meta["mid"])
+    return tasks.select("seed_name", "source", "kind", "url", "priority", meta["seed_kind"].alias("seed_kind"), item.alias("item"))
+
+
+@query(
+    "comment_tasks",
+    f"""WITH p AS ({V.POSTS_SQL})
+SELECT 'xueqiu' AS source, 'https://xueqiu.com/statuses/comments.json?id=' || source_entity_id || '&count=20&page=1' AS url, 300 AS priority,
+  source_entity_id AS post_id, NULL AS owner_mid FROM p
+UNION ALL SELECT 'bilibili', 'https://api.bilibili.com/x/v2/reply/main?oid=' || source_entity_id || '&type=1&mode=3&pn=1&ps=30&next=0', 300, source_entity_id, author_entity_id FROM p""",
+)
+def comment_tasks(t: Tables) -> DataFrame:
+    posts = V.posts(t).withColumn("seed_name", F.lit("s"))
+    tasks = forum.comment_tasks(posts).unionByName(video.comment_tasks(posts))
+    return tasks.select(
+        "source", "url", "priority", F.col("metadata")["post_id"].alias("post_id"), F.col("metadata")["owner_mid"].alias("owner_mid")
+    )
+
+
+_QUEUE = "ORDER BY priority DESC, pubdate DESC, seq"
+
+
+@query(
+    "frontier_order",
+    f"WITH f AS ({V.FRONTIER_SQL}) SELECT seq, url, priority, row_number() OVER ({_QUEUE}) AS queue_pos FROM f",
+)
+def frontier_order(t: Tables) -> DataFrame:
+    ordered = FR.in_queue_order(V.frontier(t)).select("seq", "url", "priority")
+    return FR.with_positions(ordered)
+
+
+_GATED_SQL = f"""f AS ({V.FRONTIER_SQL}), s AS ({V.URL_STATE_SQL}),
+aged AS (SELECT f.*, CASE WHEN kind IN ('discover', 'refresh_comments') THEN 60 ELSE 360 END AS age FROM f),
+open AS (SELECT a.*, s.first_seen_at AS old_first, s.last_status AS old_status FROM aged a LEFT JOIN s USING (url)
+  WHERE s.last_fetched_at IS NULL OR s.last_fetched_at < {V.AS_OF_SQL} - to_minutes(age)),
+won AS (SELECT * FROM open QUALIFY row_number() OVER (PARTITION BY url {_QUEUE}) = 1)"""
+
+
+@query(
+    "frontier_claim",
+    f"WITH {_GATED_SQL} SELECT seq, url, kind, seq IN (SELECT seq FROM won) AS claimed FROM f",
+)
+def frontier_claim(t: Tables) -> DataFrame:
+    tasks = FR.claim(V.frontier(t), V.url_state(t), now=V.as_of(), policy=POLICY)
+    return tasks.select("seq", "url", "kind", "claimed")
+
+
+@query(
+    "frontier_claim_state",
+    f"""WITH {_GATED_SQL} SELECT url, source, kind, seed_name, coalesce(old_first, {V.AS_OF_SQL}) AS first_seen_at,
+  {V.AS_OF_SQL} AS last_seen_at, {V.AS_OF_SQL} AS last_fetched_at, old_status AS last_status FROM won""",
+)
+def frontier_claim_state(t: Tables) -> DataFrame:
+    winners = FR.claim_winners(V.frontier(t), V.url_state(t), now=V.as_of(), policy=POLICY)
+    return FR.claimed_state(winners, now=V.as_of())
+
+
+@query(
+    "frontier_policy",
+    f"""WITH f AS ({V.FRONTIER_SQL}) SELECT source, kind, seed_kind, CASE WHEN kind = 'discover' AND source = 'bilibili' AND seed_kind = 'space' THEN 45
+  WHEN kind IN ('discover', 'refresh_comments') THEN 30 ELSE 360 END AS min_age, count(*) AS tasks FROM f GROUP BY ALL""",
+)
+def frontier_policy(t: Tables) -> DataFrame:
+    policy = FR.FreshnessPolicy(comment_refresh=30, space_discovery=45)
+    return V.frontier(t).groupBy(
+        "source", "kind", F.col("metadata")["seed_kind"].alias("seed_kind"), FR.min_age_minutes(policy).alias("min_age")
+    ).agg(F.count("*").alias("tasks"))
+
+
+# Listings: an event is a video seen on a page of its user's list; errors are search hits.
+_VIDEO_SQL = """
+SELECT CAST(user_id AS VARCHAR) AS mid, CASE WHEN event_type = 'error' THEN 'search' ELSE 'space' END AS section, event_id AS page_no,
+  pos, 'BV' || (event_id % 13 * 2 + pos) AS bvid, CASE WHEN event_id % 5 > 0 THEN event_id % 5 END AS aid,
+  CASE WHEN pos = 0 THEN event_id + 1 END AS pubdate_ts, pos = 1 AND event_type = 'error' AND event_id % 2 = 0 AS other
+FROM events, (SELECT unnest([0, 1]) AS pos)"""
+
+
+def listing_payloads(t: Tables) -> DataFrame:
+    """One listing page per event with two videos; on even search pages the second has another owner."""
+    user, event = F.col("user_id").cast("string"), F.col("event_id")
+    search = F.col("event_type") == "error"
+    def hit(pos: int):
+        mid = user if pos == 0 else F.when(event % 2 == 0, F.concat(user, F.lit("x"))).otherwise(user)
+        return F.struct(
+            F.concat(F.lit("BV"), (event % 13 * 2 + pos).cast("string")).alias("bvid"),
+            (event % 5).alias("aid"),
+            mid.alias("mid"),
+            (F.lit(0).cast("bigint") if pos else event + 1).alias("pubdate"),
+        )
+
+    videos = F.array(hit(0), hit(1))
+    own = F.to_json(F.struct(F.struct(F.struct(videos.alias("vlist")).alias("list")).alias("data")))
+    return t.events.select(
+        user.alias("mid"), event.alias("page_no"),
+        F.when(search, "search").otherwise("space").alias("section"),
+        F.when(search, F.to_json(videos)).otherwise(own).alias("text"),
+    )
+
+
+_LISTED = "ORDER BY section = 'search', page_no, pos"
+
+
+@query(
+    "space_videos",
+    f"""WITH v AS ({_VIDEO_SQL}) SELECT mid, bvid, section, page_no, pos, aid, pubdate_ts FROM v WHERE NOT other
+QUALIFY row_number() OVER (PARTITION BY mid, bvid {_LISTED}) = 1""",
+)
+def space_videos(t: Tables) -> DataFrame:
+    return video.space_videos(video.listing_rows(listing_payloads(t)))
+
+
+@query(
+    "space_top_n",
+    f"""WITH v AS ({_VIDEO_SQL}), capped AS (SELECT * FROM v WHERE NOT other QUALIFY row_number() OVER (PARTITION BY mid, section {_LISTED}) <= 5)
+SELECT mid, bvid, section, page_no, pos FROM capped QUALIFY row_number() OVER (PARTITION BY mid, bvid {_LISTED}) = 1""",
+)
+def space_top_n(t: Tables) -> DataFrame:
+    rows = video.space_videos(video.listing_rows(listing_payloads(t)), max_per_section=5)
+    return rows.select("mid", "bvid", "section", "page_no", "pos")
+
+
+_PAGES_SQL = "SELECT user_id AS post, event_id // 1000 AS page, event_id % 3 AS rpid, event_id FROM events"
+
+
+@query(
+    "page_dedupe",
+    f"""WITH r AS ({_PAGES_SQL}), fresh AS (SELECT post, rpid, min(page) AS page FROM r GROUP BY ALL),
+pages AS (SELECT post, page, count(DISTINCT rpid) AS ids FROM r GROUP BY ALL),
+counts AS (SELECT p.post, p.page, p.ids, count(f.rpid) AS new_ids FROM pages p LEFT JOIN fresh f USING (post, page) GROUP BY ALL),
+stops AS (SELECT post, min(page) AS stop FROM counts WHERE new_ids = 0 GROUP BY post)
+SELECT r.post, r.page, r.rpid, r.event_id FROM r LEFT JOIN stops USING (post) WHERE stop IS NULL OR r.page < stop""",
+)
+def page_dedupe(t: Tables) -> DataFrame:
+    rows = t.events.select(
+        F.col("user_id").alias("post"), F.expr("event_id div 1000").alias("page"), (F.col("event_id") % 3).alias("rpid"), "event_id"
+    )
+    return listing.until_repeated_page(rows, ["post"], "rpid")
+
+
+@query(
+    "run_stats",
+    f"""WITH e AS (SELECT 'run-' || strftime(ts, '%Y-%m-%d') AS run_id, 'seed' || (user_id % 5) AS seed_name, event_type, user_id, event_id,
+  event_type <> 'signup' AS page, event_id % 4 <> 0 AS claimed FROM events)
+SELECT run_id, count(DISTINCT seed_name) AS seeds_processed, count(*) AS tasks_enqueued, count(*) FILTER (claimed AND page) AS pages_fetched,
+  coalesce(sum(user_id % 2) FILTER (claimed AND page), 0)::BIGINT AS posts_written, coalesce(sum(event_id % 9) FILTER (claimed AND NOT page), 0)::BIGINT AS comments_written,
+  count(*) FILTER (claimed AND page) AS authors_written, count(*) FILTER (claimed AND page AND event_type = 'error') AS blocked_responses,
+  count(*) FILTER (claimed AND page AND event_type = 'error') AS errors, count(*) FILTER (NOT claimed) AS skipped_tasks FROM e GROUP BY run_id""",
+)
+def run_stats(t: Tables) -> DataFrame:
+    user, event, kind = F.col("user_id"), F.col("event_id"), F.col("event_type")
+    tasks = t.events.select(
+        F.concat(F.lit("run-"), F.date_format("ts", "yyyy-MM-dd")).alias("run_id"),
+        F.concat(F.lit("seed"), (user % 5).cast("string")).alias("seed_name"),
+        F.when(kind == "signup", "refresh_comments").otherwise("fetch_post").alias("kind"),
+        (event % 4 != 0).alias("claimed"),
+        (kind == "error").alias("blocked"),
+        F.when(kind == "error", 1).otherwise(0).alias("errors"),
+        (user % 2).alias("posts"),
+        (event % 9).alias("comments"),
+        F.lit(1).alias("authors"),
+    )
+    return runs.run_stats(tasks)

@@ -1 +1,224 @@
-"""Test-table bindings."""
+"""Seed generators, compilation and catalog checks over the test tables."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidewire.operators import seeds as S
+from tidewire.operators.upsert import touch_seed_items
+from tidewire.sources.datasets import ranking_rows
+from tidewire.workload import views as V
+from tidewire.workload.registry import Tables, query
+
+
+@query(
+    "stock_universe",
+    f"""WITH u AS ({V.UNIVERSE_SQL}) SELECT 'stock_id' AS kind, stock_id AS value FROM u
+WHERE market IN ('ECONOMY', 'STANDARD', 'PROMO') AND board IN ('Brand#1', 'Brand#2', 'Brand#12', 'Brand#17')
+  AND (starts_with(stock_id, 'Brand1') OR starts_with(stock_id, 'Brand2-'))
+  AND NOT list_has_any(tags, ['red', 'small']) ORDER BY stock_id LIMIT 50""",
+)
+def stock_universe(t: Tables) -> DataFrame:
+    return S.stock_universe_items(
+        V.universe(t),
+        markets=("ECONOMY", "STANDARD", "PROMO"),
+        boards=("Brand#1", "Brand#2", "Brand#12", "Brand#17"),
+        prefixes=("Brand1", "Brand2-"),
+        exclude_tags=("red", "small"),
+        limit=50,
+    )
+
+
+@query(
+    "stock_universe_tagged",
+    f"""WITH u AS ({V.UNIVERSE_SQL}) SELECT 'stock_id' AS kind, stock_id AS value FROM u
+WHERE list_has_any(tags, ['red', 'ring'])""",
+)
+def stock_universe_tagged(t: Tables) -> DataFrame:
+    return S.stock_universe_items(V.universe(t), include_tags=("red", "ring"))
+
+
+@query(
+    "ranking_top_n",
+    f"""WITH r AS ({V.RANKING_SQL}), kept AS (
+SELECT stock_id, trade_date, coalesce(rank, 999999) AS r FROM r
+WHERE trade_date >= DATE '1996-01-01' AND trade_date >= DATE '2001-07-31' - 29 AND market IN ('A', 'R') AND ranking_mode = 'O'),
+best AS (SELECT stock_id, min((-(trade_date - DATE '1970-01-01'), r)) AS k FROM kept GROUP BY stock_id)
+SELECT 'stock_id' AS kind, stock_id AS value FROM best ORDER BY k, stock_id LIMIT 50""",
+)
+def ranking_top_n(t: Tables) -> DataFrame:
+    return S.ranking_items(
+        V.ranking(t),
+        as_of=datetime(2001, 7, 31, 12),
+        since_date=date(1996, 1, 1),
+        days_window=30,
+        markets=("A", "R"),
+        ranking_modes=("O",),
+        top_n=50,
+    )
+
+
+
+@query(
+    "ranking_page_parse",
+    """SELECT l_orderkey || '/' || l_linenumber || '/' || l_partkey AS page, 'SH' || l_partkey AS stock_id, CAST(l_shipdate AS DATE) AS trade_date,
+  'SH' AS market, CASE WHEN l_tax > 0.04 THEN 'net_sell' ELSE 'net_buy' END AS ranking_mode, 1 AS rank FROM lineitem
+UNION ALL SELECT l_orderkey || '/' || l_linenumber || '/' || l_partkey, 'SZ' || l_suppkey, CAST(l_shipdate AS DATE), 'SZ', 'net_sell', 3 FROM lineitem""",
+)
+def ranking_page_parse(t: Tables) -> DataFrame:
+    """One ranking page per line item: a row, a row without code (skipped), a row without amount."""
+    day = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")
+
+    def row(code, suffix: str, amount):
+        return F.struct(
+            code.cast("string").alias("SECURITY_CODE"),
+            F.lit(suffix).alias("MARKET_SUFFIX"),
+            day.alias("TRADE_DATE"),
+            amount.cast("double").alias("BILLBOARD_NET_AMT"),
+        )
+
+    amount = F.when(F.col("l_tax") > 0.04, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice"))
+    data = F.array(
+        row(F.col("l_partkey"), "SH", amount),
+        row(F.lit(""), "SH", amount),
+        row(F.col("l_suppkey"), "SZ", F.lit(None)),
+    )
+    payload = F.to_json(F.struct(F.struct(F.struct(data.alias("data")).alias("result")).alias("sbgg_all")))
+    pages = t.lineitem.select(
+        F.concat_ws("/", "l_orderkey", "l_linenumber", "l_partkey").alias("page"),
+        F.concat(F.lit("<script>var pagedata="), payload, F.lit(";\n</script>")).alias("text"),
+    )
+    return ranking_rows(pages, keep=("page",))
+
+
+_COMPILED_SQL = """SELECT DISTINCT logical_set_name AS seed_set_name, item_kind AS kind,
+  CASE WHEN item_kind = 'discover_homepage' THEN 'true' ELSE item_value END AS value
+FROM {items} WHERE item_kind <> 'discover_homepage' OR lower(item_value) = 'true'"""
+
+
+@query("seed_compile", f"WITH i AS ({V.SEED_ITEMS_SQL}) {_COMPILED_SQL.format(items='i')}")
+def seed_compile(t: Tables) -> DataFrame:
+    return S.compile_items(V.seed_items(t))
+
+
+def _documents(t: Tables, chunk_items: int = S.CHUNK_ITEMS) -> DataFrame:
+    items = V.seed_items(t)
+    names = items.select(F.col("logical_set_name").alias("name")).distinct()
+    return S.seed_documents(names, S.compile_items(items), V.as_of(), chunk_items)
+
+
+@query(
+    "seed_documents",
+    f"WITH i AS ({V.SEED_ITEMS_SQL}), c AS ({_COMPILED_SQL.format(items='i')}) "
+    "SELECT seed_set_name, kind, value FROM c WHERE kind <> 'discover_homepage'",
+)
+def seed_documents(t: Tables) -> DataFrame:
+    """Items to JSON documents of about 20 values each, and back to items."""
+    return S.definition_items(S.read_documents(_documents(t, chunk_items=20)))
+
+
+@query(
+    "seed_inventory",
+    f"""WITH i AS ({V.SEED_ITEMS_SQL}), c AS ({_COMPILED_SQL.format(items='i')})
+SELECT seed_set_name AS name, {V.AS_OF_SQL} AS refreshed_at, count(*) FILTER (kind = 'stock_id') AS stock_count,
+  count(*) FILTER (kind = 'topic_id') AS topic_count, count(*) FILTER (kind = 'user_id') AS user_count,
+  count(*) FILTER (kind = 'bilibili_video_target') AS bilibili_video_count,
+  count(*) FILTER (kind = 'bilibili_space_url') AS bilibili_space_count,
+  count(*) FILTER (kind = 'post_url') AS post_url_count FROM c GROUP BY seed_set_name""",
+)
+def seed_inventory(t: Tables) -> DataFrame:
+    return S.seed_inventory(S.read_documents(_documents(t)))
+
+
+@query(
+    "seed_active_ttl",
+    f"""WITH i AS ({V.SEED_ITEMS_SQL}) SELECT logical_set_name, generator_name, item_kind, item_value FROM i
+WHERE last_seen_at >= {V.AS_OF_SQL} - INTERVAL 1440 MINUTE""",
+)
+def seed_active_ttl(t: Tables) -> DataFrame:
+    kept = S.active_items(V.seed_items(t), as_of=V.as_of(), ttl_minutes=1440)
+    return kept.drop("first_seen_at", "last_seen_at")
+
+
+def _snapshots(t: Tables) -> DataFrame:
+    ts = F.col("ts").cast("timestamp")
+    return t.events.groupBy(F.col("user_id").cast("string").alias("seed_set_name")).agg(F.max(ts).alias("refreshed_at"))
+
+
+@query(
+    "seed_needs_refresh",
+    f"""WITH s AS (SELECT user_id AS name, max(ts) AS at FROM events GROUP BY user_id)
+SELECT coalesce(bool_or(s.at IS NULL OR s.at <= {V.AS_OF_SQL} - INTERVAL 60 MINUTE), FALSE) AS needs_refresh
+FROM (SELECT DISTINCT o_custkey FROM orders) o LEFT JOIN s ON s.name = o.o_custkey""",
+)
+def seed_needs_refresh(t: Tables) -> DataFrame:
+    targets = t.orders.select(F.col("o_custkey").cast("string").alias("name"))
+    return S.needs_refresh(targets, _snapshots(t), as_of=V.as_of(), refresh_minutes=60)
+
+
+@query(
+    "seed_item_upsert",
+    f"""WITH i AS ({V.SEED_ITEMS_SQL}), b AS (SELECT DISTINCT event_type AS logical_set_name, 'gen1' AS generator_name,
+  'user_id' AS item_kind, 'v' || user_id AS item_value FROM events)
+SELECT logical_set_name, generator_name, item_kind, item_value, coalesce(i.first_seen_at, {V.AS_OF_SQL}) AS first_seen_at,
+  CASE WHEN b.item_kind IS NULL THEN i.last_seen_at ELSE {V.AS_OF_SQL} END AS last_seen_at
+FROM i FULL JOIN b USING (logical_set_name, generator_name, item_kind, item_value)""",
+)
+def seed_item_upsert(t: Tables) -> DataFrame:
+    batch = t.events.select(
+        F.col("event_type").alias("logical_set_name"),
+        F.lit("gen1").alias("generator_name"),
+        F.lit("user_id").alias("item_kind"),
+        F.concat(F.lit("v"), F.col("user_id").cast("string")).alias("item_value"),
+    )
+    return touch_seed_items(V.seed_items(t), batch, V.as_of())
+
+
+@query(
+    "seed_manual_union",
+    """SELECT name, kind, value FROM (
+SELECT 'part' || p_partkey AS name, 'discover_homepage' AS kind, 'true' AS value FROM part WHERE p_size > 25
+UNION ALL SELECT 'part' || p_partkey, 'post_url', 'https://xueqiu.com/' || p_size || '/' || p_partkey FROM part
+UNION ALL SELECT 'part' || p_partkey, 'stock_id', unnest(string_split(p_name, ' ')) FROM part
+UNION ALL SELECT 'part' || p_partkey, 'user_id', p_brand FROM part)""",
+)
+def seed_manual_union(t: Tables) -> DataFrame:
+    key = F.col("p_partkey").cast("string")
+    none = F.array().cast("array<string>")
+    definitions = t.part.select(
+        F.concat(F.lit("part"), key).alias("name"),
+        (F.col("p_size") > 25).alias("discover_homepage"),
+        F.array(F.concat(F.lit("https://xueqiu.com/"), F.col("p_size").cast("string"), F.lit("/"), key)).alias("post_urls"),
+        F.lit(None).cast("array<string>").alias("bilibili_video_targets"),
+        none.alias("bilibili_space_urls"),
+        F.split("p_name", " ").alias("stock_ids"),
+        none.alias("topic_ids"),
+        F.array("p_brand").alias("user_ids"),
+    )
+    return S.manual_items(definitions)
+
+
+@query(
+    "seed_refresh_totals",
+    """SELECT count(*) AS generator_runs, coalesce(sum(user_id), 0)::BIGINT AS generated_items FROM events WHERE event_type <> 'error'""",
+)
+def seed_refresh_totals(t: Tables) -> DataFrame:
+    status = F.when(F.col("event_type") == "error", "failed").otherwise("succeeded")
+    return S.refresh_totals(t.events.select(status.alias("status"), F.col("user_id").alias("item_count")))
+
+
+@query(
+    "catalog_reference_check",
+    """WITH refs AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS name, CAST(unnest([l_partkey, l_suppkey * 400]) AS VARCHAR) AS reference FROM lineitem)
+SELECT 'duplicate set' AS problem, CAST(l_orderkey AS VARCHAR) AS name, NULL AS reference FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1
+UNION ALL SELECT 'unknown generator', name, reference FROM refs WHERE reference NOT IN (SELECT CAST(p_partkey AS VARCHAR) FROM part)""",
+)
+def catalog_reference_check(t: Tables) -> DataFrame:
+    sets = t.lineitem.select(
+        F.col("l_orderkey").cast("string").alias("name"),
+        F.array(F.col("l_partkey").cast("string"), (F.col("l_suppkey") * 400).cast("string")).alias("generators"),
+    )
+    return S.catalog_problems(sets, t.part.select(F.col("p_partkey").cast("string").alias("name")))
