@@ -65,17 +65,18 @@ class LogTable:
             body = last_by_key(body, self.keys, [_POSITION])
         body.write.mode("overwrite").parquet(f"{self.path}/log/{_BATCH}={batch_id:012d}")
 
-    def read(self) -> DataFrame:
-        """Current rows: the latest image per key."""
-        rows = self._images()
+    def read(self, before: int | None = None) -> DataFrame:
+        """Current rows: the latest image per key. `before` hides that batch and later ones, so
+        a replayed batch sees the table as it was the first time."""
+        rows = self._images(None if before is None else before - 1)
         if self.keys:
             rows = last_by_key(rows, self.keys, [_BATCH, _POSITION])
         return rows.select(*self.schema.names)
 
     def compact(self) -> int | None:
-        """Fold everything written so far into a snapshot; returns the batch it covers."""
+        """Fold everything written so far into a snapshot; returns the last batch it covers."""
         upto = max(self._batches(), default=None)
-        if upto is not None and upto != self._snapshot():
+        if upto is not None and upto not in self._snapshots():
             rows = self._images(upto)
             if self.keys:
                 rows = last_by_key(rows, self.keys, [_BATCH, _POSITION])
@@ -83,26 +84,25 @@ class LogTable:
         return upto
 
     def _images(self, upto: int | None = None) -> DataFrame:
-        full = T.StructType(
-            [T.StructField(f.name, f.dataType, True) for f in self.schema] + [T.StructField(_POSITION, T.LongType())]
-        )
-        read = self.spark.read.schema(full)
-        snapshot = self._snapshot()
-        floor = -1 if snapshot is None else snapshot
-        logs = [b for b in self._batches() if b > floor and (upto is None or b <= upto)]
-        parts = []
-        if snapshot is not None:
-            folded = T.StructType([*full.fields, T.StructField(_BATCH, T.LongType())])
-            parts.append(self.spark.read.schema(folded).parquet(f"{self.path}/snapshot/upto={snapshot:012d}"))
+        """Row images of the newest usable snapshot and the log batches after it."""
+        columns = [T.StructField(f.name, f.dataType, True) for f in self.schema]
+        full = T.StructType([*columns, T.StructField(_POSITION, T.LongType())])
+        folded = T.StructType([*full.fields, T.StructField(_BATCH, T.LongType())])
+
+        def within(batch: int) -> bool:
+            return upto is None or batch <= upto
+
+        snapshot = max(filter(within, self._snapshots()), default=-1)
+        logs = [b for b in self._batches() if b > snapshot and within(b)]
+        images = self.spark.createDataFrame([], folded)
+        if snapshot >= 0:
+            images = self.spark.read.schema(folded).parquet(f"{self.path}/snapshot/upto={snapshot:012d}")
         if logs:
+            # Batch ids are partition folders of one scan; the list names them, so no other is read.
             dirs = [f"{self.path}/log/{_BATCH}={b:012d}" for b in logs]
-            log = read.option("basePath", f"{self.path}/log").parquet(*dirs)
-            parts.append(log.withColumn(_BATCH, F.col(_BATCH).cast("bigint")))
-        if not parts:
-            return self.spark.createDataFrame([], T.StructType([*full.fields, T.StructField(_BATCH, T.LongType())]))
-        images = parts[0]
-        for part in parts[1:]:
-            images = images.unionByName(part)
+            log = self.spark.read.schema(full).option("basePath", f"{self.path}/log").parquet(*dirs)
+            log = log.withColumn(_BATCH, F.col(_BATCH).cast("bigint"))
+            images = images.unionByName(log) if snapshot >= 0 else log.select(*folded.names)
         return images
 
     def _finished(self, folder: str, prefix: str) -> list[int]:
@@ -118,5 +118,5 @@ class LogTable:
     def _batches(self) -> list[int]:
         return self._finished(f"{self.path}/log", f"{_BATCH}=")
 
-    def _snapshot(self) -> int | None:
-        return max(self._finished(f"{self.path}/snapshot", "upto="), default=None)
+    def _snapshots(self) -> list[int]:
+        return self._finished(f"{self.path}/snapshot", "upto=")

@@ -1 +1,131 @@
-"""Test-table bindings."""
+"""Streaming jobs replaying the test tables; each runs to the end and returns what it stored."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidewire.operators.frontier import FreshnessPolicy
+from tidewire.operators.seeds import active_items
+from tidewire.session import run_dir
+from tidewire.sources.tables import LogTable
+from tidewire.streaming import jobs
+from tidewire.workload import views as V
+from tidewire.workload.crawl import _GATED_SQL
+from tidewire.workload.parsing import article_pages
+from tidewire.workload.registry import Tables, query
+
+
+class _Replay(Tables):
+    """The same tables as streams; a glob, so a single file and a folder both work."""
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
+        schema = self.spark.read.parquet(self.path(name)).schema
+        return self.spark.readStream.schema(schema).parquet(f"{self.path(name)}*")
+
+
+def _replay(t: Tables) -> _Replay:
+    return _Replay(t.spark, t.sf_dir)
+
+
+@query(
+    "stream_upsert",
+    """SELECT CAST(user_id AS VARCHAR) AS source, event_type AS source_entity_id, arg_max(props, event_id) AS display_name, max(event_id) AS followers
+FROM events GROUP BY user_id, event_type""",
+)
+def stream_upsert(t: Tables) -> DataFrame:
+    home = run_dir(t.spark, "stream-upsert")
+    table = LogTable.named(t.spark, home, "authors")
+    rows = _replay(t).events.select(
+        F.col("user_id").cast("string").alias("source"),
+        F.col("event_type").alias("source_entity_id"),
+        F.col("props").alias("display_name"),
+        F.col("event_id").alias("followers"),
+        F.col("event_id").alias("seq"),
+    )
+    jobs.upsert_stream(rows, table, "seq", f"{home}/checkpoint").awaitTermination()
+    return table.read().select("source", "source_entity_id", "display_name", "followers")
+
+
+@query(
+    "stream_articles",
+    """SELECT CAST(page_id + 1000000 AS VARCHAR) AS source_entity_id, page_id % 6 AS shape FROM pages WHERE page_id % 6 IN (0, 1, 2, 4)""",
+)
+def stream_articles(t: Tables) -> DataFrame:
+    home = run_dir(t.spark, "stream-articles")
+    pages = article_pages(_replay(t)).select(
+        F.lit("xueqiu").alias("source"), F.lit("fetch_post").alias("kind"), "url", F.lit("s").alias("seed_name"),
+        F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")).alias("metadata"),
+        F.lit(200).alias("status_code"), "text",
+        F.lit(None).cast("string").alias("error_message"), F.lit(None).cast("string").alias("proxy_url"), "fetched_at",
+    )
+    jobs.ingest_articles(pages, home, f"{home}/checkpoint").awaitTermination()
+    stored = LogTable.named(t.spark, home, "posts").read()
+    key = F.col("source_entity_id").cast("bigint") - 1000000
+    return stored.select("source_entity_id", (key % 6).alias("shape"))
+
+
+@query("stream_dedupe", "SELECT DISTINCT user_id FROM events")
+def stream_dedupe(t: Tables) -> DataFrame:
+    """With a delay longer than the data, each key passes once."""
+    home = run_dir(t.spark, "stream-dedupe")
+    rows = _replay(t).events.select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    once = jobs.without_repeats(rows, "ts", ["user_id"], "400 days").select("user_id")
+    job = once.writeStream.format("parquet").option("path", f"{home}/out").option(
+        "checkpointLocation", f"{home}/checkpoint"
+    )
+    job.trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.schema("user_id bigint").parquet(f"{home}/out")
+
+
+@query(
+    "stream_activity",
+    """WITH w AS (SELECT DISTINCT user_id, time_bucket(INTERVAL 5 MINUTE, ts) + to_minutes(5 * k) AS window_end
+  FROM events, (SELECT unnest(range(1, 13)) AS k))
+SELECT window_end, count(*) AS recent_urls FROM w WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY window_end""",
+)
+def stream_activity(t: Tables) -> DataFrame:
+    home = run_dir(t.spark, "stream-activity")
+    rows = _replay(t).events.select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    counts = jobs.rolling_activity(rows, "ts", "user_id")
+    job = counts.writeStream.format("parquet").option("path", f"{home}/out").option(
+        "checkpointLocation", f"{home}/checkpoint"
+    )
+    job.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.schema("window_end timestamp, recent_urls bigint").parquet(f"{home}/out")
+
+
+@query(
+    "stream_claim",
+    f"""WITH {_GATED_SQL.replace(V.URL_STATE_SQL, 'SELECT NULL::VARCHAR AS url, NULL::TIMESTAMP AS first_seen_at, NULL::INTEGER AS last_status, NULL::TIMESTAMP AS last_fetched_at')}
+SELECT url, source, kind, seed_name, {V.AS_OF_SQL} AS last_fetched_at FROM won""",
+)
+def stream_claim(t: Tables) -> DataFrame:
+    home = run_dir(t.spark, "stream-claim")
+    state = LogTable.named(t.spark, home, "url_state")
+    jobs.claim_stream(
+        V.frontier(_replay(t)), state, f"{home}/claims", f"{home}/checkpoint", now=V.as_of, policy=FreshnessPolicy()
+    ).awaitTermination()
+    return state.read().select("url", "source", "kind", "seed_name", "last_fetched_at")
+
+
+@query(
+    "stream_ttl",
+    f"""SELECT event_type AS logical_set_name, 'v' || user_id AS item_value, min(ts) AS first_seen_at, max(ts) AS last_seen_at
+FROM events GROUP BY ALL HAVING max(ts) >= {V.AS_OF_SQL} - INTERVAL 1440 MINUTE""",
+)
+def stream_ttl(t: Tables) -> DataFrame:
+    home = run_dir(t.spark, "stream-ttl")
+    state = LogTable.named(t.spark, home, "generated_seed_items")
+    items = _replay(t).events.select(
+        F.col("event_type").alias("logical_set_name"),
+        F.lit("gen").alias("generator_name"),
+        F.lit("user_id").alias("item_kind"),
+        F.concat(F.lit("v"), F.col("user_id").cast("string")).alias("item_value"),
+        F.col("ts").cast("timestamp").alias("ts"),
+    )
+    jobs.seed_item_stream(items, state, f"{home}/checkpoint", "ts").awaitTermination()
+    kept = active_items(state.read(), as_of=V.as_of(), ttl_minutes=1440)
+    return kept.select("logical_set_name", "item_value", "first_seen_at", "last_seen_at")
