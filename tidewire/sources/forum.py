@@ -12,7 +12,7 @@ from tidewire.functions import urls as U
 from tidewire.functions.html import extract_articles, page_links
 from tidewire.functions.text import is_blank, non_empty, strip_html
 from tidewire.functions.times import lenient_variant_time
-from tidewire.sources.tasks import metadata, task_rows
+from tidewire.sources.tasks import explode_tasks, metadata, task_rows
 
 SOURCE = "xueqiu"
 
@@ -48,9 +48,7 @@ def expand(
         tasks(F.col("topic_ids"), "discover", "topic", lambda v: U.topic_url(v, base_url), lambda v: {"topic_id": v}),
         tasks(F.col("user_ids"), "discover", "user", lambda v: U.user_url(v, base_url), lambda v: {"user_id": v}),
     )
-    return seeds.select(F.col("name").alias("seed_name"), F.posexplode(lists).alias("pos", "_task")).select(
-        "_task.source", "_task.kind", "_task.url", "seed_name", "_task.priority", "_task.metadata", "pos"
-    )
+    return explode_tasks(seeds, lists)
 
 
 def is_blocked(text: Column, status: Column) -> Column:
@@ -63,6 +61,16 @@ def transport_error(url: Column, message: Column, proxy: Column) -> Column:
     return F.concat(F.lit("Fetch failed for "), url, F.lit(": "), message, via)
 
 
+def with_page(tasks: DataFrame, captured: DataFrame) -> DataFrame:
+    """Tasks with their captured page; one without a capture carries a transport error."""
+    pages = captured.where("section = 'main' and page_no = 1").drop("section", "page_no")
+    found = pages.withColumn("_found", F.lit(True))
+    joined = tasks.join(found, "url", "left")
+    missing = F.when(F.col("_found").isNull(), F.lit("no captured page")).otherwise(F.col("error_message"))
+    status = F.when(F.col("_found").isNull(), F.lit(0)).otherwise(F.col("status_code"))
+    return joined.withColumns({"error_message": missing, "status_code": status}).drop("_found")
+
+
 def classify(pages: DataFrame) -> DataFrame:
     """Add `blocked` and the `error` text of pages that failed before parsing."""
     failed = non_empty(F.col("error_message")).isNotNull()
@@ -103,16 +111,19 @@ def parse(fetched: DataFrame) -> DataFrame:
     ).drop("_text", "_html", "text")
 
 
-def discovered_tasks(outcomes: DataFrame) -> DataFrame:
-    """Links of discover pages as fetch_post tasks."""
-    return outcomes.where(F.size("links") > 0).select(
+def discover(tasks: DataFrame, captured: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Outcomes of discover tasks, and their links as fetch_post tasks."""
+    outcomes = parse(with_page(tasks, captured))
+    links = outcomes.where(F.size("links") > 0).select(
         F.lit(SOURCE).alias("source"),
         F.lit("fetch_post").alias("kind"),
         "seed_name",
         F.lit(PRIORITY["discovered"]).alias("priority"),
         metadata(discovered_from=F.col("url")).alias("metadata"),
+        F.struct(*tasks.columns).alias("parent"),
         F.posexplode("links").alias("pos", "_link"),
-    ).withColumn("url", U.http_url(F.col("_link"))).drop("_link")
+    )
+    return outcomes, links.withColumn("url", U.http_url(F.col("_link"))).drop("_link")
 
 
 def flatten_comments(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -155,3 +166,27 @@ def comment_tasks(posts: DataFrame, template: str = U.COMMENTS_TEMPLATE) -> Data
         F.lit(PRIORITY["comments"]).alias("priority"),
         metadata(post_id=F.col("source_entity_id"), canonical_url=F.col("canonical_url")).alias("metadata"),
     )
+
+
+def comments(tasks: DataFrame, captured: DataFrame) -> DataFrame:
+    """Comments of refresh tasks. A listing ends before its first failed, blocked or empty page,
+    and after the first page that announces no other."""
+    meta = F.col("metadata")
+    pages = tasks.select("url", meta["post_id"].alias("post_entity_id")).join(
+        captured.where("section = 'main'"), "url"
+    )
+    checked = classify(pages)
+    rows = flatten_comments(checked.where("error is null"), keep=("url", "page_no"))
+    counts = rows.groupBy("url", "page_no").agg(F.count("*").alias("_n"))
+    ends = (
+        checked.select("url", "page_no", (F.col("error").isNull() & has_more(F.col("text"))).alias("_more"))
+        .join(counts, ["url", "page_no"], "left")
+        .groupBy("url")
+        .agg(
+            F.min(F.when(F.col("_n").isNull(), F.col("page_no"))).alias("_before"),
+            F.min(F.when(~F.col("_more"), F.col("page_no"))).alias("_last"),
+        )
+    )
+    page = F.col("page_no")
+    kept = (F.col("_before").isNull() | (page < F.col("_before"))) & (F.col("_last").isNull() | (page <= F.col("_last")))
+    return rows.join(ends, "url").where(kept).drop("_before", "_last")

@@ -8,6 +8,7 @@ ignored because it has no _SUCCESS file.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,6 @@ from tidewire.operators.upsert import last_by_key
 from tidewire.schemas import ENTITY_TABLES, STATE_TABLES, TABLE_KEYS, conform
 
 ALL_TABLES = {**ENTITY_TABLES, **STATE_TABLES}
-_POSITION = "_pos"
 _BATCH = "_batch"
 
 
@@ -51,42 +51,36 @@ class LogTable:
     def named(cls, spark: SparkSession, root: str, name: str) -> LogTable:
         return cls(spark, f"{root.rstrip('/')}/{name}", ALL_TABLES[name], tuple(TABLE_KEYS[name]))
 
-    def append(self, rows: DataFrame, batch_id: int, position: str | None = None) -> None:
-        """Write one batch. `position` orders rows of equal key within it, last wins.
+    def append(self, rows: DataFrame, batch_id: int, order: Sequence[str] = ()) -> None:
+        """Write one batch, at most one row per key; the last in `order` wins.
 
-        Batch ids must grow. Writing the same batch again replaces it, so replays are harmless.
+        Batch ids must grow. Writing a batch again replaces it, so replays are harmless. Order
+        columns that are not part of the table are dropped.
         """
-        order = F.col(position).cast("bigint") if position else F.lit(0).cast("bigint")
-        numbered = rows.withColumn(_POSITION, order)
-        if position and position not in self.schema.names:
-            numbered = numbered.drop(position)
-        body = conform(numbered, T.StructType([*self.schema.fields, T.StructField(_POSITION, T.LongType())]))
-        if self.keys:
-            body = last_by_key(body, self.keys, [_POSITION])
-        body.write.mode("overwrite").parquet(f"{self.path}/log/{_BATCH}={batch_id:012d}")
+        if self.keys and order:
+            rows = last_by_key(rows, self.keys, order)
+        rows = conform(rows.drop(*[c for c in order if c not in self.schema.names]), self.schema)
+        rows.write.mode("overwrite").parquet(f"{self.path}/log/{_BATCH}={batch_id:012d}")
 
     def read(self, before: int | None = None) -> DataFrame:
         """Current rows: the latest image per key. `before` hides that batch and later ones, so
         a replayed batch sees the table as it was the first time."""
-        rows = self._images(None if before is None else before - 1)
-        if self.keys:
-            rows = last_by_key(rows, self.keys, [_BATCH, _POSITION])
-        return rows.select(*self.schema.names)
+        return self._merged(None if before is None else before - 1).select(*self.schema.names)
+
+    def _merged(self, upto: int | None) -> DataFrame:
+        rows = self._images(upto)
+        return last_by_key(rows, self.keys, [_BATCH]) if self.keys else rows
 
     def compact(self) -> int | None:
         """Fold everything written so far into a snapshot; returns the last batch it covers."""
         upto = max(self._batches(), default=None)
         if upto is not None and upto not in self._snapshots():
-            rows = self._images(upto)
-            if self.keys:
-                rows = last_by_key(rows, self.keys, [_BATCH, _POSITION])
-            rows.write.mode("overwrite").parquet(f"{self.path}/snapshot/upto={upto:012d}")
+            self._merged(upto).write.mode("overwrite").parquet(f"{self.path}/snapshot/upto={upto:012d}")
         return upto
 
     def _images(self, upto: int | None = None) -> DataFrame:
         """Row images of the newest usable snapshot and the log batches after it."""
-        columns = [T.StructField(f.name, f.dataType, True) for f in self.schema]
-        full = T.StructType([*columns, T.StructField(_POSITION, T.LongType())])
+        full = T.StructType([T.StructField(f.name, f.dataType, True) for f in self.schema])
         folded = T.StructType([*full.fields, T.StructField(_BATCH, T.LongType())])
 
         def within(batch: int) -> bool:

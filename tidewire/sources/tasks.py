@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions.urls import http_url
@@ -22,3 +22,19 @@ def task_rows(source: str, kind: str, url: Column, priority: int, meta: Column)
         F.lit(priority).alias("priority"),
         meta.alias("metadata"),
     )
+
+
+# Larger than any number of tasks one seed document expands to.
+_CHUNK_STRIDE = 1_000_000_000
+
+
+def explode_tasks(seeds: DataFrame, tasks: Column) -> DataFrame:
+    """Array of tasks to rows; `pos` is unique per seed name, also over several chunks."""
+    rows = seeds.select("*", F.posexplode(tasks).alias("_pos", "_task"))
+    pos = F.col("_pos").cast("bigint")
+    if "chunk" in seeds.columns:
+        pos = pos + F.col("chunk") * _CHUNK_STRIDE
+    return rows.select(
+        "_task.source", "_task.kind", "_task.url", F.col("name").alias("seed_name"), "_task.priority",
+        "_task.metadata", pos.alias("pos"),
+    )

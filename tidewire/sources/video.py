@@ -11,9 +11,10 @@ from tidewire.functions import payloads as J
 from tidewire.functions import urls as U
 from tidewire.functions.text import is_blank, non_empty, optional_int, strip
 from tidewire.functions.times import epoch_seconds
-from tidewire.operators.listing import cap_per_owner, first_seen
+from tidewire.operators.listing import cap_per_owner, first_seen, page_novelty
+from tidewire.sources import forum
 from tidewire.sources.forum import transport_error
-from tidewire.sources.tasks import metadata, task_rows
+from tidewire.sources.tasks import explode_tasks, metadata, task_rows
 
 SOURCE = "bilibili"
 
@@ -47,9 +48,7 @@ def expand(seeds: DataFrame, web_base: str = U.VIDEO_WEB_BASE) -> DataFrame:
             ),
         ),
     )
-    return seeds.select(F.col("name").alias("seed_name"), F.posexplode(tasks).alias("pos", "_task")).select(
-        "_task.source", "_task.kind", "_task.url", "seed_name", "_task.priority", "_task.metadata", "pos"
-    )
+    return explode_tasks(seeds, tasks)
 
 
 def api_result(status: Column, text: Column, transport: Column) -> Column:
@@ -119,6 +118,10 @@ def author_struct(data: Column, fetched_at: Column) -> Column:
     return F.when(mid.isNotNull(), author)
 
 
+def with_page(tasks: DataFrame, captured: DataFrame) -> DataFrame:
+    return forum.with_page(tasks, captured)
+
+
 def parse(fetched: DataFrame, web_base: str = U.VIDEO_WEB_BASE) -> DataFrame:
     """Outcome of claimed video tasks joined with their payload; same columns as the forum's."""
     target = F.coalesce(F.col("metadata")["video_target"], F.col("url"))
@@ -192,18 +195,61 @@ def space_videos(rows: DataFrame, max_per_section: int | None = None) -> DataFra
     return first_seen(rows, ["mid", "bvid"], listing_order())
 
 
-def space_tasks(videos: DataFrame, web_base: str = U.VIDEO_WEB_BASE) -> DataFrame:
-    """Listed videos (with `seed_name` and the space task's `from_url`) as fetch_post tasks."""
-    return videos.select(
+def discover(
+    tasks: DataFrame, captured: DataFrame, web_base: str = U.VIDEO_WEB_BASE, max_per_section: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Outcomes of space tasks, and their listed videos as fetch_post tasks.
+
+    A listing ends at its first failed page, whose error is the task's error; failed searches
+    only yield nothing.
+    """
+    mid = F.coalesce(F.col("metadata")["mid"], U.parse_space_mid(F.col("url")))
+    space = tasks.withColumn("mid", mid)
+    pages = space.select("url", "mid").join(captured, "url").withColumn(
+        "_call", api_result(F.col("status_code"), F.col("text"), F.col("error_message"))
+    )
+    failed = F.col("_call.message").isNotNull()
+    own = F.col("section") != "search"
+    # First failed page and last status per space; the struct's page number is what is compared.
+    fault = F.struct("page_no", F.col("_call.message").alias("message"), F.col("_call.blocked").alias("blocked"))
+    calls = pages.groupBy("url").agg(
+        F.min(F.when(failed & own, fault)).alias("_fault"),
+        F.max(F.when(own, F.struct("page_no", "status_code"))).alias("_last"),
+    )
+    outcomes = space.join(calls, "url", "left").select(
+        *tasks.columns,
+        F.coalesce(F.col("_last.status_code"), F.lit(0)).alias("status_code"),
+        F.coalesce(F.col("_fault.blocked"), F.lit(False)).alias("blocked"),
+        F.when(F.col("mid").isNull(), F.concat(F.lit("Could not parse Bilibili space mid from "), F.col("url")))
+        .when(
+            F.col("_fault").isNotNull(),
+            F.concat(
+                F.lit("Fetch failed for space "), F.col("mid"), F.lit(" page "),
+                F.col("_fault.page_no").cast("string"), F.lit(": "), F.col("_fault.message"),
+            ),
+        )
+        .when(F.col("_last").isNull(), F.concat(F.lit("Fetch failed for space "), F.col("mid"), F.lit(": no captured page")))
+        .alias("error"),
+    )
+    good = pages.join(calls.select("url", F.col("_fault.page_no").alias("_stop")), "url").where(
+        ~failed & (~own | F.col("_stop").isNull() | (F.col("page_no") < F.col("_stop")))
+    )
+    videos = space_videos(listing_rows(good), max_per_section)
+    listed = videos.join(space.select("mid", F.struct(*tasks.columns).alias("parent")), "mid")
+    # Position in the merged list, as a sortable number.
+    place = F.col("page_no") * 1_000_000 + F.col("pos") + F.when(F.col("section") == "search", 1 << 40).otherwise(0)
+    return outcomes, listed.select(
         F.lit(SOURCE).alias("source"),
         F.lit("fetch_post").alias("kind"),
         U.http_url(U.video_url(F.col("bvid"), web_base)).alias("url"),
-        "seed_name",
+        F.col("parent.seed_name").alias("seed_name"),
         F.lit(PRIORITY["discovered"]).alias("priority"),
         metadata(
-            video_target=F.col("bvid"), bvid=F.col("bvid"), discovered_from=F.col("from_url"),
+            video_target=F.col("bvid"), bvid=F.col("bvid"), discovered_from=F.col("parent.url"),
             owner_mid=F.col("mid"), aid=F.col("aid"), pubdate_ts=F.col("pubdate_ts"),
         ).alias("metadata"),
+        "parent",
+        place.cast("bigint").alias("pos"),
     )
 
 
@@ -248,3 +294,31 @@ def comment_tasks(posts: DataFrame, api_base: str = U.VIDEO_API_BASE, mode: int
             owner_mid=F.col("author_entity_id"),
         ).alias("metadata"),
     )
+
+
+def comments(tasks: DataFrame, captured: DataFrame) -> DataFrame:
+    """Comments of refresh tasks: root pages until one repeats or fails, and reply pages."""
+    meta = F.col("metadata")
+    pages = tasks.select(
+        "url", meta["post_id"].alias("post_entity_id"), meta["canonical_url"].alias("canonical_url"),
+        meta["owner_mid"].alias("owner_mid"),
+    ).join(captured.where("section in ('main', 'reply')"), "url")
+    good = pages.where(api_result(F.col("status_code"), F.col("text"), F.col("error_message"))["message"].isNull())
+    rows = flatten_replies(good.withColumn("is_reply", F.col("section") == "reply"), keep=("url", "page_no", "section"))
+    # Whether a page repeats is judged on all its root ids, before any comment is dropped.
+    roots = good.where("section = 'main'").select(
+        "url", "page_no", F.explode(J.objects(J.parse(F.col("text")), "data.replies")).alias("_r")
+    )
+    repeated = (
+        page_novelty(roots.select("url", "page_no", J.field(F.col("_r"), "rpid").alias("rpid")), ["url"], "rpid", "page_no")
+        .where("ids > 0 and new_ids = 0")
+        .select("url", F.col("page_no").alias("_stop"))
+    )
+    failed = pages.join(good.select("url", "page_no", "section"), ["url", "page_no", "section"], "left_anti")
+    stops = (
+        repeated.unionByName(failed.where("section = 'main'").select("url", F.col("page_no").alias("_stop")))
+        .groupBy("url")
+        .agg(F.min("_stop").alias("_stop"))
+    )
+    keep = (F.col("section") != "main") | F.col("_stop").isNull() | (F.col("page_no") < F.col("_stop"))
+    return rows.join(stops, "url", "left").where(keep).drop("_stop", "section")

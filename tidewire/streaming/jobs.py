@@ -36,11 +36,11 @@ def each_batch(
 
 
 def upsert_stream(
-    stream: DataFrame, table: LogTable, position: str, checkpoint: str, poll_seconds: int | None = None
+    stream: DataFrame, table: LogTable, order: Sequence[str], checkpoint: str, poll_seconds: int | None = None
 ) -> StreamingQuery:
-    """Latest-wins upsert. Arrival order decides: batch id, then `position` within it. Pass an
-    event time as position to let the newest one win within a batch instead."""
-    return each_batch(stream, lambda rows, batch: table.append(rows, batch, position), checkpoint, poll_seconds)
+    """Latest-wins upsert. Arrival order decides: the batch, then `order` within it. Late data
+    therefore wins; with an event time first in `order` it does so only between batches."""
+    return each_batch(stream, lambda rows, batch: table.append(rows, batch, order), checkpoint, poll_seconds)
 
 
 def ingest_articles(
@@ -57,26 +57,23 @@ def ingest_articles(
         folder = f"{root.rstrip('/')}/outcomes/batch={batch:012d}"
         forum.parse(rows).write.mode("overwrite").parquet(folder)
         outcomes = spark.read.parquet(folder)
-        store_outcomes(spark, root, outcomes, batch)
+        store_outcomes(spark, root, outcomes, batch, ["fetched_at", "url"])
 
     return each_batch(pages, work, checkpoint, poll_seconds)
 
 
-def store_outcomes(spark: SparkSession, root: str, outcomes: DataFrame, batch: int) -> None:
-    """Append posts, authors and errors of parsed pages to their tables."""
+def store_outcomes(spark: SparkSession, root: str, outcomes: DataFrame, batch: int, order: Sequence[str]) -> None:
+    """Append posts, authors and errors of parsed pages; the last in `order` wins per entity."""
     for name, column in (("posts", "post"), ("authors", "author")):
-        LogTable.named(spark, root, name).append(_entities(outcomes, column), batch, position="_order")
+        found = outcomes.where(F.col(column).isNotNull())
+        entities = found.select(f"{column}.*", F.struct(*order).alias("_order"))
+        LogTable.named(spark, root, name).append(entities, batch, ["_order"])
     failed = outcomes.where("error is not null").select(
         F.col("fetched_at").alias("created_at"), "source", "url", F.col("error").alias("error_message")
     )
     LogTable.named(spark, root, "crawl_errors").append(failed, batch)
 
 
-def _entities(outcomes: DataFrame, column: str) -> DataFrame:
-    found = outcomes.where(F.col(column).isNotNull())
-    return found.select(f"{column}.*", F.unix_micros("fetched_at").alias("_order"))
-
-
 def claim_stream(
     frontier: DataFrame,
     state: LogTable,

@@ -97,7 +97,7 @@ def log_table_upsert(t: Tables) -> DataFrame:
     table = LogTable.named(t.spark, run_dir(t.spark, "log-table"), "authors")
     table.append(authors(t), batch_id=1)
     table.compact()
-    table.append(author_batch(t), batch_id=2, position="seq")
+    table.append(author_batch(t), batch_id=2, order=["seq"])
     return table.read().select(*_KEYS, "display_name", "followers")
 
 

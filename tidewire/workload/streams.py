@@ -45,7 +45,7 @@ def stream_upsert(t: Tables) -> DataFrame:
         F.col("event_id").alias("followers"),
         F.col("event_id").alias("seq"),
     )
-    jobs.upsert_stream(rows, table, "seq", f"{home}/checkpoint").awaitTermination()
+    jobs.upsert_stream(rows, table, ["seq"], f"{home}/checkpoint").awaitTermination()
     return table.read().select("source", "source_entity_id", "display_name", "followers")
 
 
