@@ -42,10 +42,9 @@ def is_object(v: Column) -> Column:
     return F.coalesce(F.startswith(F.schema_of_variant(v), F.lit("OBJECT<")), F.lit(False))
 
 
-def objects(v: Column, path: str) -> Column:
-    """Elements of the array at path, or null when it is missing, empty or not an array."""
-    items = field(v, path, "array<variant>")
-    return F.when(F.size(items) > 0, items)
+def elements(v: Column, path: str) -> Column:
+    """Elements of the array at path, or null when it is missing or not an array."""
+    return field(v, path, "array<variant>")
 
 
 def topic_ids(c: Column) -> Column:

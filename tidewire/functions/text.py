@@ -11,9 +11,10 @@ from pyspark.sql import types as T
 
 PREVIEW_CHARS = 280
 
-# The code points Python's str.split() treats as whitespace. Java's \s is
-# ASCII-only and (?U)\s lacks U+001C..U+001F, hence the explicit class.
-WHITESPACE = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# The code points Python's str.split() treats as whitespace. Java's \s is ASCII-only and the
+# Unicode property lacks U+001C..U+001F. The property is one lookup per character, several
+# times faster than listing the ranges.
+WHITESPACE = r"\p{IsWhite_Space}\x1c-\x1f"
 
 TAG = r"<[^>]+>"
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewire.functions import payloads as J
-from tidewire.functions.text import non_empty
 from tidewire.functions.times import trade_date
 from tidewire.schemas import RANKING, RAW_PAGES, STOCK_UNIVERSE
 
@@ -62,36 +62,36 @@ def stream_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ranking_payload(html: Column) -> Column:
-    """JSON text between the markers; a page without them is an error."""
-    start = F.locate(PAGE_START, html)
-    after = F.substr(html, start + len(PAGE_START))
-    end = F.locate(PAGE_END, after)
-    return (
-        F.when(start == 0, F.raise_error(F.lit("ranking page: payload not found")))
-        .when(end == 0, F.raise_error(F.lit("ranking page: terminator not found")))
-        .otherwise(F.substr(after, F.lit(1), end))
-    )
+    """JSON text from the first start marker to the first end marker after it, else empty."""
+    start, end = re.escape(PAGE_START), re.escape(PAGE_END[1:]).replace("\\\n", "\\n")
+    return F.regexp_extract(html, rf"(?s){start}(.*?\}})(?={end})", 1)
+
+
+# The part of the ranking payload that is read.
+_RANKING_PAYLOAD = (
+    "sbgg_all struct<result:struct<data:array<struct<"
+    "SECURITY_CODE:string,MARKET_SUFFIX:string,TRADE_DATE:string,BILLBOARD_NET_AMT:double>>>>"
+)
 
 
 def ranking_rows(pages: DataFrame, html: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Ranking entries of captured pages. The rank counts skipped rows too."""
-    data = F.variant_get(F.parse_json(ranking_payload(F.col(html))), "$.sbgg_all.result.data", "array<variant>")
-    exploded = pages.select(*keep, F.posexplode(data).alias("_pos", "_row"))
-    row = F.col("_row")
-    net = J.field(row, "BILLBOARD_NET_AMT", "double")
-    fields = exploded.select(
+    """Ranking entries of captured pages. The rank counts skipped rows too; a page without the
+    payload, or with a malformed one, is an error."""
+    payload = F.col("_payload")
+    missing = F.raise_error(F.lit("ranking page without payload or terminator"))
+    # Staged, so that each page is searched and parsed once.
+    texts = pages.select(*keep, ranking_payload(F.col(html)).alias("_payload"))
+    found = F.when(payload == "", missing).otherwise(payload)
+    options = {"mode": "FAILFAST", "allowSingleQuotes": "false"}
+    parsed = texts.select(*keep, F.from_json(found, _RANKING_PAYLOAD, options).alias("_json"))
+    exploded = parsed.select(*keep, F.posexplode("_json.sbgg_all.result.data").alias("_pos", "_row"))
+    code, market, day = (F.col(f"_row.{c}") for c in ("SECURITY_CODE", "MARKET_SUFFIX", "TRADE_DATE"))
+    complete = exploded.where((code != "") & (market != "") & (day != ""))
+    return complete.select(
         *keep,
+        F.concat(market, code).alias("stock_id"),
+        trade_date(day).alias("trade_date"),
+        market.alias("market"),
+        F.when(F.col("_row.BILLBOARD_NET_AMT") >= 0, "net_buy").otherwise("net_sell").alias("ranking_mode"),
         (F.col("_pos") + 1).alias("rank"),
-        non_empty(J.field(row, "SECURITY_CODE")).alias("_code"),
-        non_empty(J.field(row, "MARKET_SUFFIX")).alias("market"),
-        non_empty(J.field(row, "TRADE_DATE")).alias("_date"),
-        F.when(net >= 0, "net_buy").otherwise("net_sell").alias("ranking_mode"),
-    ).where("_code is not null and market is not null and _date is not null")
-    return fields.select(
-        *keep,
-        F.concat("market", "_code").alias("stock_id"),
-        trade_date(F.col("_date")).alias("trade_date"),
-        "market",
-        "ranking_mode",
-        "rank",
     )

@@ -12,7 +12,7 @@ from tidewire.functions import urls as U
 from tidewire.functions.html import extract_articles, page_links
 from tidewire.functions.text import is_blank, non_empty, strip_html
 from tidewire.functions.times import lenient_variant_time
-from tidewire.sources.tasks import explode_tasks, metadata, task_rows
+from tidewire.sources.tasks import explode_values, metadata, task_rows
 
 SOURCE = "xueqiu"
 
@@ -25,30 +25,46 @@ BLOCK_MARKERS = r"aliyun_waf|renderData|_waf_|captcha"
 def expand(
     seeds: DataFrame, homepage_urls: Sequence[str] = (U.FORUM_BASE,), base_url: str = U.FORUM_BASE
 ) -> DataFrame:
-    """Seed definitions to frontier tasks, in the adapter's order; `seq` numbers them per seed."""
-
-    def tasks(values: Column, kind: str, seed_kind: str, url, extra=lambda v: {}) -> Column:
-        return F.transform(
-            F.coalesce(values, F.array().cast("array<string>")),
-            lambda v: task_rows(SOURCE, kind, url(v), PRIORITY[seed_kind], metadata(seed_kind=F.lit(seed_kind), **extra(v))),
-        )
-
+    """Seed definitions to frontier tasks, numbered per seed by `pos`."""
     homes = F.when(F.col("discover_homepage"), F.array(*[F.lit(u) for u in homepage_urls]))
-    lists = F.concat(
-        tasks(homes, "discover", "homepage", U.normalize_url),
-        tasks(F.col("post_urls"), "fetch_post", "post_url", U.normalize_url),
-        tasks(
-            F.col("stock_ids"), "discover", "stock", lambda v: U.stock_search_url(v, base_url),
-            lambda v: {
-                "stock_id": v,
-                "discovery_url": U.stock_url(v, base_url),
-                "api_url": U.stock_timeline_url(v, base_url),
-            },
-        ),
-        tasks(F.col("topic_ids"), "discover", "topic", lambda v: U.topic_url(v, base_url), lambda v: {"topic_id": v}),
-        tasks(F.col("user_ids"), "discover", "user", lambda v: U.user_url(v, base_url), lambda v: {"user_id": v}),
+    lists = {
+        "homepage": homes,
+        "post_url": F.col("post_urls"),
+        "stock": F.col("stock_ids"),
+        "topic": F.col("topic_ids"),
+        "user": F.col("user_ids"),
+    }
+    rows = explode_values(seeds, lists)
+    v, kind = F.col("value"), F.col("seed_kind")
+
+    def when(kinds: str, value: Column) -> Column:
+        return F.when(kind == kinds, value)
+
+    url = (
+        F.when(kind.isin("homepage", "post_url"), U.normalize_url(v))
+        .when(kind == "stock", U.stock_search_url(v, base_url))
+        .when(kind == "topic", U.topic_url(v, base_url))
+        .otherwise(U.user_url(v, base_url))
+    )
+    meta = metadata(
+        seed_kind=kind,
+        stock_id=when("stock", v),
+        discovery_url=when("stock", U.stock_url(v, base_url)),
+        api_url=when("stock", U.stock_timeline_url(v, base_url)),
+        topic_id=when("topic", v),
+        user_id=when("user", v),
+    )
+    return task_rows(
+        rows.select(
+            F.lit(SOURCE).alias("source"),
+            F.when(kind == "post_url", "fetch_post").otherwise("discover").alias("kind"),
+            url.alias("url"),
+            "seed_name",
+            F.element_at(F.create_map(*[F.lit(x) for k in lists for x in (k, PRIORITY[k])]), kind).alias("priority"),
+            meta.alias("metadata"),
+            "pos",
+        )
     )
-    return explode_tasks(seeds, lists)
 
 
 def is_blocked(text: Column, status: Column) -> Column:
@@ -114,23 +130,26 @@ def parse(fetched: DataFrame) -> DataFrame:
 def discover(tasks: DataFrame, captured: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Outcomes of discover tasks, and their links as fetch_post tasks."""
     outcomes = parse(with_page(tasks, captured))
-    links = outcomes.where(F.size("links") > 0).select(
+    links = task_rows(outcomes.where(F.size("links") > 0).select(
         F.lit(SOURCE).alias("source"),
         F.lit("fetch_post").alias("kind"),
         "seed_name",
         F.lit(PRIORITY["discovered"]).alias("priority"),
         metadata(discovered_from=F.col("url")).alias("metadata"),
         F.struct(*tasks.columns).alias("parent"),
-        F.posexplode("links").alias("pos", "_link"),
-    )
-    return outcomes, links.withColumn("url", U.http_url(F.col("_link"))).drop("_link")
+        F.posexplode("links").alias("pos", "url"),
+    ))
+    return outcomes, links
 
 
 def flatten_comments(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Comments of JSON payload rows (`text`, `post_entity_id`, `fetched_at`), with `pos`."""
-    body = J.parse(F.col("text"))
-    records = F.coalesce(J.objects(body, "comments"), J.objects(body, "list"))
-    rows = payloads.select(*keep, "post_entity_id", "fetched_at", F.posexplode(records).alias("pos", "_c"))
+    body, first = F.col("_body"), F.col("_comments")
+    # Staged, so that a payload is parsed once: text, parsed value, list.
+    parsed = payloads.select(*keep, "post_entity_id", "fetched_at", J.parse(F.col("text")).alias("_body"))
+    listed = parsed.withColumn("_comments", J.elements(body, "comments"))
+    records = F.when(F.size(first) > 0, first).otherwise(J.elements(body, "list"))
+    rows = listed.select(*keep, "post_entity_id", "fetched_at", F.posexplode(records).alias("pos", "_c"))
     c = F.col("_c")
     flat = rows.where(J.is_object(c)).select(
         *keep,

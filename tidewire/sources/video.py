@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from tidewire.functions.times import epoch_seconds
 from tidewire.operators.listing import cap_per_owner, first_seen, page_novelty
 from tidewire.sources import forum
 from tidewire.sources.forum import transport_error
-from tidewire.sources.tasks import explode_tasks, metadata, task_rows
+from tidewire.sources.tasks import explode_values, metadata, task_rows
 
 SOURCE = "bilibili"
 
@@ -27,52 +28,52 @@ BLOCK_TEXT = r"\b(403|412|429)\b"
 
 def expand(seeds: DataFrame, web_base: str = U.VIDEO_WEB_BASE) -> DataFrame:
     """Video and space targets to frontier tasks; unparsable targets are dropped."""
-    none = F.array().cast("array<string>")
-    videos = F.transform(
-        F.coalesce("bilibili_video_targets", none),
-        lambda v: F.struct(v.alias("raw"), U.parse_video_target(v, web_base).alias("t")),
+    rows = explode_values(seeds, {"video": F.col("bilibili_video_targets"), "space": F.col("bilibili_space_urls")})
+    video, space = F.col("seed_kind") == "video", F.col("seed_kind") == "space"
+    parsed = rows.withColumns(
+        {
+            "_target": F.when(video, U.parse_video_target(F.col("value"), web_base)),
+            "_mid": F.when(space, U.parse_space_mid(F.col("value"))),
+        }
+    ).where("_target is not null or _mid is not null")
+    meta = metadata(
+        video_target=F.when(video, F.col("value")),
+        bvid=F.col("_target.bvid"),
+        aid=F.col("_target.aid"),
+        seed_kind=F.when(space, "space"),
+        mid=F.col("_mid"),
     )
-    spaces = F.transform(F.coalesce("bilibili_space_urls", none), U.parse_space_mid)
-    tasks = F.concat(
-        F.transform(
-            F.filter(videos, lambda x: x["t"].isNotNull()),
-            lambda x: task_rows(
-                SOURCE, "fetch_post", x["t"]["canonical_url"], PRIORITY["video"],
-                metadata(video_target=x["raw"], bvid=x["t"]["bvid"], aid=x["t"]["aid"]),
-            ),
-        ),
-        F.transform(
-            F.filter(spaces, lambda m: m.isNotNull()),
-            lambda m: task_rows(
-                SOURCE, "discover", U.space_url(m), PRIORITY["space"], metadata(seed_kind=F.lit("space"), mid=m)
-            ),
-        ),
+    return task_rows(
+        parsed.select(
+            F.lit(SOURCE).alias("source"),
+            F.when(video, "fetch_post").otherwise("discover").alias("kind"),
+            F.coalesce("_target.canonical_url", U.space_url(F.col("_mid"))).alias("url"),
+            "seed_name",
+            F.when(video, PRIORITY["video"]).otherwise(PRIORITY["space"]).alias("priority"),
+            meta.alias("metadata"),
+            "pos",
+        )
     )
-    return explode_tasks(seeds, tasks)
 
 
-def api_result(status: Column, text: Column, transport: Column) -> Column:
-    """struct(message, blocked): what the API call reported; a null message means success."""
-    body = J.parse(text)
-    code = J.field(body, "code", "bigint")
-    said = F.coalesce(
-        J.first_text(body, "message", "msg"),
-        F.concat(F.lit("API error "), F.coalesce(code, F.lit(-1)).cast("string")),
-    )
-    http_error = status >= 400
+def with_call(pages: DataFrame) -> DataFrame:
+    """Add `_body` (the parsed payload), `call_message` (null means success) and `call_blocked`.
+
+    Built in steps, so that the payload is parsed once however often it is read later.
+    """
+    body, code, status, transport = F.col("_body"), F.col("_code"), F.col("status_code"), non_empty(F.col("error_message"))
+    parsed = pages.withColumn("_body", J.parse(F.col("text"))).withColumn("_code", J.field(body, "code", "bigint"))
+    known = F.coalesce(code, F.lit(-1))
+    said = F.coalesce(J.first_text(body, "message", "msg"), F.concat(F.lit("API error "), known.cast("string")))
+    http_error = F.coalesce(status >= 400, F.lit(False))
     message = (
-        F.when(non_empty(transport).isNotNull(), transport)
+        F.when(transport.isNotNull(), transport)
         .when(http_error, F.concat(F.lit("HTTP "), status.cast("string")))
-        .when(~F.coalesce(J.is_object(body), F.lit(False)), F.lit("invalid JSON payload"))
-        .when(
-            F.coalesce(code, F.lit(-1)) != 0,
-            F.concat(F.lit("API code "), F.coalesce(code, F.lit(-1)).cast("string"), F.lit(": "), said),
-        )
+        .when(~J.is_object(body), F.lit("invalid JSON payload"))
+        .when(known != 0, F.concat(F.lit("API code "), known.cast("string"), F.lit(": "), said))
     )
-    blocked = non_empty(transport).isNull() & (
-        (http_error & status.isin(*BLOCK_STATUS)) | (~http_error & (code == BLOCK_CODE))
-    )
-    return F.struct(message.alias("message"), F.coalesce(blocked, F.lit(False)).alias("blocked"))
+    blocked = transport.isNull() & F.when(http_error, status.isin(*BLOCK_STATUS)).otherwise(known == BLOCK_CODE)
+    return parsed.withColumns({"call_message": message, "call_blocked": blocked}).drop("_code")
 
 
 def message_is_blocked(message: Column) -> Column:
@@ -81,16 +82,14 @@ def message_is_blocked(message: Column) -> Column:
 
 
 def post_struct(data: Column, fetched_at: Column, web_base: str = U.VIDEO_WEB_BASE) -> Column:
-    """Video payload to a post; null without ids or any text."""
-    aid, bvid = J.field(data, "aid"), J.first_text(data, "bvid")
-    text = J.first_text(data, "desc", "title")
-    post = F.struct(
+    """Video payload to a post; `is_complete` tells whether it has ids and text."""
+    return F.struct(
         F.lit(SOURCE).alias("source"),
-        aid.alias("source_entity_id"),
-        U.video_url(bvid, web_base).alias("canonical_url"),
+        J.field(data, "aid").alias("source_entity_id"),
+        U.video_url(J.first_text(data, "bvid"), web_base).alias("canonical_url"),
         J.field(data, "owner.mid").alias("author_entity_id"),
         J.field(data, "title").alias("title"),
-        text.alias("content_text"),
+        J.first_text(data, "desc", "title").alias("content_text"),
         F.lit(None).cast("string").alias("language"),
         epoch_seconds(J.field(data, "pubdate")).alias("published_at"),
         fetched_at.alias("fetched_at"),
@@ -99,12 +98,17 @@ def post_struct(data: Column, fetched_at: Column, web_base: str = U.VIDEO_WEB_BA
         optional_int(J.field(data, "stat.share")).alias("repost_count"),
         F.array().cast("array<string>").alias("raw_topic_ids"),
     )
-    return F.when(aid.isNotNull() & bvid.isNotNull() & text.isNotNull(), post)
+
+
+def is_complete(post: Column) -> Column:
+    needed = ("source_entity_id", "canonical_url", "content_text")
+    return reduce(lambda a, b: a & b, [post[c].isNotNull() for c in needed])
 
 
 def author_struct(data: Column, fetched_at: Column) -> Column:
+    """Owner of a video payload; an author without id is none."""
     mid, name = J.field(data, "owner.mid"), J.field(data, "owner.name")
-    author = F.struct(
+    return F.struct(
         F.lit(SOURCE).alias("source"),
         mid.alias("source_entity_id"),
         name.alias("username"),
@@ -115,7 +119,6 @@ def author_struct(data: Column, fetched_at: Column) -> Column:
         F.lit(None).cast("bigint").alias("following"),
         fetched_at.alias("fetched_at"),
     )
-    return F.when(mid.isNotNull(), author)
 
 
 def with_page(tasks: DataFrame, captured: DataFrame) -> DataFrame:
@@ -124,37 +127,33 @@ def with_page(tasks: DataFrame, captured: DataFrame) -> DataFrame:
 
 def parse(fetched: DataFrame, web_base: str = U.VIDEO_WEB_BASE) -> DataFrame:
     """Outcome of claimed video tasks joined with their payload; same columns as the forum's."""
-    target = F.coalesce(F.col("metadata")["video_target"], F.col("url"))
-    data = J.field(J.parse(F.col("text")), "data", "variant")
-    staged = fetched.withColumns(
+    target = U.parse_video_target(F.coalesce(F.col("metadata")["video_target"], F.col("url")), web_base)
+    data, post, author, url = F.col("_data"), F.col("_post"), F.col("_author"), F.col("url")
+    called = with_call(fetched.withColumn("_known", target.isNotNull()))
+    usable = F.col("_known") & F.col("call_message").isNull()
+    read = called.withColumn("_data", F.when(usable, J.field(F.col("_body"), "data", "variant")))
+    built = read.withColumn("_object", J.is_object(data)).withColumns(
         {
-            "_ok_target": U.parse_video_target(target, web_base).isNotNull(),
-            "_call": api_result(F.col("status_code"), F.col("text"), F.col("error_message")),
-            "_data": data,
+            "_post": post_struct(data, F.col("fetched_at"), web_base),
+            "_author": author_struct(data, F.col("fetched_at")),
         }
     )
-    failed = F.col("_call.message").isNotNull()
-    usable = F.col("_ok_target") & ~failed & J.is_object(F.col("_data"))
-    post = F.when(usable, post_struct(F.col("_data"), F.col("fetched_at"), web_base))
-    url = F.col("url")
+    good = F.col("_object") & is_complete(post)
     error = (
-        F.when(~F.col("_ok_target"), F.concat(F.lit("Could not parse Bilibili video target from "), url))
-        .when(failed, transport_error(url, F.col("_call.message"), F.col("proxy_url")))
-        .when(~J.is_object(F.col("_data")), F.concat(F.lit("Could not parse video metadata from "), url))
-        .when(F.col("post").isNull(), F.concat(F.lit("Could not normalize video payload from "), url))
-    )
-    return (
-        staged.withColumn("post", post)
-        .withColumns(
-            {
-                "author": F.when(F.col("post").isNotNull(), author_struct(F.col("_data"), F.col("fetched_at"))),
-                "blocked": F.col("_ok_target") & F.col("_call.blocked"),
-                "error": error,
-                "links": F.lit(None).cast("array<string>"),
-            }
-        )
-        .drop("_ok_target", "_call", "_data", "text")
+        F.when(~F.col("_known"), F.concat(F.lit("Could not parse Bilibili video target from "), url))
+        .when(F.col("call_message").isNotNull(), transport_error(url, F.col("call_message"), F.col("proxy_url")))
+        .when(~F.col("_object"), F.concat(F.lit("Could not parse video metadata from "), url))
+        .when(~good, F.concat(F.lit("Could not normalize video payload from "), url))
     )
+    return built.withColumns(
+        {
+            "post": F.when(good, post),
+            "author": F.when(good & author["source_entity_id"].isNotNull(), author),
+            "blocked": F.col("_known") & F.col("call_blocked"),
+            "error": error,
+            "links": F.lit(None).cast("array<string>"),
+        }
+    ).drop("_known", "_body", "_data", "_object", "_post", "_author", "call_message", "call_blocked", "text")
 
 
 def listing_rows(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -163,23 +162,26 @@ def listing_rows(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     The section is `space` for the owner's own list, read at data.list.vlist, and `search` for
     search hits, a bare list of which only the owner's count.
     """
-    body = J.parse(F.col("text"))
-    own = J.objects(body, "data.list.vlist")
+    body = F.col("_body")
+    parsed = payloads.select(*keep, "mid", "page_no", "section", J.parse(F.col("text")).alias("_body"))
     hits = F.try_variant_get(body, "$", "array<variant>")
-    videos = F.when(F.col("section") == "search", hits).otherwise(own)
-    rows = payloads.select(*keep, "mid", "page_no", "section", F.posexplode(videos).alias("pos", "_v"))
+    videos = F.when(F.col("section") == "search", hits).otherwise(J.elements(body, "data.list.vlist"))
+    rows = parsed.select(*keep, "mid", "page_no", "section", F.posexplode(videos).alias("pos", "_v"))
     v = F.col("_v")
-    # Only a JSON string counts as a video id.
-    bvid = F.when(F.schema_of_variant(J.field(v, "bvid", "variant")) == "STRING", non_empty(J.field(v, "bvid")))
     mine = (F.col("section") != "search") | (J.field(v, "mid") == F.col("mid"))
-    aid = optional_int(J.field(v, "aid"))
-    published = optional_int(J.first_text(v, "created", "pubdate"))
-    return rows.where(J.is_object(v) & mine).select(
+    fields = rows.where(J.is_object(v) & mine).select(
         *keep, "mid", "section", "page_no", "pos",
-        bvid.alias("bvid"),
-        F.when(aid > 0, aid).alias("aid"),
-        F.when(published > 0, published).alias("pubdate_ts"),
-    ).where("bvid is not null")
+        J.field(v, "bvid", "variant").alias("_bvid"),
+        optional_int(J.field(v, "aid")).alias("_aid"),
+        optional_int(J.first_text(v, "created", "pubdate")).alias("_published"),
+    )
+    # Only a JSON string counts as a video id.
+    return fields.where(F.schema_of_variant("_bvid") == "STRING").select(
+        *keep, "mid", "section", "page_no", "pos",
+        F.try_variant_get("_bvid", "$", "string").alias("bvid"),
+        F.when(F.col("_aid") > 0, F.col("_aid")).alias("aid"),
+        F.when(F.col("_published") > 0, F.col("_published")).alias("pubdate_ts"),
+    ).where("bvid <> ''")
 
 
 def listing_order() -> list[Column]:
@@ -205,13 +207,11 @@ def discover(
     """
     mid = F.coalesce(F.col("metadata")["mid"], U.parse_space_mid(F.col("url")))
     space = tasks.withColumn("mid", mid)
-    pages = space.select("url", "mid").join(captured, "url").withColumn(
-        "_call", api_result(F.col("status_code"), F.col("text"), F.col("error_message"))
-    )
-    failed = F.col("_call.message").isNotNull()
+    pages = with_call(space.select("url", "mid").join(captured, "url")).drop("_body")
+    failed = F.col("call_message").isNotNull()
     own = F.col("section") != "search"
     # First failed page and last status per space; the struct's page number is what is compared.
-    fault = F.struct("page_no", F.col("_call.message").alias("message"), F.col("_call.blocked").alias("blocked"))
+    fault = F.struct("page_no", F.col("call_message").alias("message"), F.col("call_blocked").alias("blocked"))
     calls = pages.groupBy("url").agg(
         F.min(F.when(failed & own, fault)).alias("_fault"),
         F.max(F.when(own, F.struct("page_no", "status_code"))).alias("_last"),
@@ -238,10 +238,10 @@ def discover(
     listed = videos.join(space.select("mid", F.struct(*tasks.columns).alias("parent")), "mid")
     # Position in the merged list, as a sortable number.
     place = F.col("page_no") * 1_000_000 + F.col("pos") + F.when(F.col("section") == "search", 1 << 40).otherwise(0)
-    return outcomes, listed.select(
+    return outcomes, task_rows(listed.select(
         F.lit(SOURCE).alias("source"),
         F.lit("fetch_post").alias("kind"),
-        U.http_url(U.video_url(F.col("bvid"), web_base)).alias("url"),
+        U.video_url(F.col("bvid"), web_base).alias("url"),
         F.col("parent.seed_name").alias("seed_name"),
         F.lit(PRIORITY["discovered"]).alias("priority"),
         metadata(
@@ -250,23 +250,28 @@ def discover(
         ).alias("metadata"),
         "parent",
         place.cast("bigint").alias("pos"),
-    )
+    ))
 
 
 def flatten_replies(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Comments of reply payloads (`text`, `post_entity_id`, `canonical_url`, `is_reply`,
     `owner_mid`, `fetched_at`); with a known owner only the owner's comments remain."""
-    replies = J.objects(J.parse(F.col("text")), "data.replies")
-    rows = payloads.select(
-        *keep, "post_entity_id", "canonical_url", "is_reply", "owner_mid", "fetched_at",
-        F.posexplode(replies).alias("pos", "_r"),
-    )
+    replies = J.elements(J.parse(F.col("text")), "data.replies")
+    known = [*keep, "post_entity_id", "canonical_url", "is_reply", "owner_mid", "fetched_at"]
     r = F.col("_r")
-    rpid, author = J.field(r, "rpid"), J.field(r, "member.mid")
-    parent = J.field(r, "parent")
-    message = J.field(r, "content.message")
+    fields = payloads.select(*known, F.posexplode(replies).alias("pos", "_r")).where(J.is_object(r)).select(
+        *known,
+        "pos",
+        J.field(r, "rpid").alias("_rpid"),
+        J.field(r, "member.mid").alias("_author"),
+        J.field(r, "parent").alias("_parent"),
+        J.field(r, "content.message").alias("_message"),
+        J.field(r, "ctime").alias("_ctime"),
+        J.field(r, "like").alias("_like"),
+    )
+    rpid, author, parent, message = (F.col(c) for c in ("_rpid", "_author", "_parent", "_message"))
     mine = F.col("owner_mid").isNull() | F.coalesce(author == F.col("owner_mid"), F.lit(False))
-    return rows.where(J.is_object(r) & rpid.isNotNull() & ~is_blank(message) & mine).select(
+    return fields.where(rpid.isNotNull() & ~is_blank(message) & mine).select(
         *keep,
         F.lit(SOURCE).alias("source"),
         rpid.alias("source_entity_id"),
@@ -275,9 +280,9 @@ def flatten_replies(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         author.alias("author_entity_id"),
         F.when(F.col("is_reply") & (parent != "0"), parent).alias("parent_comment_entity_id"),
         strip(message).alias("content_text"),
-        epoch_seconds(J.field(r, "ctime")).alias("published_at"),
+        epoch_seconds(F.col("_ctime")).alias("published_at"),
         "fetched_at",
-        optional_int(J.field(r, "like")).alias("like_count"),
+        optional_int(F.col("_like")).alias("like_count"),
         "pos",
     )
 
@@ -303,11 +308,11 @@ def comments(tasks: DataFrame, captured: DataFrame) -> DataFrame:
         "url", meta["post_id"].alias("post_entity_id"), meta["canonical_url"].alias("canonical_url"),
         meta["owner_mid"].alias("owner_mid"),
     ).join(captured.where("section in ('main', 'reply')"), "url")
-    good = pages.where(api_result(F.col("status_code"), F.col("text"), F.col("error_message"))["message"].isNull())
+    good = with_call(pages).where("call_message is null").drop("_body", "call_message", "call_blocked")
     rows = flatten_replies(good.withColumn("is_reply", F.col("section") == "reply"), keep=("url", "page_no", "section"))
     # Whether a page repeats is judged on all its root ids, before any comment is dropped.
     roots = good.where("section = 'main'").select(
-        "url", "page_no", F.explode(J.objects(J.parse(F.col("text")), "data.replies")).alias("_r")
+        "url", "page_no", F.explode(J.elements(J.parse(F.col("text")), "data.replies")).alias("_r")
     )
     repeated = (
         page_novelty(roots.select("url", "page_no", J.field(F.col("_r"), "rpid").alias("rpid")), ["url"], "rpid", "page_no")

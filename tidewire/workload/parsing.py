@@ -246,6 +246,10 @@ def video_payloads(t: Tables) -> DataFrame:
     )
 
 
+def _video_data(t: Tables) -> DataFrame:
+    return video_payloads(t).select("fetched_at", J.field(J.parse(F.col("text")), "data", "variant").alias("data"))
+
+
 @query(
     "video_payload_posts",
     """SELECT CAST(p_partkey + 1 AS VARCHAR) AS source_entity_id, 'https://www.bilibili.com/video/BV' || lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS canonical_url,
@@ -255,9 +259,8 @@ def video_payloads(t: Tables) -> DataFrame:
 FROM part WHERE p_partkey % 10 <> 0""",
 )
 def video_payload_posts(t: Tables) -> DataFrame:
-    data = J.field(J.parse(F.col("text")), "data", "variant")
-    posts = video_payloads(t).select(video.post_struct(data, F.col("fetched_at")).alias("post")).where("post is not null")
-    return posts.select("post.*").drop("source", "language", "fetched_at", "raw_topic_ids")
+    posts = _video_data(t).select(video.post_struct(F.col("data"), F.col("fetched_at")).alias("post"))
+    return posts.where(video.is_complete(F.col("post"))).select("post.*").drop("source", "language", "fetched_at", "raw_topic_ids")
 
 
 @query(
@@ -266,9 +269,8 @@ def video_payload_posts(t: Tables) -> DataFrame:
 FROM part WHERE p_partkey % 7 <> 0""",
 )
 def video_payload_authors(t: Tables) -> DataFrame:
-    data = J.field(J.parse(F.col("text")), "data", "variant")
-    authors = video_payloads(t).select(video.author_struct(data, F.col("fetched_at")).alias("a")).where("a is not null")
-    return authors.select("a.source_entity_id", "a.display_name", "a.profile_url")
+    authors = _video_data(t).select(video.author_struct(F.col("data"), F.col("fetched_at")).alias("a"))
+    return authors.where("a.source_entity_id is not null").select("a.source_entity_id", "a.display_name", "a.profile_url")
 
 
 @query(
@@ -417,11 +419,9 @@ def fetch_outcome_classes(t: Tables) -> DataFrame:
         F.when(k == 2, "dial tcp").alias("error_message"),
         F.when(F.col("event_id") % 2 == 0, "http://p").alias("proxy_url"),
     )
-    result = video.api_result(F.col("status_code"), F.col("text"), F.col("error_message"))
-    classed = forum.classify(pages).withColumn("_api", result)
-    return classed.select(
+    return video.with_call(forum.classify(pages)).select(
         "event_id", "blocked", "error",
-        F.col("_api.message").alias("api_message"),
-        F.col("_api.blocked").alias("api_blocked"),
-        video.message_is_blocked(F.col("_api.message")).alias("message_blocked"),
+        F.col("call_message").alias("api_message"),
+        F.col("call_blocked").alias("api_blocked"),
+        video.message_is_blocked(F.col("call_message")).alias("message_blocked"),
     )
