@@ -70,7 +70,8 @@ UNION ALL SELECT l_orderkey || '/' || l_linenumber || '/' || l_partkey, 'SZ' ||
 )
 def ranking_page_parse(t: Tables) -> DataFrame:
     """One ranking page per line item: a row, a row without code (skipped), a row without amount."""
-    day = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")
+    items = t.lineitem.withColumn("_day", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+    day = F.col("_day")
 
     def row(code, suffix: str, amount):
         return F.struct(
@@ -87,7 +88,7 @@ def ranking_page_parse(t: Tables) -> DataFrame:
         row(F.col("l_suppkey"), "SZ", F.lit(None)),
     )
     payload = F.to_json(F.struct(F.struct(F.struct(data.alias("data")).alias("result")).alias("sbgg_all")))
-    pages = t.lineitem.select(
+    pages = items.select(
         F.concat_ws("/", "l_orderkey", "l_linenumber", "l_partkey").alias("page"),
         F.concat(F.lit("<script>var pagedata="), payload, F.lit(";\n</script>")).alias("text"),
     )
