@@ -1,9 +1,9 @@
 """One crawl cycle over captured pages.
 
-The reference behaviour is a priority queue that grows while it is worked off. Its depth is
-bounded: discover yields fetch_post, fetch_post yields refresh_comments. So a cycle is three
-batch passes, each claim, join with the captured pages, parse, store. Every pass writes its
-claims and outcomes before anything is derived from them.
+A crawler would work off a priority queue that grows meanwhile. Its depth is bounded: discover
+yields fetch_post, fetch_post yields refresh_comments. So a cycle is three batch passes, each
+claim, join with the captured pages, parse, store. Every pass writes its claims and outcomes
+before anything is derived from them.
 """
 
 from __future__ import annotations
@@ -118,12 +118,20 @@ class _Cycle:
         numbers = F.create_map(*[x for n, s in enumerate(self.adapters) for x in (F.lit(s), F.lit(n))])
         return numbers[F.col("source")]
 
-    def claim(self, tasks: DataFrame, step: int) -> DataFrame:
+    def claim(self, tasks: DataFrame, step: int) -> tuple[DataFrame, DataFrame]:
+        """Claimed tasks and their captured pages. The captured table is scanned once per pass,
+        here; what is parsed later is the stored part of it that was claimed."""
         before = self.urls.read(before=self.first + step)
         winners = claim_winners(tasks, before, now=self.now, policy=self.policy)
         won = self.stored(winners, f"claims{step}")
         self.urls.append(claimed_state(won, now=self.now), self.first + step)
-        return won.select(*_TASK)
+        pages = self.captured.join(won.select("url"), "url", "left_semi")
+        return won.select(*_TASK), self.stored(pages.select(*RAW_PAGES.names), f"pages{step}")
+
+    def with_tasks(self, tasks: DataFrame) -> dict[str, Any]:
+        """The adapters that have work; at most one row per adapter reaches the driver."""
+        present = {r["source"] for r in tasks.select("source").distinct().collect()}
+        return {s: a for s, a in self.adapters.items() if s in present}
 
     def of(self, df: DataFrame, source: str) -> DataFrame:
         return df.where(F.col("source") == source)
@@ -133,27 +141,32 @@ class _Cycle:
         seeded = self.stored(
             _union(expanded).withColumn("seq", _seq(0, self.adapter_no(), pos=F.col("pos"))).select(*_TASK), "seeded"
         )
-        first = self.claim(seeded, 1)
+        first, pages = self.claim(seeded, 1)
 
-        outcomes, links = [], []
         discovering = first.where("kind = 'discover'")
-        for source, adapter in self.adapters.items():
-            seen, found = adapter.discover(self.of(discovering, source), self.captured)
+        outcomes, links = [], []
+        for source, adapter in self.with_tasks(discovering).items():
+            seen, found = adapter.discover(self.of(discovering, source), pages)
             outcomes.append(seen.select(*_FACTS))
-            links.append(found)
-        visited = self.stored(_union(outcomes), "visited")
-        found = _union([f.select("source", "kind", "url", "seed_name", "priority", "metadata", "parent", "pos") for f in links])
-        discovered = self.stored(
-            found.withColumn("seq", _seq(1, self.adapter_no(), parent="parent", pos=F.col("pos"))).select(*_TASK),
-            "discovered",
+            links.append(found.withColumn("seq", _seq(1, self.adapter_no(), parent="parent", pos=F.col("pos"))).select(*_TASK))
+        nothing = first.limit(0)
+        unseen = nothing.select(
+            *_TASK, F.lit(0).alias("status_code"), F.lit(False).alias("blocked"), F.lit(None).cast("string").alias("error")
         )
-        second = self.claim(discovered, 2)
+        visited = self.stored(_union([unseen, *outcomes]), "visited") if outcomes else unseen
+        discovered, second, more = nothing, nothing, pages.limit(0)
+        if links:
+            discovered = self.stored(_union(links), "discovered")
+            second, more = self.claim(discovered, 2)
 
-        fetching = first.where("kind = 'fetch_post'").unionByName(second)
+        fetching, pages = first.where("kind = 'fetch_post'").unionByName(second), pages.unionByName(more)
         parsed = [
-            a.parse(a.with_page(self.of(fetching, s), self.captured)).select(*_FACTS, "post", "author", "fetched_at")
-            for s, a in self.adapters.items()
+            a.parse(a.with_page(self.of(fetching, s), pages)).select(*_FACTS, "post", "author", "fetched_at")
+            for s, a in self.with_tasks(fetching).items()
         ]
+        if not parsed:
+            a = next(iter(self.adapters.values()))
+            parsed = [a.parse(a.with_page(nothing, pages)).select(*_FACTS, "post", "author", "fetched_at")]
         fetched = self.stored(_union(parsed), "fetched")
         self.store_entities(visited, fetched)
 
@@ -175,15 +188,15 @@ class _Cycle:
             ),
         )
         refreshing = self.stored(numbered.select(*_TASK), "refreshing")
-        third = self.claim(refreshing, 3)
+        third, pages = self.claim(refreshing, 3)
 
         threads = [
-            a.comments(self.of(third, s), self.captured).select(
+            a.comments(self.of(third, s), pages).select(
                 "source", "source_entity_id", "post_entity_id", "canonical_url", "author_entity_id",
                 "parent_comment_entity_id", "content_text", "published_at", "fetched_at", "like_count",
                 F.struct("page_no", "pos").alias("_order"),
             )
-            for s, a in self.adapters.items()
+            for s, a in (self.with_tasks(third) or self.adapters).items()
         ]
         comments = self.stored(_union(threads), "comments")
         LogTable.named(self.spark, self.root, "comments").append(comments, self.first, ["_order"])

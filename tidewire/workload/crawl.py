@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.operators import frontier as FR
 from tidewire.operators import listing, runs
+from tidewire.plans.cycle import run_cycle
+from tidewire.session import run_dir
 from tidewire.sources import forum, video
+from tidewire.sources.tables import LogTable
 from tidewire.workload import views as V
+from tidewire.workload.parsing import article_pages
 from tidewire.workload.registry import Tables, query
 
 POLICY = FR.FreshnessPolicy()
@@ -207,3 +213,93 @@ def run_stats(t: Tables) -> DataFrame:
         F.lit(1).alias("authors"),
     )
     return runs.run_stats(tasks)
+
+
+@query(
+    "discovered_tasks",
+    """WITH p AS (SELECT page_id, url AS page, page_id % 3 AS k FROM pages)
+SELECT page, 'https://xueqiu.com/' || page_id || '/1' AS url, 150 AS priority, page AS discovered_from, 0 AS pos FROM p WHERE k <> 0
+UNION ALL SELECT page, 'https://xueqiu.com/' || page_id || '/2', 150, page, 1 FROM p WHERE k = 1""",
+)
+def discovered_tasks(t: Tables) -> DataFrame:
+    """Discover tasks over the pages: plain pages, pages with post links, stock timelines as JSON."""
+    shape, pid = F.col("page_id") % 3, F.col("page_id").cast("string")
+
+    def link(n: str):
+        return F.concat(F.lit('<a href="https://xueqiu.com/'), pid, F.lit(f'/{n}">'))
+
+    record = F.struct(F.lit(1).alias("id"), F.col("page_id").alias("user_id"), F.col("html").alias("text"))
+    timeline = F.to_json(F.struct(F.array(record).alias("list")))
+    text = (
+        F.when(shape == 1, F.concat(link("2/"), F.col("html"), link("1"), link("1/")))
+        .when(shape == 2, timeline).otherwise(F.col("html"))
+    )
+    rows = t.pages.select("page_id", "url", text.alias("text"))
+    seed_kind = F.when(F.col("page_id") % 3 == 2, "stock").otherwise("homepage")
+    tasks = rows.select(
+        F.lit("xueqiu").alias("source"), F.lit("discover").alias("kind"), "url", F.lit("s").alias("seed_name"),
+        F.lit(120).alias("priority"), F.create_map(F.lit("seed_kind"), seed_kind).alias("metadata"), F.col("page_id").alias("seq"),
+    )
+    captured = rows.select(
+        "url", F.lit(1).alias("page_no"), F.lit("main").alias("section"), F.lit(200).alias("status_code"), "text",
+        F.lit(None).cast("string").alias("error_message"), F.lit(None).cast("string").alias("proxy_url"),
+        V.as_of().alias("fetched_at"),
+    )
+    _, found = forum.discover(tasks, captured)
+    return found.select(
+        F.col("parent.url").alias("page"), "url", "priority", F.col("metadata")["discovered_from"].alias("discovered_from"), "pos"
+    )
+
+
+_SHAPES = "page_id % 6 IN (0, 1, 2, 4)"
+
+
+@query(
+    "crawl_cycle",
+    f"""SELECT 'post' AS kind, CAST(page_id + 1000000 AS VARCHAR) AS id FROM pages WHERE {_SHAPES}
+UNION ALL SELECT 'error', 'Could not parse post payload from https://xueqiu.com/' || page_id || '/' || (page_id + 1000000) || '?x=1#c' FROM pages WHERE NOT {_SHAPES}
+UNION ALL SELECT 'comment', conv_id || ':' || turn FROM conversations WHERE conv_id IN (SELECT page_id FROM pages WHERE {_SHAPES})
+UNION ALL SELECT 'claimed', 'https://xueqiu.com/' || page_id || '/' || (page_id + 1000000) || '?x=1#c' FROM pages
+UNION ALL SELECT 'claimed', 'https://xueqiu.com/statuses/comments.json?id=' || (page_id + 1000000) || '&count=20&page=1' FROM pages WHERE {_SHAPES}
+UNION ALL SELECT 'run', 'succeeded ' || count(*) FROM pages""",
+)
+def crawl_cycle(t: Tables) -> DataFrame:
+    """A whole cycle: every page is a seed, every conversation the comments of the page's post."""
+    root = run_dir(t.spark, "crawl-cycle")
+    articles = article_pages(t)
+    none = F.array().cast("array<string>")
+    seeds = articles.select(
+        F.concat(F.lit("s-"), "url").alias("name"), F.lit(False).alias("discover_homepage"), F.array("url").alias("post_urls"),
+        *[none.alias(c) for c in ("bilibili_video_targets", "bilibili_space_urls", "stock_ids", "topic_ids", "user_ids")],
+    )
+    comment = F.struct(F.col("source_entity_id").alias("id"), F.col("content_text").alias("text"))
+    post_id = (F.col("post_entity_id").cast("bigint") + 1000000).cast("string")
+    threads = V.comments(t).select(
+        F.concat(F.lit("https://xueqiu.com/statuses/comments.json?id="), post_id, F.lit("&count=20&page=1")).alias("url"),
+        (F.split_part("source_entity_id", F.lit(":"), F.lit(2)).cast("int") + 1).alias("page_no"),
+        F.to_json(F.struct(F.array(comment).alias("comments"), F.lit(True).alias("has_more"))).alias("text"),
+        V.as_of().alias("fetched_at"),
+    )
+    captured = articles.withColumn("page_no", F.lit(1)).unionByName(threads).withColumns(
+        {"section": F.lit("main"), "status_code": F.lit(200)}
+    )
+    # Captured pages are a stored table in practice; here they are derived, so they are stored first.
+    captured.write.parquet(f"{root}/captured")
+    stored = t.spark.read.parquet(f"{root}/captured")
+    run = run_cycle(
+        t.spark, root, seeds, stored, run_id="run", batch_id=1, now=datetime(2024, 6, 1, tzinfo=timezone.utc)
+    )
+
+    def table(name: str, kind: str, column: str) -> DataFrame:
+        return LogTable.named(t.spark, root, name).read().select(F.lit(kind).alias("kind"), F.col(column).alias("id"))
+
+    parts = [
+        table("comments", "comment", "source_entity_id"),
+        table("crawl_errors", "error", "error_message"),
+        table("url_state", "claimed", "url"),
+        run.select(F.lit("run").alias("kind"), F.concat_ws(" ", "status", F.col("pages_fetched").cast("string")).alias("id")),
+    ]
+    result = table("posts", "post", "source_entity_id")
+    for part in parts:
+        result = result.unionByName(part)
+    return result

@@ -156,7 +156,7 @@ def owner_comments(t: Tables) -> DataFrame:
     return kept.select("source", "post_entity_id", "source_entity_id", "author_entity_id")
 
 
-_TREE_SQL = f"""WITH RECURSIVE all_c AS ({V.COMMENTS_SQL}), c AS (SELECT * FROM all_c WHERE NOT source_entity_id LIKE '%:1'),
+_TREE_SQL = f"""WITH RECURSIVE c AS ({V.COMMENTS_SQL}),
 linked AS (SELECT c.post_entity_id, c.source_entity_id, c.parent_comment_entity_id AS parent, p.source_entity_id AS found
   FROM c LEFT JOIN c AS p ON p.post_entity_id = c.post_entity_id AND p.source_entity_id = c.parent_comment_entity_id),
 tree AS (
@@ -168,14 +168,9 @@ tree AS (
 _TREE_COLUMNS = "post_entity_id, source_entity_id, root_id, CAST(depth AS BIGINT) AS depth, is_orphan"
 
 
-def _forest(t: Tables) -> DataFrame:
-    # The comment that answers first is missing, so its replies become orphans.
-    return V.comments(t).where(~F.endswith("source_entity_id", F.lit(":1")))
-
-
 @query("comment_tree", f"{_TREE_SQL} SELECT {_TREE_COLUMNS} FROM tree")
 def comment_tree(t: Tables) -> DataFrame:
-    return threads.comment_tree(_forest(t)).drop("source", "in_cycle")
+    return threads.comment_tree(V.comments(t)).drop("source", "in_cycle")
 
 
 @query(
@@ -184,7 +179,7 @@ def comment_tree(t: Tables) -> DataFrame:
 WHERE depth = 0 OR NOT EXISTS (SELECT 1 FROM tree r WHERE r.is_orphan AND r.source_entity_id = tree.root_id)""",
 )
 def comment_tree_strict(t: Tables) -> DataFrame:
-    return threads.comment_tree(_forest(t), strict=True).drop("source", "in_cycle")
+    return threads.comment_tree(V.comments(t), strict=True).drop("source", "in_cycle")
 
 
 @query(

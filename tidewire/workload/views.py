@@ -65,7 +65,7 @@ FROM documents"""
 COMMENTS_SQL = """
 SELECT 'xueqiu' AS source, conv_id || ':' || turn AS source_entity_id, CAST(conv_id AS VARCHAR) AS post_entity_id,
        CASE WHEN role <> 'system' THEN role END AS author_entity_id,
-       CASE WHEN turn > 0 THEN conv_id || ':' || ((turn - 1) // 2) END AS parent_comment_entity_id,
+       CASE WHEN turn IN (3, 4) THEN conv_id || ':gone' WHEN turn > 0 THEN conv_id || ':' || ((turn - 1) // 2) END AS parent_comment_entity_id,
        text AS content_text,
        CASE WHEN turn % 3 <> 0 THEN TIMESTAMP '2024-01-01' + to_minutes(conv_id * 10 + 20 - turn) END AS published_at,
        TIMESTAMP '2024-02-01' + to_seconds(turn) AS fetched_at
@@ -96,7 +96,9 @@ def comments(t: Tables) -> DataFrame:
         F.concat(conv, F.lit(":"), turn.cast("string")).alias("source_entity_id"),
         conv.alias("post_entity_id"),
         F.when(F.col("role") != "system", F.col("role")).alias("author_entity_id"),
-        F.when(turn > 0, F.concat(conv, F.lit(":"), parent)).alias("parent_comment_entity_id"),
+        # Answers to the second turn lost their parent, so they and what hangs below are orphans.
+        F.when(turn.isin(3, 4), F.concat(conv, F.lit(":gone")))
+        .when(turn > 0, F.concat(conv, F.lit(":"), parent)).alias("parent_comment_entity_id"),
         F.col("text").alias("content_text"),
         F.when(turn % 3 != 0, at).alias("published_at"),
         (F.lit("2024-02-01").cast("timestamp") + F.make_dt_interval(secs=turn.cast("decimal(18,6)"))).alias("fetched_at"),
