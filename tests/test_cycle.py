@@ -89,9 +89,12 @@ def _captured(spark):
     video = {"code": 0, "data": {"aid": 11, "bvid": "BV0000000001", "title": "v", "desc": "", "pubdate": 1700000000,
                                  "owner": {"mid": 5, "name": "o"}, "stat": {"like": 1}}}
     own = {"data": {"list": {"vlist": [{"bvid": "BV0000000001", "aid": 11, "created": 9}]}}, "code": 0}
-    replies = {"code": 0, "data": {"replies": [
-        {"rpid": 1, "member": {"mid": "5"}, "content": {"message": " mine "}, "ctime": 1},
-        {"rpid": 2, "member": {"mid": "6"}, "content": {"message": "other"}, "ctime": 1}]}}
+    def reply_page(rpid, final=False):
+        rows = [{"rpid": rpid, "member": {"mid": "5"}, "content": {"message": " mine "}, "ctime": 1},
+                {"rpid": 2, "member": {"mid": "6"}, "content": {"message": "other"}, "ctime": 1}]
+        return json.dumps({"code": 0, "data": {"replies": rows, "cursor": {"is_end": final, "next": 5}}})
+
+    answer = {"code": 0, "data": {"replies": [{"rpid": 9, "parent": 1, "member": {"mid": "5"}, "content": {"message": "a"}}]}}
     rows = [
         ("https://xueqiu.com/", 1, "main", 200, f'<a href="{post}100001/"></a><a href="{post}100002"></a><a href="{post}100003"></a>'),
         (post + "100001", 1, "main", 200, ARTICLE.format(user=7, n=1)),
@@ -104,8 +107,11 @@ def _captured(spark):
         ("https://space.bilibili.com/5", 1, "main", 200, json.dumps(own)),
         ("https://space.bilibili.com/5", 2, "main", 412, ""),
         ("https://www.bilibili.com/video/BV0000000001", 1, "main", 200, json.dumps(video)),
-        (video_comments, 1, "main", 200, json.dumps(replies)),
-        (video_comments, 2, "main", 200, json.dumps(replies)),
+        (video_comments, 1, "main", 200, reply_page(1)),
+        (video_comments, 2, "main", 200, reply_page(3)),
+        (video_comments, 3, "main", 200, reply_page(3)),  # nothing new: the listing ends before it
+        (video_comments, 4, "main", 200, reply_page(4)),
+        (video_comments, 5, "reply", 200, json.dumps(answer)),
     ]
     schema = "url string, page_no int, section string, status_code int, text string"
     df = spark.createDataFrame(rows, schema)
@@ -124,14 +130,14 @@ def test_cycle(spark, tmp_path):
     assert run.posts_written == 3 and run.authors_written == 3
     # Blocked: the 403 page and page 2 of the space. The third discovered post was not captured.
     assert run.blocked_responses == 2 and run.errors == 3
-    assert run.comments_written == 3
+    assert run.comments_written == 5
     assert run.status == "succeeded" and run.seeds_processed == 1
 
     def ids(table):
         return sorted(r.source_entity_id for r in LogTable.named(spark, root, table).read().collect())
 
     assert ids("posts") == ["100001", "100004", "11"]
-    assert ids("comments") == ["1", "1", "2"]
+    assert ids("comments") == ["1", "1", "2", "3", "9"]
     assert ids("authors") == ["5", "7", "8"]
     errors = sorted(r.error_message for r in LogTable.named(spark, root, "crawl_errors").read().collect())
     assert errors == [
@@ -173,3 +179,28 @@ def test_failed_cycle_is_recorded(spark, tmp_path):
         run_cycle(spark, str(tmp_path), seeds, _captured(spark), run_id="x", batch_id=1, now=NOW, adapters={"xueqiu": Broken()})
     row = LogTable.named(spark, str(tmp_path), "crawl_runs").read().first()
     assert row.status == "failed" and row.errors == 1
+
+
+def test_video_listing_ends(spark):
+    """The last page by cursor is kept, pages after it are not; an empty page ends a listing too."""
+    from tidewire.sources import video
+
+    def page(rpid, end):
+        rows = [{"rpid": rpid, "content": {"message": "m"}}] if rpid else []
+        return json.dumps({"code": 0, "data": {"replies": rows, "cursor": {"is_end": end, "next": 1}}})
+
+    listings = {
+        "cursor": [page(1, False), page(2, True), page(3, False)],
+        "empty": [page(1, False), page(0, False), page(3, False)],
+        "failed": [page(1, False), "{", page(3, False)],
+        "no cursor": ['{"code":0,"data":{"replies":[{"rpid":1,"content":{"message":"m"}}]}}', page(2, False)],
+    }
+    rows = [(u, i + 1, "main", 200, t, None) for u, pages in listings.items() for i, t in enumerate(pages)]
+    captured = spark.createDataFrame(
+        rows, "url string, page_no int, section string, status_code int, text string, error_message string"
+    ).withColumn("fetched_at", F.current_timestamp())
+    tasks = captured.select("url").distinct().withColumn(
+        "metadata", F.create_map(F.lit("post_id"), F.col("url"), F.lit("canonical_url"), F.lit("https://v"))
+    )
+    got = sorted((r.url, r.source_entity_id) for r in video.comments(tasks, captured).collect())
+    assert got == [("cursor", "1"), ("cursor", "2"), ("empty", "1"), ("failed", "1"), ("no cursor", "1")]

@@ -43,6 +43,20 @@ def test_log_table(spark, tmp_path):
     assert table.read().schema.names == AUTHORS.names
 
 
+def test_partial_reads(spark, tmp_path):
+    table = LogTable.named(spark, str(tmp_path), "authors")
+    table.append(authors(spark, ("1", "a", 1), ("2", "b", 1)), 1, ["seq"])
+    table.compact()
+    table.append(authors(spark, ("2", "c", 1), ("3", "d", 1)), 2, ["seq"])
+    wanted = spark.createDataFrame([("2",), ("2",), ("9",)], "source_entity_id string")
+    assert names(table.read(only=wanted)) == [("2", "c")]
+    # A point lookup reaches the files of both snapshot and log through the merge.
+    found = table.read().where("source = 'x' and source_entity_id = '2'")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("EqualTo(source_entity_id,2)") == 2
+    assert names(found) == [("2", "c")]
+
+
 def test_unfinished_writes_are_ignored(spark, tmp_path):
     table = LogTable.named(spark, str(tmp_path), "authors")
     table.append(authors(spark, ("1", "a", 1)), 1, ["seq"])

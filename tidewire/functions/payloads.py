@@ -60,30 +60,39 @@ _LINK_FIELDS = ("target", "url", "canonical_url", "share_url")
 _STATUS_FIELDS = ("status", "retweeted_status", "retweet_status", "original_status")
 
 
-def _timeline_links(node: object, base: str, is_post) -> list[str]:
-    found: set[str] = set()
-    # (value, visit): visit means the value is a status record whose links count.
-    pending: list[tuple[object, bool]] = [(node, False)]
-    while pending:
-        value, visit = pending.pop()
-        if isinstance(value, list):
-            # Only a container that is walked hands its elements on; a status field does not.
-            if not visit:
-                for item in value:
-                    pending.append((item, False))
-                    pending.append((item, True))
-        elif isinstance(value, dict) and visit:
-            links = [value[k] for k in _LINK_FIELDS if isinstance(value.get(k), str)]
-            post, user = value.get("id") or value.get("status_id"), value.get("user_id")
-            if user is None and isinstance(value.get("user"), dict):
-                user = value["user"].get("id")
-            if post is not None and user is not None:
-                links.append(f"{base}/{user}/{post}")
-            found.update(u for u in (link.rstrip("/") for link in links) if is_post(u))
-            pending.extend((value.get(k), True) for k in _STATUS_FIELDS)
-        elif isinstance(value, dict):
-            pending.extend((v, False) for v in value.values())
-    return sorted(found)
+def _status_links(status: dict, base: str) -> list[str]:
+    """Link texts of a status record and of the statuses embedded in it."""
+    links: list[str] = []
+    chain: list[object] = [status]
+    while chain:
+        record = chain.pop()
+        if not isinstance(record, dict):
+            continue
+        links += [record[k] for k in _LINK_FIELDS if isinstance(record.get(k), str)]
+        post, author = record.get("id") or record.get("status_id"), record.get("user_id")
+        if author is None and isinstance(record.get("user"), dict):
+            author = record["user"].get("id")
+        if post is not None and author is not None:
+            links.append(f"{base}/{author}/{post}")
+        chain += [record[k] for k in _STATUS_FIELDS if k in record]
+    return links
+
+
+def _timeline_links(payload: object, base: str, is_post) -> list[str]:
+    """Every object that is an element of some list, at any depth, is a status record."""
+    links: list[str] = []
+    containers = [payload] if isinstance(payload, (dict, list)) else []
+    while containers:
+        node = containers.pop()
+        children = node
+        if isinstance(node, dict):
+            children = node.values()
+        else:
+            for item in node:
+                if isinstance(item, dict):
+                    links += _status_links(item, base)
+        containers += [c for c in children if isinstance(c, (dict, list))]
+    return sorted({u for u in (link.rstrip("/") for link in links) if is_post(u)})
 
 
 def timeline_links(text: Column, base_url: str = FORUM_BASE, pattern: str = POST_URL) -> Column:

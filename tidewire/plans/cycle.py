@@ -121,7 +121,7 @@ class _Cycle:
     def claim(self, tasks: DataFrame, step: int) -> tuple[DataFrame, DataFrame]:
         """Claimed tasks and their captured pages. The captured table is scanned once per pass,
         here; what is parsed later is the stored part of it that was claimed."""
-        before = self.urls.read(before=self.first + step)
+        before = self.urls.read(before=self.first + step, only=tasks)
         winners = claim_winners(tasks, before, now=self.now, policy=self.policy)
         won = self.stored(winners, f"claims{step}")
         self.urls.append(claimed_state(won, now=self.now), self.first + step)
@@ -173,7 +173,7 @@ class _Cycle:
         posts = self.posts_of(fetched)
         items = LogTable.named(self.spark, self.root, "item_state")
         self.store_items(items, posts)
-        due = comments_due(posts.drop("_order"), items.read(before=self.first + 2), now=self.now, min_age=self.policy.comment_refresh)
+        due = comments_due(posts.drop("_order"), items.read(before=self.first + 2, only=posts), now=self.now, min_age=self.policy.comment_refresh)
         refresh = [
             a.comment_tasks(self.of(due, s)).withColumn(
                 "_parent", F.col("metadata")["post_id"]
@@ -221,19 +221,18 @@ class _Cycle:
             F.lit(None).cast("timestamp").alias("last_comment_refresh_at"),
             F.to_json(F.struct("canonical_url")).alias("metadata_json"), "_order",
         )
-        known = items.read(before=self.first + 1)
+        known = items.read(before=self.first + 1, only=rows)
         images = changed_rows(known, rows, list(items.keys), ["_order"], preserve=["last_comment_refresh_at"])
         items.append(images, self.first + 1)
 
     def mark_refreshed(self, items: LogTable, comments: DataFrame) -> None:
         """Posts that got comments were refreshed now; unknown posts are not inserted."""
         done = comments.select("source", F.col("post_entity_id").alias("source_entity_id")).distinct()
-        known = items.read(before=self.first + 2)
-        marked = known.join(done, list(items.keys), "left_semi").withColumn("last_comment_refresh_at", self.now)
+        marked = items.read(before=self.first + 2, only=done).withColumn("last_comment_refresh_at", self.now)
         items.append(marked, self.first + 2)
 
     def mark_fetched(self, statuses: DataFrame) -> None:
-        known = self.urls.read(before=self.first + 4)
+        known = self.urls.read(before=self.first + 4, only=statuses)
         rows = known.join(statuses.withColumnRenamed("status_code", "_status"), "url")
         marked = rows.withColumns({"last_fetched_at": self.now, "last_status": F.col("_status").cast("int")})
         self.urls.append(marked.drop("_status"), self.first + 4)

@@ -92,7 +92,7 @@ def refresh_seeds(
     state = LogTable.named(spark, root, "generated_seed_items")
     keys = list(state.keys)
     batch = items.select(*keys).distinct().withColumns({"first_seen_at": at, "last_seen_at": at})
-    known = state.read(before=batch_id)
+    known = state.read(before=batch_id, only=batch)
     state.append(changed_rows(known, batch, keys, ["last_seen_at"], preserve=["first_seen_at"]), batch_id)
     if failure is not None:
         raise failure

@@ -62,13 +62,20 @@ class LogTable:
         rows = conform(rows.drop(*[c for c in order if c not in self.schema.names]), self.schema)
         rows.write.mode("overwrite").parquet(f"{self.path}/log/{_BATCH}={batch_id:012d}")
 
-    def read(self, before: int | None = None) -> DataFrame:
-        """Current rows: the latest image per key. `before` hides that batch and later ones, so
-        a replayed batch sees the table as it was the first time."""
-        return self._merged(None if before is None else before - 1).select(*self.schema.names)
+    def read(self, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
+        """Current rows: the latest image per key.
 
-    def _merged(self, upto: int | None) -> DataFrame:
+        `before` hides that batch and later ones, so a replayed batch sees the table as it was
+        the first time. `only` names the wanted keys by (some of) the key columns; all other
+        images drop out before the merge, so a small batch does not shuffle the whole table.
+        """
+        return self._merged(None if before is None else before - 1, only).select(*self.schema.names)
+
+    def _merged(self, upto: int | None, only: DataFrame | None = None) -> DataFrame:
         rows = self._images(upto)
+        if only is not None:
+            wanted = [k for k in self.keys if k in only.columns]
+            rows = rows.join(only.select(*wanted).distinct(), wanted, "left_semi")
         return last_by_key(rows, self.keys, [_BATCH]) if self.keys else rows
 
     def compact(self) -> int | None:

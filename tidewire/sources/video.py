@@ -257,7 +257,7 @@ def flatten_replies(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Comments of reply payloads (`text`, `post_entity_id`, `canonical_url`, `is_reply`,
     `owner_mid`, `fetched_at`); with a known owner only the owner's comments remain."""
     replies = J.elements(J.parse(F.col("text")), "data.replies")
-    known = [*keep, "post_entity_id", "canonical_url", "is_reply", "owner_mid", "fetched_at"]
+    known = list(dict.fromkeys([*keep, "post_entity_id", "canonical_url", "is_reply", "owner_mid", "fetched_at"]))
     r = F.col("_r")
     fields = payloads.select(*known, F.posexplode(replies).alias("pos", "_r")).where(J.is_object(r)).select(
         *known,
@@ -302,28 +302,41 @@ def comment_tasks(posts: DataFrame, api_base: str = U.VIDEO_API_BASE, mode: int
 
 
 def comments(tasks: DataFrame, captured: DataFrame) -> DataFrame:
-    """Comments of refresh tasks: root pages until one repeats or fails, and reply pages."""
+    """Comments of refresh tasks, from root pages (`main`) and answer pages (`reply`).
+
+    A root listing ends before its first failed, empty or repeated page, and after the first
+    page whose cursor says so; a page without a cursor is the last one.
+    """
     meta = F.col("metadata")
     pages = tasks.select(
         "url", meta["post_id"].alias("post_entity_id"), meta["canonical_url"].alias("canonical_url"),
         meta["owner_mid"].alias("owner_mid"),
     ).join(captured.where("section in ('main', 'reply')"), "url")
-    good = with_call(pages).where("call_message is null").drop("_body", "call_message", "call_blocked")
-    rows = flatten_replies(good.withColumn("is_reply", F.col("section") == "reply"), keep=("url", "page_no", "section"))
-    # Whether a page repeats is judged on all its root ids, before any comment is dropped.
-    roots = good.where("section = 'main'").select(
-        "url", "page_no", F.explode(J.elements(J.parse(F.col("text")), "data.replies")).alias("_r")
+    body = F.col("_body")
+    cursor_end = F.coalesce(J.field(body, "data.cursor.is_end", "boolean"), F.lit(True))
+    cursor_next = F.coalesce(J.field(body, "data.cursor.next", "bigint"), F.lit(0))
+    called = with_call(pages).withColumns(
+        {
+            "_failed": F.col("call_message").isNotNull(),
+            "_root": F.col("section") == "main",
+            "_final": cursor_end | (cursor_next <= 0),
+        }
     )
-    repeated = (
-        page_novelty(roots.select("url", "page_no", J.field(F.col("_r"), "rpid").alias("rpid")), ["url"], "rpid", "page_no")
-        .where("ids > 0 and new_ids = 0")
-        .select("url", F.col("page_no").alias("_stop"))
+    root = called.where("_root")
+    # Whether a page repeats is judged on all its ids, before any comment is dropped.
+    ids = root.where("not _failed").select("url", "page_no", F.explode(J.elements(body, "data.replies")).alias("_r"))
+    fresh = page_novelty(
+        ids.select("url", "page_no", J.field(F.col("_r"), "rpid").alias("rpid")), ["url"], "rpid", "page_no"
     )
-    failed = pages.join(good.select("url", "page_no", "section"), ["url", "page_no", "section"], "left_anti")
-    stops = (
-        repeated.unionByName(failed.where("section = 'main'").select("url", F.col("page_no").alias("_stop")))
+    page = F.col("page_no")
+    dead = F.col("ids").isNull() | ((F.col("ids") > 0) & (F.col("new_ids") == 0))
+    ends = (
+        root.select("url", "page_no", "_final")
+        .join(fresh, ["url", "page_no"], "left")
         .groupBy("url")
-        .agg(F.min("_stop").alias("_stop"))
+        .agg(F.min(F.when(dead, page)).alias("_before"), F.min(F.when(F.col("_final"), page)).alias("_last"))
     )
-    keep = (F.col("section") != "main") | F.col("_stop").isNull() | (F.col("page_no") < F.col("_stop"))
-    return rows.join(stops, "url", "left").where(keep).drop("_stop", "section")
+    good = called.where("not _failed").select(*pages.columns, (~F.col("_root")).alias("is_reply"))
+    rows = flatten_replies(good, keep=("url", "page_no", "is_reply"))
+    open_until = (F.col("_before").isNull() | (page < F.col("_before"))) & (F.col("_last").isNull() | (page <= F.col("_last")))
+    return rows.join(ends, "url", "left").where(F.col("is_reply") | open_until).drop("_before", "_last", "is_reply")

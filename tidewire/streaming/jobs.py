@@ -90,7 +90,7 @@ def claim_stream(
         spark = rows.sparkSession
         at = now()
         folder = f"{claims_path}/batch={batch:012d}"
-        claim_winners(rows, state.read(before=batch), now=at, policy=policy).withColumn(
+        claim_winners(rows, state.read(before=batch, only=rows), now=at, policy=policy).withColumn(
             "claimed_at", at
         ).write.mode("overwrite").parquet(folder)
         winners = spark.read.parquet(folder)
@@ -107,7 +107,7 @@ def seed_item_stream(
 
     def work(rows: DataFrame, batch: int) -> None:
         seen = rows.groupBy(*keys).agg(F.min(seen_at).alias("first_seen_at"), F.max(seen_at).alias("last_seen_at"))
-        known = state.read(before=batch)
+        known = state.read(before=batch, only=seen)
         state.append(changed_rows(known, seen, keys, ["last_seen_at"], preserve=["first_seen_at"]), batch)
 
     return each_batch(items, work, checkpoint, poll_seconds)

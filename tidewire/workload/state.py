@@ -104,7 +104,7 @@ def log_table_upsert(t: Tables) -> DataFrame:
 @query(
     "update_fetched",
     f"""WITH s AS ({V.URL_STATE_SQL}), u AS (
-SELECT 'https://e.example/' || user_id AS url, max(event_id) AS last_id FROM events WHERE event_type <> 'error' GROUP BY user_id),
+SELECT 'https://e.example/' || user_id AS url, max(event_id) AS last_id FROM events GROUP BY user_id),
 l AS (SELECT u.url, CASE WHEN e.event_type = 'view' THEN NULL ELSE CAST(300 + e.event_id % 100 AS INTEGER) END AS status
   FROM u JOIN events e ON e.event_id = u.last_id)
 SELECT s.url, s.kind, CASE WHEN l.url IS NULL THEN s.last_fetched_at ELSE {V.AS_OF_SQL} END AS last_fetched_at,
@@ -112,7 +112,7 @@ SELECT s.url, s.kind, CASE WHEN l.url IS NULL THEN s.last_fetched_at ELSE {V.AS_
 )
 def update_fetched(t: Tables) -> DataFrame:
     """Mark URLs fetched; a null status overwrites, unknown URLs are not inserted."""
-    updates = t.events.where("event_type <> 'error'").select(
+    updates = t.events.select(
         F.concat(F.lit("https://e.example/"), F.col("user_id").cast("string")).alias("url"),
         V.as_of().alias("last_fetched_at"),
         F.when(F.col("event_type") != "view", 300 + F.col("event_id") % 100).cast("int").alias("last_status"),
