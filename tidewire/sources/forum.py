@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewire.functions import payloads as J
 from tidewire.functions import urls as U
 from tidewire.functions.html import extract_articles, page_links
+from tidewire.functions.staging import compute_once
 from tidewire.functions.text import is_blank, non_empty, strip_html
 from tidewire.functions.times import lenient_variant_time
 from tidewire.sources.tasks import explode_values, metadata, task_rows
@@ -92,16 +93,17 @@ def classify(pages: DataFrame) -> DataFrame:
     failed = non_empty(F.col("error_message")).isNotNull()
     blocked = ~failed & is_blocked(F.col("text"), F.col("status_code"))
     error = F.when(failed, transport_error(F.col("url"), F.col("error_message"), F.col("proxy_url"))).when(
-        blocked, F.concat(F.lit("Blocked response from "), F.col("url"))
+        F.col("blocked"), F.concat(F.lit("Blocked response from "), F.col("url"))
     )
-    return pages.withColumns({"blocked": blocked, "error": error})
+    return compute_once(pages, {"blocked": blocked}).withColumn("error", error)
 
 
 def discovered_links(pages: DataFrame, pattern: str = U.POST_URL) -> DataFrame:
     """Add `links`: stock searches are JSON timelines, all else (and broken JSON) is HTML."""
     stock = F.col("metadata")["seed_kind"] == "stock"
-    walked = J.timeline_links(F.when(stock, F.col("text")), pattern=pattern)
-    return pages.withColumn("links", F.coalesce(walked, page_links(F.col("text"), pattern + "/?")))
+    walked = pages.withColumn("_walked", J.timeline_links(F.when(stock, F.col("text")), pattern=pattern))
+    links = F.coalesce("_walked", page_links(F.col("text"), pattern + "/?"))
+    return compute_once(walked, {"links": links}).drop("_walked")
 
 
 def parse(fetched: DataFrame) -> DataFrame:
@@ -151,22 +153,29 @@ def flatten_comments(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame
     records = F.when(F.size(first) > 0, first).otherwise(J.elements(body, "list"))
     rows = listed.select(*keep, "post_entity_id", "fetched_at", F.posexplode(records).alias("pos", "_c"))
     c = F.col("_c")
-    flat = rows.where(J.is_object(c)).select(
+    flat = compute_once(
+        rows.where(J.is_object(c)),
+        {
+            "source_entity_id": J.field(c, "id"),
+            "_markup": J.first_text(c, "text", "description"),
+            "_created": J.first_usable(c, "created_at", "created_at_text"),
+        },
+    ).where("source_entity_id is not null and _markup is not null")
+    stripped = flat.withColumn("_stripped", strip_html(F.col("_markup")))
+    return compute_once(stripped, {"content_text": F.col("_stripped")}).where("content_text <> ''").select(
         *keep,
         F.lit(SOURCE).alias("source"),
-        J.field(c, "id").alias("source_entity_id"),
+        "source_entity_id",
         "post_entity_id",
         J.field(c, "url").alias("canonical_url"),
         J.field(c, "user.id").alias("author_entity_id"),
         J.field(c, "reply_id").alias("parent_comment_entity_id"),
-        J.first_text(c, "text", "description").alias("_markup"),
-        lenient_variant_time(J.first_usable(c, "created_at", "created_at_text")).alias("published_at"),
+        "content_text",
+        lenient_variant_time(F.col("_created")).alias("published_at"),
         "fetched_at",
         J.field(c, "like_count", "bigint").alias("like_count"),
         "pos",
-    ).where("source_entity_id is not null and _markup is not null")
-    named = flat.withColumn("content_text", strip_html(F.col("_markup"))).drop("_markup")
-    return named.where("content_text <> ''")
+    )
 
 
 def has_more(text: Column) -> Column:

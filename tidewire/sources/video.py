@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions import payloads as J
 from tidewire.functions import urls as U
+from tidewire.functions.staging import compute_once
 from tidewire.functions.text import is_blank, non_empty, optional_int, strip
 from tidewire.functions.times import epoch_seconds
 from tidewire.operators.listing import cap_per_owner, first_seen, page_novelty
@@ -30,11 +31,12 @@ def expand(seeds: DataFrame, web_base: str = U.VIDEO_WEB_BASE) -> DataFrame:
     """Video and space targets to frontier tasks; unparsable targets are dropped."""
     rows = explode_values(seeds, {"video": F.col("bilibili_video_targets"), "space": F.col("bilibili_space_urls")})
     video, space = F.col("seed_kind") == "video", F.col("seed_kind") == "space"
-    parsed = rows.withColumns(
+    parsed = compute_once(
+        rows,
         {
             "_target": F.when(video, U.parse_video_target(F.col("value"), web_base)),
             "_mid": F.when(space, U.parse_space_mid(F.col("value"))),
-        }
+        },
     ).where("_target is not null or _mid is not null")
     meta = metadata(
         video_target=F.when(video, F.col("value")),
@@ -62,7 +64,7 @@ def with_call(pages: DataFrame) -> DataFrame:
     Built in steps, so that the payload is parsed once however often it is read later.
     """
     body, code, status, transport = F.col("_body"), F.col("_code"), F.col("status_code"), non_empty(F.col("error_message"))
-    parsed = pages.withColumn("_body", J.parse(F.col("text"))).withColumn("_code", J.field(body, "code", "bigint"))
+    parsed = compute_once(pages, {"_body": J.parse(F.col("text"))}).withColumn("_code", J.field(body, "code", "bigint"))
     known = F.coalesce(code, F.lit(-1))
     said = F.coalesce(J.first_text(body, "message", "msg"), F.concat(F.lit("API error "), known.cast("string")))
     http_error = F.coalesce(status >= 400, F.lit(False))
@@ -73,7 +75,7 @@ def with_call(pages: DataFrame) -> DataFrame:
         .when(known != 0, F.concat(F.lit("API code "), known.cast("string"), F.lit(": "), said))
     )
     blocked = transport.isNull() & F.when(http_error, status.isin(*BLOCK_STATUS)).otherwise(known == BLOCK_CODE)
-    return parsed.withColumns({"call_message": message, "call_blocked": blocked}).drop("_code")
+    return compute_once(parsed, {"call_message": message, "call_blocked": blocked}).drop("_code")
 
 
 def message_is_blocked(message: Column) -> Column:
@@ -169,11 +171,13 @@ def listing_rows(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     rows = parsed.select(*keep, "mid", "page_no", "section", F.posexplode(videos).alias("pos", "_v"))
     v = F.col("_v")
     mine = (F.col("section") != "search") | (J.field(v, "mid") == F.col("mid"))
-    fields = rows.where(J.is_object(v) & mine).select(
-        *keep, "mid", "section", "page_no", "pos",
-        J.field(v, "bvid", "variant").alias("_bvid"),
-        optional_int(J.field(v, "aid")).alias("_aid"),
-        optional_int(J.first_text(v, "created", "pubdate")).alias("_published"),
+    fields = compute_once(
+        rows.where(J.is_object(v) & mine),
+        {
+            "_bvid": J.field(v, "bvid", "variant"),
+            "_aid": optional_int(J.field(v, "aid")),
+            "_published": optional_int(J.first_text(v, "created", "pubdate")),
+        },
     )
     # Only a JSON string counts as a video id.
     return fields.where(F.schema_of_variant("_bvid") == "STRING").select(
@@ -259,15 +263,14 @@ def flatten_replies(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     replies = J.elements(J.parse(F.col("text")), "data.replies")
     known = list(dict.fromkeys([*keep, "post_entity_id", "canonical_url", "is_reply", "owner_mid", "fetched_at"]))
     r = F.col("_r")
-    fields = payloads.select(*known, F.posexplode(replies).alias("pos", "_r")).where(J.is_object(r)).select(
-        *known,
-        "pos",
-        J.field(r, "rpid").alias("_rpid"),
-        J.field(r, "member.mid").alias("_author"),
-        J.field(r, "parent").alias("_parent"),
-        J.field(r, "content.message").alias("_message"),
-        J.field(r, "ctime").alias("_ctime"),
-        J.field(r, "like").alias("_like"),
+    fields = compute_once(
+        payloads.select(*known, F.posexplode(replies).alias("pos", "_r")).where(J.is_object(r)),
+        {
+            "_rpid": J.field(r, "rpid"),
+            "_author": J.field(r, "member.mid"),
+            "_parent": J.field(r, "parent"),
+            "_message": J.field(r, "content.message"),
+        },
     )
     rpid, author, parent, message = (F.col(c) for c in ("_rpid", "_author", "_parent", "_message"))
     mine = F.col("owner_mid").isNull() | F.coalesce(author == F.col("owner_mid"), F.lit(False))
@@ -280,9 +283,9 @@ def flatten_replies(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         author.alias("author_entity_id"),
         F.when(F.col("is_reply") & (parent != "0"), parent).alias("parent_comment_entity_id"),
         strip(message).alias("content_text"),
-        epoch_seconds(F.col("_ctime")).alias("published_at"),
+        epoch_seconds(J.field(r, "ctime")).alias("published_at"),
         "fetched_at",
-        optional_int(F.col("_like")).alias("like_count"),
+        optional_int(J.field(r, "like")).alias("like_count"),
         "pos",
     )
 

@@ -13,6 +13,7 @@ from tidewire.functions import html as H
 from tidewire.functions import payloads as J
 from tidewire.functions import times
 from tidewire.functions import urls as U
+from tidewire.functions.staging import compute_once
 from tidewire.functions.text import strip_html
 from tidewire.sources import forum, video
 from tidewire.workload import views as V
@@ -247,7 +248,8 @@ def video_payloads(t: Tables) -> DataFrame:
 
 
 def _video_data(t: Tables) -> DataFrame:
-    return video_payloads(t).select("fetched_at", J.field(J.parse(F.col("text")), "data", "variant").alias("data"))
+    parsed = compute_once(video_payloads(t), {"data": J.field(J.parse(F.col("text")), "data", "variant")})
+    return parsed.select("fetched_at", "data")
 
 
 @query(
@@ -259,7 +261,7 @@ def _video_data(t: Tables) -> DataFrame:
 FROM part WHERE p_partkey % 10 <> 0""",
 )
 def video_payload_posts(t: Tables) -> DataFrame:
-    posts = _video_data(t).select(video.post_struct(F.col("data"), F.col("fetched_at")).alias("post"))
+    posts = compute_once(_video_data(t), {"post": video.post_struct(F.col("data"), F.col("fetched_at"))})
     return posts.where(video.is_complete(F.col("post"))).select("post.*").drop("source", "language", "fetched_at", "raw_topic_ids")
 
 
@@ -269,7 +271,7 @@ def video_payload_posts(t: Tables) -> DataFrame:
 FROM part WHERE p_partkey % 7 <> 0""",
 )
 def video_payload_authors(t: Tables) -> DataFrame:
-    authors = _video_data(t).select(video.author_struct(F.col("data"), F.col("fetched_at")).alias("a"))
+    authors = compute_once(_video_data(t), {"a": video.author_struct(F.col("data"), F.col("fetched_at"))})
     return authors.where("a.source_entity_id is not null").select("a.source_entity_id", "a.display_name", "a.profile_url")
 
 
@@ -325,7 +327,7 @@ def video_targets(t: Tables) -> DataFrame:
         .otherwise("  ")
     )
     rows = t.part.select("p_partkey", target.alias("target"))
-    parsed = rows.withColumn("_t", U.parse_video_target(F.col("target")))
+    parsed = compute_once(rows, {"_t": U.parse_video_target(F.col("target"))})
     return parsed.select(
         "p_partkey", "target", "_t.bvid", "_t.aid", "_t.canonical_url", U.parse_space_mid(F.col("target")).alias("space_mid")
     )
