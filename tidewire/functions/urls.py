@@ -137,17 +137,11 @@ def video_url(bvid: Column, web_base: str = VIDEO_WEB_BASE) -> Column:
 
 def parse_video_target(value: Column, web_base: str = VIDEO_WEB_BASE) -> Column:
     """struct(canonical_url, bvid, aid); the BV id wins; null when neither is found."""
-    bvid, aid = extract_bvid(value), extract_aid(value)
-    no_bvid, no_aid = F.lit(None).cast("string"), F.lit(None).cast("bigint")
-    by_bvid = F.struct(
-        video_url(bvid, web_base).alias("canonical_url"), bvid.alias("bvid"), no_aid.alias("aid")
-    )
-    by_aid = F.struct(
-        video_url(F.concat(F.lit("av"), aid.cast("string")), web_base).alias("canonical_url"),
-        no_bvid.alias("bvid"),
-        aid.alias("aid"),
-    )
-    return F.when(bvid.isNotNull(), by_bvid).when(aid.isNotNull(), by_aid)
+    bvid = extract_bvid(value)
+    aid = F.when(bvid.isNull(), extract_aid(value))
+    target = F.coalesce(bvid, F.concat(F.lit("av"), aid.cast("string")))
+    found = F.struct(video_url(target, web_base).alias("canonical_url"), bvid.alias("bvid"), aid.alias("aid"))
+    return F.when(target.isNotNull(), found)
 
 
 def parse_space_mid(value: Column) -> Column:
