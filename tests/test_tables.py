@@ -93,6 +93,7 @@ def test_datasets(spark, tmp_path):
 
 
 def test_tables_and_sql(spark, tmp_path):
+    authors(spark, ("1", "a", 1)).createOrReplaceTempView("zz_session_view")
     created = create_tables(spark, "feed")
     assert create_tables(spark, "feed") == created and len(created) == 10
     listed = [r.tableName for r in sqlsurface.list_tables(spark, "feed").collect()]

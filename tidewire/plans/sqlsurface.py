@@ -27,8 +27,10 @@ def run_sql(spark: SparkSession, sql: str, read_only: bool = True) -> DataFrame:
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
-    where = f" IN {database}" if database else ""
-    return spark.sql(f"SHOW TABLES{where}").select("tableName").orderBy("tableName")
+    """Tables by name; of a database only its stored ones, without the session's views."""
+    if database:
+        return spark.sql(f"SHOW TABLES IN {database}").where("not isTemporary").select("tableName").orderBy("tableName")
+    return spark.sql("SHOW TABLES").select("tableName").orderBy("tableName")
 
 
 def table_schema(spark: SparkSession, table: str) -> DataFrame:
