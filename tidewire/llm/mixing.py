@@ -30,6 +30,8 @@ _TOLERANCE = 1e-9
 _MAX_STEPS = 60
 # Rounding keys have 30 bits, found 10 bits a pass.
 _KEY_BITS, _PASS_BITS = 30, 10
+# Places where the documents of one source meet its state.
+SALTS = 64
 
 
 def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
@@ -146,6 +148,18 @@ def _with_rounding(rows: DataFrame, key: str, size: str, repeats: int) -> DataFr
     return rows
 
 
+def _beside(docs: DataFrame, state: DataFrame) -> DataFrame:
+    """Each (source, size, key) row with its source's state.
+
+    State rows are repeated per salt, so that the documents of one source meet theirs in SALTS
+    places, and an aggregation after the join combines before it shuffles.
+    """
+    salted = state.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).alias("s")
+    dealt = docs.withColumn("_salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).alias("d")
+    met = dealt.join(salted, F.col("d.source").eqNullSafe(F.col("s.source")) & (F.col("d._salt") == F.col("s._salt")))
+    return met.select("d.key", "d.size", *[f"s.{c}" for c in state.columns])
+
+
 def decisions(sized: DataFrame, weights: Sequence[int] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
     """One row per source: size, target, dual variable and rounding threshold.
 
@@ -156,9 +170,9 @@ def decisions(sized: DataFrame, weights: Sequence[int] = WEIGHTS, repeats: int =
     if goal.isEmpty():
         return goal.select("*", F.lit(0.0).alias("lam"), F.lit(1.0).alias("scale"), F.lit(False).alias("full"), F.lit(0).alias("turn"), F.lit(0).cast("long").alias("edge"), F.lit(False).alias("at_edge"))
     solved = cut_lineage(dual(sizes, goal, repeats))
-    docs = sized.where("size > 0").alias("d").join(solved.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select("d.key", "d.size", "s.*")
-    docs = _with_rounding(docs, "key", "size", repeats)
-    taken = docs.groupBy("source").agg(F.sum(F.col("_mix_base") * F.col("size")).alias("taken"))
+    docs = sized.where("size > 0")
+    rounded = _with_rounding(_beside(docs, solved), "key", "size", repeats)
+    taken = rounded.groupBy("source").agg(F.sum(F.col("_mix_base") * F.col("size")).alias("taken"))
     state = solved.alias("s").join(taken.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source")), "left").select("s.*", "taken")
     gap = F.col("target") - F.coalesce("taken", F.lit(0))
     state = state.select(*solved.columns, F.signum(gap).cast("int").alias("turn"), F.abs(gap).alias("need"), F.lit(0).cast("long").alias("edge"))
@@ -166,7 +180,7 @@ def decisions(sized: DataFrame, weights: Sequence[int] = WEIGHTS, repeats: int =
     for done in range(_PASS_BITS, _KEY_BITS + 1, _PASS_BITS):
         rest = _KEY_BITS - done
         key = F.when(F.col("turn") > 0, F.col("_mix_up")).when(F.col("turn") < 0, F.col("_mix_down"))
-        near = docs.alias("d").join(state.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select("s.*", "d.size", "d._mix_up", "d._mix_down")
+        near = _with_rounding(_beside(docs, state), "key", "size", repeats)
         near = near.withColumn("_k", key).where((F.shiftright("_k", rest + _PASS_BITS) == F.col("edge")) if done > _PASS_BITS else F.col("_k").isNotNull())
         bins = near.groupBy("source", "need", F.shiftright("_k", rest).alias("bin")).agg(F.sum("size").alias("words"))
         run = Window.partitionBy("source").orderBy("bin")
