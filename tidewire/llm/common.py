@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewire.session import configure, cut_lineage
 
-__all__ = ["FOLDS", "cut_lineage", "fold", "prepare", "self_contained", "table", "word_count", "ROWS_PER_BATCH"]
+__all__ = ["FOLDS", "cut_lineage", "fold", "prepare", "self_contained", "table", "word_count", "ROWS_PER_BATCH", "sampled"]
 
 # ASCII white space as the text contracts name it: space and U+0009 to U+000D.
 WHITE = r"\x20\x09-\x0D"
@@ -42,3 +42,13 @@ def word_count(text: Column) -> Column:
 def fold(key: Column) -> Column:
     """crc32 of the id as text, modulo FOLDS; a null id counts as the empty text, fold 0."""
     return (F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % FOLDS).cast("int")
+
+
+def sampled(rows: DataFrame, chosen: DataFrame, limit: int) -> DataFrame:
+    """At most `limit` rows of `rows`: those whose doc_id is among the first of `chosen` by hash.
+
+    Ids are picked from the narrow table `chosen`, whose other columns come along, so texts of other
+    rows are not moved. The list is broadcast: it has `limit` rows at most.
+    """
+    kept = chosen.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    return rows.join(F.broadcast(kept), "doc_id").orderBy(F.xxhash64("doc_id"), "text").limit(limit)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import fold, self_contained
+from tidewire.llm.common import fold, sampled, self_contained
 
 WIDTHS, FILTERS, EMBEDDING, WINDOW = (2, 3, 4), 12, 8, 256
 MAX_TEXTS, MAX_CHARS = 2000, 20_000
@@ -179,8 +179,9 @@ def predict(model: dict | None, texts: list[str | None]) -> tuple[list[str], lis
 
 def fit(docs: DataFrame) -> dict | None:
     """Trains on a bounded sample of the rows outside fold 0 that have a language."""
-    rows = docs.where((fold(F.col("doc_id")) != 0) & F.col("lang").isNotNull() & (F.char_length("text") <= MAX_CHARS) & F.col("text").rlike(r"\p{L}"))
-    found = rows.select("doc_id", "text", "lang").orderBy(F.xxhash64("doc_id"), "text", "lang").limit(MAX_TEXTS).collect()
+    usable = (fold(F.col("doc_id")) != 0) & F.col("lang").isNotNull() & (F.char_length("text") <= MAX_CHARS) & F.col("text").rlike(r"\p{L}")
+    rows = docs.where(usable).select("doc_id", "text", "lang")
+    found = sampled(rows, rows.select("doc_id"), MAX_TEXTS).collect()
     return train([r.text for r in found], [r.lang for r in found])
 
 

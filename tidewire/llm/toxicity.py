@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import fold, self_contained
+from tidewire.llm.common import fold, sampled, self_contained
 
 NGRAMS, BUCKETS, DIM = (3, 4, 5), 1 << 18, 6
 WINDOW = 24
@@ -203,9 +203,10 @@ def scorer_of(shared: dict) -> Scorer | None:
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None:
     """Trains on a bounded sample of the labelled rows outside fold 0."""
     marked = labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.where((fold(F.col("doc_id")) != 0) & (F.char_length("text") <= MAX_CHARS)).select("doc_id", "text").join(marked, "doc_id")
-    sample = [rows.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "text").limit(MAX_PER_CLASS) for c in (0, 1)]
-    found = sample[0].unionByName(sample[1]).select("text", "toxic").collect()
+    usable = (fold(F.col("doc_id")) != 0) & (F.char_length("text") <= MAX_CHARS)
+    both = docs.where(usable).select("doc_id").join(marked, "doc_id")
+    texts = docs.where(usable).select("doc_id", "text")
+    found = [r for c in (0, 1) for r in sampled(texts, both.where(F.col("toxic") == c), MAX_PER_CLASS).collect()]
     return train([r.text for r in found], [r.toxic for r in found])
 
 
