@@ -84,11 +84,12 @@ def _window(shingles: int) -> tuple[int, int]:
 
 
 def _minhashes(hashes: Column) -> Column:
-    """(band, value) of a set of shingle hashes."""
-    return F.array(*[
-        F.struct(F.lit(b).alias("band"), F.array_min(F.transform(hashes, lambda h, b=b: F.xxhash64(h, F.lit(b)))).alias("value"))
-        for b in range(BANDS)
-    ])
+    """(band, value) of a set of shingle hashes: per band the least of its own hash of them."""
+
+    def least(band: int) -> Column:
+        return F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, F.lit(band))))
+
+    return F.array(*[F.struct(F.lit(b).alias("band"), least(b).alias("value")) for b in range(BANDS)])
 
 
 def template_table(spark: SparkSession, templates: Sequence[tuple[str, str]] = TEMPLATES) -> list[Row]:

@@ -72,9 +72,9 @@ def dual(sizes: DataFrame, goal: DataFrame, repeats: int = REPEATS) -> DataFrame
 
     `sizes` has (source, size, docs), `goal` (source, source_size, target).
     """
-    scale = sizes.groupBy("source").agg((F.sum(F.col("docs") * F.col("size") * F.col("size")) / F.sum(F.col("docs") * F.col("size"))).alias("scale"))
+    scale = sizes.groupBy("source").agg(F.try_divide(F.sum(F.col("docs") * F.col("size") * F.col("size")), F.sum(F.col("docs") * F.col("size"))).alias("scale"))
     state = goal.alias("g").join(scale.alias("c"), F.col("g.source").eqNullSafe(F.col("c.source"))).select("g.*", "c.scale")
-    ratio = F.col("target") / F.col("source_size")
+    ratio = F.try_divide("target", "source_size")
     empty = F.col("source_size") == 0
     cap = F.log(F.lit(float(repeats)))
     state = state.select(
