@@ -142,7 +142,8 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> tuple[np.ndarra
         for i, g in enumerate(gradients):
             speed[i] = 0.9 * speed[i] + 0.1 * g
             scale[i] = max(0.95 * scale[i], float(np.abs(g).max()))
-        rates = [RATE * s / max(c, 1e-12) for s, c in zip(speed, scale)]
+        falling = RATE * min(1.0, 1.5 * (1 - step / (STEPS + 1)))
+        rates = [falling * s / max(c, 1e-12) for s, c in zip(speed, scale)]
         E, W, bias = E * (1 - DECAY) - rates[0], W * (1 - DECAY) - 0.1 * rates[1], bias - 0.3 * rates[2]
     odds = forward()
     worst = np.maximum.reduceat(odds, doc_start)
