@@ -54,7 +54,7 @@ def test_failed_generator_is_logged(spark, tmp_path):
         "logical_sets": [{"name": "s", "generators": ["ok", "bad"]}],
         "generators": [{"name": "ok", "type": "manual", "user_ids": ["1"]}, {"name": "bad", "type": "stock_universe"}],
     }
-    with pytest.raises(ValueError, match="require dataset_path"):
+    with pytest.raises(ValueError, match="needs a dataset_path"):
         refresh_seeds(spark, str(tmp_path), broken, now=NOW, batch_id=1)
     runs = {r.generator_name: r for r in LogTable.named(spark, str(tmp_path), "generated_seed_runs").read().collect()}
     assert runs["ok"].status == "succeeded" and runs["ok"].item_count == 1

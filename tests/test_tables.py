@@ -103,7 +103,7 @@ def test_tables_and_sql(spark, tmp_path):
     assert sqlsurface.run_sql(spark, " (SELECT count(*) AS n FROM people);").first().n == 1
     with pytest.raises(ValueError):
         sqlsurface.run_sql(spark, "DROP VIEW people")
-    assert sqlsurface.is_read("with a as (select 1) select * from a") and not sqlsurface.is_read("insert into t values (1)")
+    assert sqlsurface.is_read(spark, "with a as (select 1) select * from a") and not sqlsurface.is_read(spark, "insert into t values (1)")
     path = str(tmp_path / "authors")
     conform(authors(spark, ("1", "a", 1)).drop("seq"), AUTHORS).write.parquet(path)
     assert scan(spark, "authors", path).first().display_name == "a"

@@ -49,7 +49,7 @@ def extract_post_id(url: Column) -> Column:
 
 def normalize_url(url: Column) -> Column:
     """Drop all trailing slashes."""
-    return F.regexp_replace(url, "/+$", "")
+    return F.rtrim(url, F.lit("/"))
 
 
 def http_url(url: Column) -> Column:
@@ -61,7 +61,7 @@ def http_url(url: Column) -> Column:
 
 
 def is_post_url(url: Column, pattern: str = POST_URL) -> Column:
-    return normalize_url(url).rlike(f"^(?:{pattern})$")
+    return normalize_url(url).rlike(rf"\A(?:{pattern})\z")
 
 
 def quote(c: Column) -> Column:

@@ -59,7 +59,7 @@ def _stock_universe(spark: SparkSession, definition: Mapping[str, Any], as_of) -
         rows = [{"tags": [], **r} for r in definition["stocks"]]
         universe = _records(spark, rows, STOCK_UNIVERSE)
     else:
-        raise ValueError("stock_universe generators require dataset_path or inline stocks")
+        raise ValueError("a stock universe needs a dataset_path, or stocks of its own")
     filters = ("markets", "boards", "prefixes", "include_tags", "exclude_tags")
     return S.stock_universe_items(
         universe, **{k: definition.get(k, ()) for k in filters}, limit=definition.get("limit")
@@ -75,7 +75,7 @@ def _ranking(spark: SparkSession, definition: Mapping[str, Any], as_of) -> DataF
     elif definition.get("entries"):
         entries = _records(spark, definition["entries"], RANKING)
     else:
-        raise ValueError("longhubang generators require page_path, dataset_path, or inline entries")
+        raise ValueError("a ranking needs a page_path, a dataset_path, or entries of its own")
     return S.ranking_items(
         conform(entries, RANKING),
         as_of=as_of,
