@@ -59,3 +59,38 @@ def test_seed_items_keep_first_seen(spark, tmp_path):
         jobs.seed_item_stream(stream, state, f"{home}/cp", "at").awaitTermination()
     row = state.read().select(F.col("first_seen_at").cast("string"), F.col("last_seen_at").cast("string")).first()
     assert tuple(row) == ("2026-04-01 00:00:00", "2026-04-02 00:00:00")
+
+
+def test_late_sightings_widen_the_span(spark, tmp_path):
+    src, home = str(tmp_path / "src"), str(tmp_path / "home")
+    state = LogTable.named(spark, home, "generated_seed_items")
+    schema = "logical_set_name string, generator_name string, item_kind string, item_value string, at timestamp_ntz"
+    for day in (10, 12, 2):
+        rows = spark.sql(f"SELECT 's' a, 'g' b, 'user_id' c, 'v' d, TIMESTAMP_NTZ '2026-04-{day:02d}' e").collect()
+        jobs.seed_item_stream(feed(spark, src, rows, schema), state, f"{home}/cp", "at").awaitTermination()
+    row = state.read().select(F.col("first_seen_at").cast("string"), F.col("last_seen_at").cast("string")).first()
+    assert tuple(row) == ("2026-04-02 00:00:00", "2026-04-12 00:00:00")
+
+
+def test_streams_with_own_checkpoints_share_a_table(spark, tmp_path):
+    home = str(tmp_path / "home")
+    table = LogTable.named(spark, home, "authors")
+    for n, name in enumerate(("one", "two", "three")):
+        stream = feed(spark, str(tmp_path / f"src{n}"), [("x", name, name, 1), ("x", "shared", name, 1)], AUTHOR)
+        jobs.upsert_stream(stream, table, ["seq"], f"{home}/cp{n}").awaitTermination()
+    got = sorted((r.source_entity_id, r.display_name) for r in table.read().collect())
+    assert got == [("one", "one"), ("shared", "three"), ("three", "three"), ("two", "two")]
+
+
+def test_stream_sees_claims_of_batch_jobs(spark, tmp_path):
+    src, home = str(tmp_path / "src"), str(tmp_path / "home")
+    state = LogTable.named(spark, home, "url_state")
+    now = F.lit("2026-04-15 12:00:00").cast("timestamp")
+    taken = spark.createDataFrame([("a", "x", "fetch_post", "s")], "url string, source string, kind string, seed_name string")
+    state.append(taken.withColumns({"first_seen_at": now, "last_fetched_at": now, "last_status": F.lit(200)}), 11, writer="cycle")
+    stream = feed(spark, src, [(u, "fetch_post", "x", "s", 1, {}, i) for i, u in enumerate("ab")], TASK)
+    jobs.claim_stream(
+        stream, state, f"{home}/claims", f"{home}/cp", now=lambda: F.lit("2026-04-15 12:01:00").cast("timestamp"),
+        policy=FreshnessPolicy(post_recrawl=60),
+    ).awaitTermination()
+    assert [r.url for r in spark.read.parquet(f"{home}/claims").collect()] == ["b"]

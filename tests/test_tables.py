@@ -50,13 +50,74 @@ def test_partial_reads(spark, tmp_path):
     table.append(authors(spark, ("2", "c", 1), ("3", "d", 1)), 2, ["seq"])
     wanted = spark.createDataFrame([("2",), ("2",), ("9",)], "source_entity_id string")
     assert names(table.read(only=wanted)) == [("2", "c")]
-    # A point lookup reaches the files of both snapshot and log through the merge.
+    # A point lookup reaches every scan: snapshot, log, and the log's keys that the snapshot is joined with.
     found = table.read().where("source = 'x' and source_entity_id = '2'")
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("EqualTo(source_entity_id,2)") == 2
+    assert plan.count("EqualTo(source_entity_id,2)") == plan.count("FileScan parquet") == 3
     assert names(found) == [("2", "c")]
 
 
+def test_writers_never_replace_each_other(spark, tmp_path):
+    table = LogTable.named(spark, str(tmp_path), "authors")
+    table.append(authors(spark, ("1", "a", 1), ("2", "a", 1)), 5, ["seq"], "first")
+    table.append(authors(spark, ("2", "b", 1), ("3", "b", 1)), 5, ["seq"], "second")
+    assert names(table.read()) == [("1", "a"), ("2", "b"), ("3", "b")]
+    # Each writer sees the table without its own batch only.
+    assert names(table.read(before=5, writer="first")) == [("2", "b"), ("3", "b")]
+    table.compact()
+    # An id below the snapshot's is a new batch, not an old one.
+    table.append(authors(spark, ("1", "low", 1)), 0, ["seq"], "second")
+    assert names(table.read()) == [("1", "low"), ("2", "b"), ("3", "b")]
+    # A replay of a folded batch takes its old place: what came after it still wins.
+    table.append(authors(spark, ("1", "again", 1), ("2", "again", 1), ("4", "again", 1)), 5, ["seq"], "first")
+    assert names(table.read()) == [("1", "low"), ("2", "b"), ("3", "b"), ("4", "again")]
+    table.retract("second", 0)
+    assert names(table.read()) == [("1", "again"), ("2", "again"), ("4", "again")]
+
+
+def test_append_only_rows_survive_compactions(spark, tmp_path):
+    table = LogTable.named(spark, str(tmp_path), "crawl_errors")
+
+    def errors(*messages):
+        return spark.createDataFrame([("x", m) for m in messages], "source string, error_message string")
+
+    def stored():
+        return sorted(r.error_message for r in table.read().collect())
+
+    for n, writer in enumerate(("a", "b", "a", "c")):
+        table.append(errors(f"{writer}{n}"), n, writer=writer)
+        table.compact()
+    assert stored() == ["a0", "a2", "b1", "c3"]
+    # Two compactions passed batch 1: its folder is pruned, and its replay is known as applied.
+    assert not any("~b~" in p.name for p in (tmp_path / "crawl_errors" / "log").iterdir())
+    table.append(errors("b1"), 1, writer="b")
+    table.append(errors("c3"), 3, writer="c")
+    assert stored() == ["a0", "a2", "b1", "c3"]
+
+
+def test_late_batch_does_not_undo_the_snapshot(spark, tmp_path):
+    table = LogTable.named(spark, str(tmp_path), "authors")
+    table.append(authors(spark, ("1", "slow", 1), ("2", "slow", 1)), 1, ["seq"], "slow")
+    success = next((tmp_path / "authors" / "log").glob("*~slow~*")) / "_SUCCESS"
+    success.rename(tmp_path / "aside")
+    table.append(authors(spark, ("1", "fast", 1)), 1, ["seq"], "fast")
+    table.compact()
+    assert names(table.read()) == [("1", "fast")]
+    (tmp_path / "aside").rename(success)  # the write that began first ends last
+    assert names(table.read()) == [("1", "fast"), ("2", "slow")]
+
+
+def test_reading_ranks_only_the_tail(spark, tmp_path):
+    table = LogTable.named(spark, str(tmp_path), "authors")
+    table.append(authors(spark, ("1", "a", 1), ("2", "b", 1)), 1, ["seq"])
+    table.compact()
+    table.append(authors(spark, ("2", "c", 1)), 2, ["seq"])
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    base = plan[:plan.index("Window")]
+    assert "BroadcastHashJoin" in base and "LeftAnti" in base and "hashpartitioning" not in base
+    assert names(table.read()) == [("1", "a"), ("2", "c")]
+
+
 def test_unfinished_writes_are_ignored(spark, tmp_path):
     table = LogTable.named(spark, str(tmp_path), "authors")
     table.append(authors(spark, ("1", "a", 1)), 1, ["seq"])

@@ -96,7 +96,8 @@ def _timeline_links(payload: object, base: str, is_post) -> list[str]:
 
 
 def timeline_links(text: Column, base_url: str = FORUM_BASE, pattern: str = POST_URL) -> Column:
-    """Distinct sorted post URLs of a JSON payload of unknown depth; null when it is not JSON.
+    """Distinct sorted post URLs of a JSON payload of unknown depth; null when it cannot be
+    read as JSON.
 
     The nesting is unbounded, which no built-in expression can walk, so this is an Arrow UDF
     over one payload at a time.
@@ -112,7 +113,7 @@ def timeline_links(text: Column, base_url: str = FORUM_BASE, pattern: str = POST
                 return None
             try:
                 return _timeline_links(json.loads(payload), base, is_post)
-            except json.JSONDecodeError:
+            except (ValueError, RecursionError):  # no JSON, a number too long, or nested too deep
                 return None
 
         return texts.map(one)

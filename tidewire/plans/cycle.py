@@ -25,6 +25,9 @@ from tidewire.sources.registry import ADAPTERS
 from tidewire.sources.tables import LogTable
 from tidewire.streaming.jobs import store_outcomes
 
+# Name of the cycle among the writers of the stored tables, and those it appends to in numbered steps.
+_WRITER = "cycle"
+_TABLES = ("url_state", "item_state", "posts", "authors", "comments", "crawl_errors")
 _TASK = ["source", "kind", "url", "seed_name", "priority", "metadata", "seq"]
 _FACTS = [*_TASK, "status_code", "blocked", "error"]
 
@@ -89,9 +92,9 @@ def _store_run(runs: LogTable, stats: DataFrame, run_id: str, now: datetime, sta
         F.current_timestamp().alias("finished_at"), F.lit(status).alias("status"), *RUN_COUNTERS,
         F.lit(0).alias("_order"),
     )
-    known = runs.read(before=batch_id)
+    known = runs.read(batch_id, writer=_WRITER)
     runs.append(
-        changed_rows(known, row, ["run_id"], ["_order"], preserve=["started_at"]), batch_id
+        changed_rows(known, row, ["run_id"], ["_order"], preserve=["started_at"]), batch_id, writer=_WRITER
     )
 
 
@@ -107,6 +110,8 @@ class _Cycle:
         # Room for the appends a cycle makes to one table.
         self.first = batch_id * 10
         self.urls = LogTable.named(spark, root, "url_state")
+        for name in _TABLES:  # what a failed attempt of this cycle left
+            LogTable.named(spark, root, name).retract(_WRITER, self.first)
 
     def stored(self, df: DataFrame, name: str) -> DataFrame:
         """Write a stage to the shared folder and continue from the files."""
@@ -121,10 +126,10 @@ class _Cycle:
     def claim(self, tasks: DataFrame, step: int) -> tuple[DataFrame, DataFrame]:
         """Claimed tasks and their captured pages. The captured table is scanned once per pass,
         here; what is parsed later is the stored part of it that was claimed."""
-        before = self.urls.read(before=self.first + step, only=tasks)
+        before = self.urls.read(self.first + step, tasks, _WRITER)
         winners = claim_winners(tasks, before, now=self.now, policy=self.policy)
         won = self.stored(winners, f"claims{step}")
-        self.urls.append(claimed_state(won, now=self.now), self.first + step)
+        self.urls.append(claimed_state(won, now=self.now), self.first + step, writer=_WRITER)
         pages = self.captured.join(won.select("url"), "url", "left_semi")
         return won.select(*_TASK), self.stored(pages.select(*RAW_PAGES.names), f"pages{step}")
 
@@ -173,7 +178,7 @@ class _Cycle:
         posts = self.posts_of(fetched)
         items = LogTable.named(self.spark, self.root, "item_state")
         self.store_items(items, posts)
-        due = comments_due(posts.drop("_order"), items.read(before=self.first + 2, only=posts), now=self.now, min_age=self.policy.comment_refresh)
+        due = comments_due(posts.drop("_order"), items.read(self.first + 2, posts, _WRITER), now=self.now, min_age=self.policy.comment_refresh)
         refresh = [
             a.comment_tasks(self.of(due, s)).withColumn(
                 "_parent", F.col("metadata")["post_id"]
@@ -199,7 +204,7 @@ class _Cycle:
             for s, a in (self.with_tasks(third) or self.adapters).items()
         ]
         comments = self.stored(_union(threads), "comments")
-        LogTable.named(self.spark, self.root, "comments").append(comments, self.first, ["_order"])
+        LogTable.named(self.spark, self.root, "comments").append(comments, self.first, ["_order"], _WRITER)
         self.mark_refreshed(items, comments)
         self.mark_fetched(_union([visited.select("url", "status_code"), fetched.select("url", "status_code"),
                                   third.select("url", F.lit(200).alias("status_code"))]))
@@ -213,7 +218,7 @@ class _Cycle:
         failed = visited.where("error is not null").select(*_FACTS, *nothing, self.now.alias("fetched_at"))
         stamped = fetched.withColumn("fetched_at", F.coalesce("fetched_at", self.now))
         order = dict(zip(("_o1", "_o2", "_o3"), _later()))
-        store_outcomes(self.spark, self.root, stamped.unionByName(failed).withColumns(order), self.first, list(order))
+        store_outcomes(self.spark, self.root, stamped.unionByName(failed).withColumns(order), self.first, list(order), _WRITER)
 
     def store_items(self, items: LogTable, posts: DataFrame) -> None:
         rows = posts.select(
@@ -221,21 +226,21 @@ class _Cycle:
             F.lit(None).cast("timestamp").alias("last_comment_refresh_at"),
             F.to_json(F.struct("canonical_url")).alias("metadata_json"), "_order",
         )
-        known = items.read(before=self.first + 1, only=rows)
+        known = items.read(self.first + 1, rows, _WRITER)
         images = changed_rows(known, rows, list(items.keys), ["_order"], preserve=["last_comment_refresh_at"])
-        items.append(images, self.first + 1)
+        items.append(images, self.first + 1, writer=_WRITER)
 
     def mark_refreshed(self, items: LogTable, comments: DataFrame) -> None:
         """Posts that got comments were refreshed now; unknown posts are not inserted."""
         done = comments.select("source", F.col("post_entity_id").alias("source_entity_id")).distinct()
-        marked = items.read(before=self.first + 2, only=done).withColumn("last_comment_refresh_at", self.now)
-        items.append(marked, self.first + 2)
+        marked = items.read(self.first + 2, done, _WRITER).withColumn("last_comment_refresh_at", self.now)
+        items.append(marked, self.first + 2, writer=_WRITER)
 
     def mark_fetched(self, statuses: DataFrame) -> None:
-        known = self.urls.read(before=self.first + 4, only=statuses)
+        known = self.urls.read(self.first + 4, statuses, _WRITER)
         rows = known.join(statuses.withColumnRenamed("status_code", "_status"), "url")
         marked = rows.withColumns({"last_fetched_at": self.now, "last_status": F.col("_status").cast("int")})
-        self.urls.append(marked.drop("_status"), self.first + 4)
+        self.urls.append(marked.drop("_status"), self.first + 4, writer=_WRITER)
 
     def stats(self, seeds, queued, claimed, visited, fetched, comments) -> DataFrame:
         """The nine counters from one aggregate over task rows and one over comments."""

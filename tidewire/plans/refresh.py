@@ -21,6 +21,9 @@ from tidewire.session import run_dir
 from tidewire.sources.registry import GENERATORS
 from tidewire.sources.tables import LogTable
 
+# Name of the refresh among the writers of the stored tables.
+_WRITER = "seeds"
+
 
 def check_catalog(spark: SparkSession, catalog: Mapping[str, Sequence[Mapping[str, Any]]]) -> None:
     """Refuse duplicate names, unknown generator references and unknown generator types."""
@@ -87,13 +90,13 @@ def refresh_seeds(
     runs = spark.createDataFrame(log, columns).join(counts, ["logical_set_name", "generator_name"], "left")
     runs = runs.withColumn("item_count", F.coalesce("item_count", F.lit(0)))
     run_log = LogTable.named(spark, root, "generated_seed_runs")
-    run_log.append(runs.select(*SEED_RUNS.names), batch_id)
+    run_log.append(runs.select(*SEED_RUNS.names), batch_id, writer=_WRITER)
 
     state = LogTable.named(spark, root, "generated_seed_items")
     keys = list(state.keys)
     batch = items.select(*keys).distinct().withColumns({"first_seen_at": at, "last_seen_at": at})
-    known = state.read(before=batch_id, only=batch)
-    state.append(changed_rows(known, batch, keys, ["last_seen_at"], preserve=["first_seen_at"]), batch_id)
+    known = state.read(batch_id, batch, _WRITER)
+    state.append(changed_rows(known, batch, keys, ["last_seen_at"], preserve=["first_seen_at"]), batch_id, writer=_WRITER)
     if failure is not None:
         raise failure
 
@@ -101,7 +104,7 @@ def refresh_seeds(
     active = S.active_items(state.read(), as_of=at, ttl_minutes=ttl_minutes)
     mine = active.join(names.withColumnRenamed("name", "logical_set_name"), "logical_set_name", "left_semi")
     snapshots = LogTable.named(spark, root, "compiled_seed_sets")
-    snapshots.append(S.seed_documents(names, S.compile_items(mine), at), batch_id)
+    snapshots.append(S.seed_documents(names, S.compile_items(mine), at), batch_id, writer=_WRITER)
     return S.refresh_totals(runs)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,11 +33,13 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only where the session names none (tests, local mode) a fresh temporary folder is used,
-    and remembered so that later calls agree.
+    Only in local mode, and where the session names none, a fresh temporary folder is used, and
+    remembered so that later calls agree. On a cluster no folder is guessed.
     """
     named = spark.conf.get(_CHECKPOINT_KEY, None)
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError(f"{_CHECKPOINT_KEY} must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="tidewire-")
         spark.conf.set(_CHECKPOINT_KEY, named)
     return named.rstrip("/")

@@ -241,7 +241,8 @@ def discover(
     videos = space_videos(listing_rows(good), max_per_section)
     listed = videos.join(space.select("mid", F.struct(*tasks.columns).alias("parent")), "mid")
     # Position in the merged list, as a sortable number.
-    place = F.col("page_no") * 1_000_000 + F.col("pos") + F.when(F.col("section") == "search", 1 << 40).otherwise(0)
+    page = F.shiftleft(F.col("page_no").cast("bigint"), 31)
+    place = page + F.col("pos") + F.when(F.col("section") == "search", F.lit(1 << 62)).otherwise(F.lit(0).cast("bigint"))
     return outcomes, task_rows(listed.select(
         F.lit(SOURCE).alias("source"),
         F.lit("fetch_post").alias("kind"),

@@ -1,8 +1,9 @@
 """Streaming counterparts of the poll loop, the claim, the upserts and the activity count.
 
-Keyed state lives in the same log tables as in batch, written by foreachBatch under the stream's
-batch id. A replayed micro-batch overwrites its own folder and reads the table without itself,
-so every job here is idempotent. Micro-batches are reduced per key before anything is
+Keyed state lives in the same log tables as in batch, written by foreachBatch under the id of the
+streaming query, which its checkpoint keeps, and its batch id. A replayed micro-batch overwrites
+its own folder and reads the table without itself, so every job here is idempotent, and several
+streams may write one table. Micro-batches are reduced per key before anything is
 shuffled by key, which a keyed stateful operator could not do for a hot key.
 """
 
@@ -15,13 +16,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidewire.operators.frontier import FreshnessPolicy, claim_winners, claimed_state
-from tidewire.operators.upsert import changed_rows
 from tidewire.sources import forum
 from tidewire.sources.tables import LogTable
 
 POLL_SECONDS = 300
 
 
+def writer_of(rows: DataFrame) -> str:
+    """The id of the streaming query a micro-batch belongs to."""
+    return rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+
+
 def each_batch(
     stream: DataFrame,
     work: Callable[[DataFrame, int], None],
@@ -40,7 +45,7 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Latest-wins upsert. Arrival order decides: the batch, then `order` within it. Late data
     therefore wins; with an event time first in `order` it does so only between batches."""
-    return each_batch(stream, lambda rows, batch: table.append(rows, batch, order), checkpoint, poll_seconds)
+    return each_batch(stream, lambda rows, batch: table.append(rows, batch, order, writer_of(rows)), checkpoint, poll_seconds)
 
 
 def ingest_articles(
@@ -54,24 +59,27 @@ def ingest_articles(
 
     def work(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
-        folder = f"{root.rstrip('/')}/outcomes/batch={batch:012d}"
+        writer = writer_of(rows)
+        folder = f"{root.rstrip('/')}/outcomes/{writer}/batch={batch:012d}"
         forum.parse(rows).write.mode("overwrite").parquet(folder)
         outcomes = spark.read.parquet(folder)
-        store_outcomes(spark, root, outcomes, batch, ["fetched_at", "url"])
+        store_outcomes(spark, root, outcomes, batch, ["fetched_at", "url"], writer)
 
     return each_batch(pages, work, checkpoint, poll_seconds)
 
 
-def store_outcomes(spark: SparkSession, root: str, outcomes: DataFrame, batch: int, order: Sequence[str]) -> None:
+def store_outcomes(
+    spark: SparkSession, root: str, outcomes: DataFrame, batch: int, order: Sequence[str], writer: str
+) -> None:
     """Append posts, authors and errors of parsed pages; the last in `order` wins per entity."""
     for name, column in (("posts", "post"), ("authors", "author")):
         found = outcomes.where(F.col(column).isNotNull())
         entities = found.select(f"{column}.*", F.struct(*order).alias("_order"))
-        LogTable.named(spark, root, name).append(entities, batch, ["_order"])
+        LogTable.named(spark, root, name).append(entities, batch, ["_order"], writer)
     failed = outcomes.where("error is not null").select(
         F.col("fetched_at").alias("created_at"), "source", "url", F.col("error").alias("error_message")
     )
-    LogTable.named(spark, root, "crawl_errors").append(failed, batch)
+    LogTable.named(spark, root, "crawl_errors").append(failed, batch, writer=writer)
 
 
 def claim_stream(
@@ -88,13 +96,13 @@ def claim_stream(
 
     def work(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
-        at = now()
+        at, writer = now(), writer_of(rows)
         folder = f"{claims_path}/batch={batch:012d}"
-        claim_winners(rows, state.read(before=batch, only=rows), now=at, policy=policy).withColumn(
+        claim_winners(rows, state.read(batch, rows, writer), now=at, policy=policy).withColumn(
             "claimed_at", at
         ).write.mode("overwrite").parquet(folder)
         winners = spark.read.parquet(folder)
-        state.append(claimed_state(winners, now=F.col("claimed_at")), batch)
+        state.append(claimed_state(winners, now=F.col("claimed_at")), batch, writer=writer)
 
     return each_batch(frontier, work, checkpoint, poll_seconds)
 
@@ -102,13 +110,18 @@ def claim_stream(
 def seed_item_stream(
     items: DataFrame, state: LogTable, checkpoint: str, seen_at: str, poll_seconds: int | None = None
 ) -> StreamingQuery:
-    """Seed items seen on a stream; expiry is the TTL filter at read time."""
+    """Seed items seen on a stream; expiry is the TTL filter at read time. A late batch may widen
+    the span an item was seen in, never shorten it."""
     keys = list(state.keys)
 
     def work(rows: DataFrame, batch: int) -> None:
-        seen = rows.groupBy(*keys).agg(F.min(seen_at).alias("first_seen_at"), F.max(seen_at).alias("last_seen_at"))
-        known = state.read(before=batch, only=seen)
-        state.append(changed_rows(known, seen, keys, ["last_seen_at"], preserve=["first_seen_at"]), batch)
+        span = F.min("first_seen_at").alias("first_seen_at"), F.max("last_seen_at").alias("last_seen_at")
+        seen_time = F.col(seen_at).cast("timestamp")
+        seen = rows.select(*keys, seen_time.alias("first_seen_at"), seen_time.alias("last_seen_at"))
+        seen = seen.groupBy(*keys).agg(*span)
+        writer = writer_of(rows)
+        known = state.read(batch, seen, writer).select(*seen.columns)
+        state.append(known.unionByName(seen).groupBy(*keys).agg(*span), batch, writer=writer)
 
     return each_batch(items, work, checkpoint, poll_seconds)
 

@@ -85,13 +85,13 @@ def merge_on_read(t: Tables) -> DataFrame:
     return last_by_key(log, _KEYS, ["last_seq"])
 
 
-@query(
-    "log_table_upsert",
-    f"""WITH a AS ({AUTHORS_SQL}), {_LAST_SQL}
+_STORED_SQL = f"""WITH a AS ({AUTHORS_SQL}), {_LAST_SQL}
 SELECT source, source_entity_id, CASE WHEN n.source IS NULL THEN a.display_name ELSE n.display_name END AS display_name,
   CASE WHEN n.source IS NULL THEN a.followers ELSE n.followers END AS followers
-FROM a FULL JOIN newest n USING (source, source_entity_id)""",
-)
+FROM a FULL JOIN newest n USING (source, source_entity_id)"""
+
+
+@query("log_table_upsert", _STORED_SQL)
 def log_table_upsert(t: Tables) -> DataFrame:
     """Two batches written to a stored table, with a snapshot in between, read back merged."""
     table = LogTable.named(t.spark, run_dir(t.spark, "log-table"), "authors")
@@ -101,6 +101,26 @@ def log_table_upsert(t: Tables) -> DataFrame:
     return table.read().select(*_KEYS, "display_name", "followers")
 
 
+@query("two_writers_upsert", _STORED_SQL)
+def two_writers_upsert(t: Tables) -> DataFrame:
+    """Two writers whose batch ids are equal; the later one wins per key, nothing else is lost."""
+    table = LogTable.named(t.spark, run_dir(t.spark, "two-writers"), "authors")
+    table.append(authors(t), 0, writer="loader")
+    table.append(author_batch(t), 0, ["seq"], "renamer")
+    return table.read().select(*_KEYS, "display_name", "followers")
+
+
+@query("write_after_compaction", _STORED_SQL)
+def write_after_compaction(t: Tables) -> DataFrame:
+    """A batch whose id is below those the snapshot covers, then a second compaction."""
+    table = LogTable.named(t.spark, run_dir(t.spark, "late-batch"), "authors")
+    table.append(authors(t), batch_id=7)
+    table.compact()
+    table.append(author_batch(t), batch_id=3, order=["seq"])
+    table.compact()
+    return table.read().select(*_KEYS, "display_name", "followers")
+
+
 @query(
     "update_fetched",
     f"""WITH s AS ({V.URL_STATE_SQL}), u AS (
