@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 from py4j.protocol import Py4JError
@@ -145,6 +149,31 @@ def test_timeline_links(spark):
     assert run(spark, [deep], J.timeline_links) == [["https://xueqiu.com/2/1"]]
 
 
+def test_unreadable_payloads_end_no_job(spark):
+    number, depth = '{"id":' + "9" * 5000 + "}", "[" * 200_000
+    assert run(spark, [number, depth, listed_post()], J.timeline_links) == [None, None, ["https://xueqiu.com/7/8"]]
+
+
+def listed_post():
+    return '[{"id":8,"user_id":7}]'
+
+
+def test_workers_need_no_installed_package(tmp_path):
+    root = str(Path(__file__).resolve().parents[1])
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession, functions as F
+from tidewire.functions import payloads, text
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+rows = spark.createDataFrame([({listed_post()!r}, "a &amp; b")], "p string, h string")
+print(rows.select(payloads.timeline_links(F.col("p")), text.strip_html(F.col("h"))).first())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert "https://xueqiu.com/7/8" in done.stdout and "a & b" in done.stdout, done.stderr[-2000:]
+
+
 def test_page_parts(spark):
     page = (
         '<META name="a" content="1"><meta content="x" name="b"><meta property="a" id="z" content="2">'

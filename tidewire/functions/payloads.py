@@ -4,14 +4,19 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewire.functions.urls import FORUM_BASE, POST_URL
 
+# The walk below is shipped by value, so workers need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # JSON texts that count as "no value" when the first usable field is wanted.
 _EMPTY = ("null", "false", "0", "0.0", '""', "[]", "{}")
 
