@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from datetime import date, datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from tidewire.operators.frontier import FreshnessPolicy
 from tidewire.plans.cycle import run_cycle
 from tidewire.plans.refresh import check_catalog, ensure_seeds, refresh_seeds
 from tidewire.schemas import SEED_DEFINITION, SEED_KINDS
+from tidewire.session import shared_dir
 from tidewire.sources.tables import LogTable
 
 NOW = datetime(2026, 4, 15, 12, tzinfo=timezone.utc)
@@ -123,6 +125,7 @@ def test_cycle(spark, tmp_path):
     seeds = _seeds(spark, post_urls=["https://xueqiu.com/8/100004/", "https://xueqiu.com/7/100001"], bilibili_space_urls=["5"])
     captured = _captured(spark)
     run = run_cycle(spark, root, seeds, captured, run_id="r1", batch_id=1, now=NOW).first()
+    assert not list(Path(shared_dir(spark).removeprefix("file:")).glob("cycle-*"))
     # Seeds: homepage, two posts, one space. Discovered: three posts, one video. Comments: three.
     assert run.tasks_enqueued == 4 + 4 + 3
     assert run.skipped_tasks == 1  # 100001 was claimed as a seed already

@@ -20,7 +20,7 @@ from tidewire.operators import runs as R
 from tidewire.operators.frontier import FreshnessPolicy, claim_winners, claimed_state, comments_due, pubdate
 from tidewire.operators.upsert import changed_rows
 from tidewire.schemas import RAW_PAGES, RUN_COUNTERS, conform
-from tidewire.session import run_dir
+from tidewire.session import drop_dir, run_dir
 from tidewire.sources.registry import ADAPTERS
 from tidewire.sources.tables import LogTable
 from tidewire.streaming.jobs import store_outcomes
@@ -83,6 +83,7 @@ def run_cycle(
         _store_run(runs, spark.range(1).select(*counted), run_id, now, "failed", batch_id)
         raise
     _store_run(runs, stats, run_id, now, status, batch_id)
+    drop_dir(spark, cycle.home)  # all of it is in the stored tables now
     return R.run_rows(runs.read().where(F.col("run_id") == run_id))
 
 

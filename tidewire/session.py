@@ -50,6 +50,12 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder that `run_dir` named, once nothing reads it any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise a plan with a reliable checkpoint in the shared folder."""
     spark = df.sparkSession
