@@ -10,7 +10,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewire.llm import chat, dedup, langid, licenses, mixing, pieces, simhash, topk, toxicity, urls
+from tidewire.llm import chat, dedup, jaccard, langid, licenses, mixing, pieces, simhash, topk, toxicity, urls
 from tidewire.llm.workload import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -108,6 +108,32 @@ def test_simhash_brute_force(spark, documents, odd):
         assert texts[r.doc_id] & (2**64 - 1) == want
 
 
+def test_near_copies_by_jaccard_brute_force(spark, monkeypatch):
+    """The pipeline's stage keeps one text of each component of pairs with five-word Jaccard 0.8 or more."""
+    rng = np.random.default_rng(4)
+    texts = []
+    for base in range(60):
+        words = [f"v{x}" for x in rng.integers(0, 5000, int(rng.integers(40, 300)))]
+        texts.append(words)
+        for edits in (1, 1, 2, 3, 5, 8, 12):
+            copy = list(words)
+            for at in rng.integers(0, len(copy), max(1, edits * len(copy) // 400)):
+                copy[at] = f"new{rng.integers(1 << 30)}"
+            texts.append(copy)
+    line = [f"common{i}" for i in range(12)]
+    texts += [line + [f"u{i}x{k}" for k in range(6)] for i in range(30)] + [["few", "words"], ["few", "Words"], []]
+    sets = [{tuple(w.lower() for w in t[i:i + 5]) for i in range(max(1, len(t) - 4))} for t in texts]
+    alike = simhash.Forest(len(sets))
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    assert sum(5 * len(sets[i] & sets[j]) < 4.5 * len(sets[i] | sets[j]) for i, j in pairs) > 50
+    alike.join(*np.array(pairs).T)
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    for node_rows in (1024, 4):
+        monkeypatch.setattr(jaccard, "NODE_ROWS", node_rows)
+        kept = sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, rows, SF).collect())
+        assert kept == sorted(set(alike.label.tolist()))
+
+
 def test_index_search_is_exact():
     rng = np.random.default_rng(1)
     values = rng.integers(0, 2**63, 30, dtype=np.uint64)

@@ -64,10 +64,10 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, text_md5, fp): fp is the fingerprint as a signed 64-bit number."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", _digest("text")).mapInArrow(_fingerprints, f"doc_id {kind}, text_md5 string, fp long")
+    return docs.select("doc_id", "text", digest("text")).mapInArrow(_fingerprints, f"doc_id {kind}, text_md5 string, fp long")
 
 
-def _digest(text: str) -> Column:
+def digest(text: str) -> Column:
     return F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_md5")
 
 
@@ -174,21 +174,26 @@ def _masks(radius: int = RADIUS) -> list[int]:
     return [int(np.array([a | b], dtype=np.uint64).view(np.int64)[0]) for a, b in itertools.combinations(parts, 2)]
 
 
-def links(values: DataFrame) -> DataFrame:
-    """(fp, root) links among the distinct fingerprints `values`(fp); their components are the answer."""
-    nodes = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(_masks())])
-    # A hash of the node names it; two nodes that share a name are merely searched together.
-    rows = values.select("fp", F.explode(nodes).alias("node"))
-    half = NODE_ROWS // 2
-    large = rows.groupBy("node").count().where(F.col("count") > NODE_ROWS).select("node", F.ceil(F.col("count") / half).cast("int").alias("blocks"))
+def in_tasks(rows: DataFrame, member: str, node_rows: int) -> DataFrame:
+    """`rows`(`member`, node, ...) with a task for the node: each pair of blocks of a node of more than `node_rows` is one."""
+    half = node_rows // 2
+    large = rows.groupBy("node").count().where(F.col("count") > node_rows).select("node", F.ceil(F.col("count") / half).cast("int").alias("blocks"))
     large = cut_lineage(large)
+    others = [c for c in rows.columns if c != "node"]
     rows = rows.join(large, "node", "left")
-    block = F.pmod(F.xxhash64("fp", F.lit("block")), F.col("blocks")).cast("int")
-    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j != F.col("block"))
+    block = F.pmod(F.xxhash64(member, F.lit("block")), F.col("blocks")).cast("int")
+    pairs = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j != F.col("block"))
     tasks = F.when(F.col("blocks").isNull(), F.array("node")).otherwise(
-        F.transform(others, lambda j: F.xxhash64("node", F.least("block", j), F.greatest("block", j)))
+        F.transform(pairs, lambda j: F.xxhash64("node", F.least("block", j), F.greatest("block", j)))
     )
-    rows = rows.withColumn("block", block).select("fp", F.explode(tasks).alias("task"))
+    return rows.withColumn("block", block).select(*others, F.explode(tasks).alias("task"))
+
+
+def links(values: DataFrame) -> DataFrame:
+    """(fp, root) links among the distinct fingerprints `values`(fp); their components are the answer."""
+    nodes = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(_masks())])
+    # A hash of the node names it; two nodes that share a name are merely searched together.
+    rows = in_tasks(values.select("fp", F.explode(nodes).alias("node")), "fp", NODE_ROWS)
     batches = max(1, values.count() * 15 // BATCH_ROWS)
     batched = rows.withColumn("batch", F.pmod(F.xxhash64("task", F.lit("batch")), F.lit(batches)))
     return batched.groupBy("batch").applyInArrow(_links, "fp long, root long").distinct()
@@ -221,21 +226,27 @@ def near_groups(docs: DataFrame) -> DataFrame:
     """(doc_id, text_md5, fp, component_id): component_id is the smallest doc_id the fingerprint is linked to."""
     marks = cut_lineage(fingerprints(docs))
     distinct = cut_lineage(marks.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    found = components(links(distinct.select("fp")).select(F.col("fp").alias("a"), F.col("root").alias("b")))
-    rooted = distinct.join(found.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    return grouped(marks, distinct, links(distinct.select("fp")), "fp")
+
+
+def grouped(marks: DataFrame, distinct: DataFrame, linked: DataFrame, by: str) -> DataFrame:
+    """`marks`(doc_id, text_md5, `by`) with the component_id of `by`, from links (`by`, root) among `distinct`(`by`, first)."""
+    found = components(linked.select(F.col(by).alias("a"), F.col("root").alias("b")))
+    rooted = distinct.join(found.select(F.col("node").alias(by), "root"), by, "left").select(by, "first", F.coalesce("root", by).alias("root"))
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(names, "root").select("fp", "component_id")
-    # The documents stand on the left, so a fingerprint with very many of them can be split.
-    return marks.join(named, "fp").select("doc_id", "text_md5", "fp", "component_id")
+    named = rooted.join(names, "root").select(by, "component_id")
+    # The documents stand on the left, so a value with very many of them can be split.
+    return marks.join(named, by).select("doc_id", "text_md5", by, "component_id")
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """One document of each group: the one with the smallest id, in the columns of `docs`.
 
-    Of repeated rows one stays. In a group without any id, every text stays.
+    Groups are those of `near_groups` unless given. Of repeated rows one stays. In a group without any id, every text stays.
     """
-    kept = near_groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    groups = near_groups(docs) if groups is None else groups
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_md5").alias("_kept_md5")).distinct()
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"), _digest("text").alias("_md5"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"), digest("text").alias("_md5"))
     same = F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_md5") == F.col("_kept_md5"))
     return rows.join(kept, same, "left_semi").dropDuplicates(["_id", "_md5"]).select("_row.*")
