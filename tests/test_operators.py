@@ -8,9 +8,11 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tidewire import schemas
 from tidewire.operators import frontier as FR
 from tidewire.operators import listing, readers, runs, seeds, threads
 from tidewire.operators.upsert import last_by_key, update_by_key, upsert
+from tidewire.plans import dashboard
 
 AT = datetime(2026, 4, 15, 12)
 
@@ -185,6 +187,24 @@ def test_compiled_documents_split_and_stay_whole(spark):
     assert seed.stock_ids == sorted(seed.stock_ids) and seed.post_urls == []
 
 
+def test_set_that_shrinks_below_the_chunk_size(spark):
+    """Chunks of the larger snapshot stay stored, but neither readers, inventory nor status count them."""
+    names = spark.createDataFrame([("s",), ("other",)], "name string")
+    compiled = spark.range(50).select(F.lit("s").alias("seed_set_name"), F.lit("stock_id").alias("kind"), F.col("id").cast("string").alias("value"))
+    large = seeds.seed_documents(names, compiled, ts("2026-01-01"), chunk_items=10)
+    small = seeds.seed_documents(names.where("name = 's'"), compiled.where("value < 5"), ts("2026-01-02"), chunk_items=10)
+    stored = small.unionByName(large.join(small, ["seed_set_name", "chunk"], "left_anti"))
+    assert stored.where("seed_set_name = 's'").count() > 1
+    definitions = seeds.read_documents(stored)
+    assert sorted(len(r.stock_ids) for r in definitions.collect()) == [0, 5]
+    assert {r.name: r.stock_count for r in seeds.seed_inventory(definitions).collect()} == {"s": 5, "other": 0}
+    runs = spark.createDataFrame([], schemas.CRAWL_RUNS)
+    errors = spark.createDataFrame([], schemas.CRAWL_ERRORS)
+    urls = spark.createDataFrame([], schemas.URL_STATE)
+    report = dashboard.overview(dashboard.status(runs, errors, urls, stored, now=ts(NOW)))
+    assert {r.name: r.n for r in report.where("section = 'seed_sets'").collect()} == {"s": 5, "other": 0}
+
+
 COMMENT = "source string, post_entity_id string, source_entity_id string, parent_comment_entity_id string"
 
 

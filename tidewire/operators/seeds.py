@@ -187,10 +187,16 @@ def seed_documents(
     )
 
 
+def current_snapshots(snapshots: DataFrame) -> DataFrame:
+    """Documents of each set's newest refresh; chunks of older, larger snapshots drop out."""
+    newest = snapshots.groupBy("seed_set_name").agg(F.max("refreshed_at").alias("refreshed_at"))
+    return snapshots.join(newest, ["seed_set_name", "refreshed_at"], "left_semi")
+
+
 def read_documents(snapshots: DataFrame, seed_set_name: str | None = None) -> DataFrame:
-    """Snapshot documents as seed definition columns, optionally of one set."""
+    """Documents of the newest refresh as seed definition columns, optionally of one set."""
     rows = snapshots if seed_set_name is None else snapshots.where(F.col("seed_set_name") == seed_set_name)
-    parsed = rows.withColumn("_seed", F.from_json("seed_json", SEED_DEFINITION))
+    parsed = current_snapshots(rows).withColumn("_seed", F.from_json("seed_json", SEED_DEFINITION))
     return parsed.select("_seed.*", "chunk", "refreshed_at")
 
 

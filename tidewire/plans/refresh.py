@@ -108,12 +108,6 @@ def refresh_seeds(
     return S.refresh_totals(runs)
 
 
-def current_snapshots(snapshots: DataFrame) -> DataFrame:
-    """Documents of each set's newest refresh; chunks of older, larger snapshots drop out."""
-    newest = snapshots.groupBy("seed_set_name").agg(F.max("refreshed_at").alias("refreshed_at"))
-    return snapshots.join(newest, ["seed_set_name", "refreshed_at"], "left_semi")
-
-
 def ensure_seeds(
     spark: SparkSession,
     root: str,
@@ -130,10 +124,10 @@ def ensure_seeds(
     targets = spark.createDataFrame([(n,) for n in chosen], "name string")
     table = LogTable.named(spark, root, "compiled_seed_sets")
     at = F.lit(now).cast("timestamp")
-    due = S.needs_refresh(targets, current_snapshots(table.read()), as_of=at, refresh_minutes=refresh_minutes)
+    due = S.needs_refresh(targets, S.current_snapshots(table.read()), as_of=at, refresh_minutes=refresh_minutes)
     if chosen and due.first()["needs_refresh"]:
         refresh_seeds(spark, root, catalog, now=now, batch_id=batch_id, seed_set=seed_set, ttl_minutes=ttl_minutes)
-    return S.read_documents(current_snapshots(table.read()), seed_set)
+    return S.read_documents(table.read(), seed_set)
 
 
 def _staged(spark: SparkSession, staging: str, numbers: list[int]) -> DataFrame:
