@@ -246,6 +246,17 @@ def test_unigram_path_is_shortest():
     assert [model["pieces"][i][0] for i in machine.shortest("▁aba")] == ["▁a", "ba"]
 
 
+def test_rare_language_is_learned(spark, monkeypatch):
+    """A language that the first texts by id hash do not hold is predicted all the same."""
+    monkeypatch.setattr(langid, "MAX_TEXTS", 10)
+    rows = [(i, f"the plain words of number {i} in this common tongue", "en") for i in range(400)]
+    rows += [(1000 + i, f"жук цап {i} шум ящик", "zz") for i in range(6)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.lang for r in langid.sampled(table, table.select("doc_id"), 10).collect()} == {"en"}
+    assert set(langid.fit(table)["classes"]) == {"en", "zz"}
+    assert {r.lang_pred for r in langid.languages(table).where("doc_id >= 1000").collect()} == {"zz"}
+
+
 def test_models_on_held_out_rows(spark, odd):
     big = "/root/testdata/sf0.01"
     large = "/root/testdata/sf0.1"

@@ -9,7 +9,8 @@ Scoring needs no embeddings: a filter over two bytes is a table of 65,536 rows,
 four is the sum of two such tables, so a batch of windows is a few table look-ups.
 
 Training takes at most MAX_TEXTS labelled texts, none above MAX_CHARS characters, the first by a
-hash of the id: a bounded sample, with a fixed number of steps.
+hash of the id, and the first LANG_TEXTS of every language, so that a rare one is learned at any
+size: at most MAX_TEXTS plus LANG_TEXTS times the languages, with a fixed number of steps.
 
 Nulls: a text that is null or has no letter is `und` with score 0. Null languages do not train; if
 there is none at all, every text is `und`. Repeated rows are judged each. An empty table gives an
@@ -22,13 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.llm.common import fold, sampled, self_contained
 
 WIDTHS, FILTERS, EMBEDDING, WINDOW = (2, 3, 4), 12, 8, 256
-MAX_TEXTS, MAX_CHARS = 2000, 20_000
+MAX_TEXTS, LANG_TEXTS, MAX_CHARS = 2000, 20, 20_000
 STEPS, BATCH, RATE = 700, 64, 0.01
 UNKNOWN = "und"
 # Windows scored at once.
@@ -177,11 +178,22 @@ def predict(model: dict | None, texts: list[str | None]) -> tuple[list[str], lis
     return names, scores
 
 
+def of_each_language(rows: DataFrame) -> DataFrame:
+    """The first LANG_TEXTS of `rows`(doc_id, text, lang) of every language; texts of other rows are not moved."""
+    by = [F.xxhash64("doc_id"), F.col("doc_id")]
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(*by))
+    ids = rows.where("doc_id IS NOT NULL").select("doc_id", "lang").distinct().withColumn("n", nth).where(F.col("n") <= LANG_TEXTS).drop("n")
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(*by, "text"))
+    return rows.join(F.broadcast(ids), ["doc_id", "lang"]).withColumn("n", nth).where(F.col("n") <= LANG_TEXTS).orderBy("lang", "n").select("doc_id", "text", "lang")
+
+
 def fit(docs: DataFrame) -> dict | None:
     """Trains on a bounded sample of the rows outside fold 0 that have a language."""
     usable = (fold(F.col("doc_id")) != 0) & F.col("lang").isNotNull() & (F.char_length("text") <= MAX_CHARS) & F.col("text").rlike(r"\p{L}")
     rows = docs.where(usable).select("doc_id", "text", "lang")
     found = sampled(rows, rows.select("doc_id"), MAX_TEXTS).collect()
+    known = {(r.doc_id, r.text, r.lang) for r in found}
+    found += [r for r in of_each_language(rows).collect() if (r.doc_id, r.text, r.lang) not in known]
     return train([r.text for r in found], [r.lang for r in found])
 
 
