@@ -240,6 +240,19 @@ def test_pieces_equal_the_library(documents, odd):
     assert digest[3].n_pieces == 0 and digest[4].round_trip and digest[5].round_trip and not digest[7].round_trip
 
 
+def test_user_defined_pieces_are_refused(tmp_path):
+    def piece(text, kind):
+        body = bytes([10, len(text)]) + text + bytes([24, kind])
+        return bytes([10, len(body)]) + body
+
+    path = tmp_path / "model"
+    path.write_bytes(piece(b"<unk>", 2) + piece(b"a", 1))
+    assert pieces.load(str(path))["pieces"] == [("<unk>", 0.0, 2), ("a", 0.0, 1)]
+    path.write_bytes(piece(b"<unk>", 2) + piece(b"<sep>", 4))
+    with pytest.raises(ValueError, match="user-defined"):
+        pieces.load(str(path))
+
+
 def test_unigram_path_is_shortest():
     model = {"pieces": [("<unk>", 0, 2), ("▁", -3, 1), ("a", -3, 1), ("b", -3, 1), ("ab", -4, 1), ("▁a", -4.5, 1), ("ba", -1, 1)], "bpe": False, "prefix": True}
     machine = pieces.Transducer(model)

@@ -91,6 +91,8 @@ def load(path: str = DEFAULT_MODEL) -> dict:
                 if spec.get(2) or spec.get(4, 1) or not spec.get(5, 1):
                     raise ValueError("only models with an identity normaliser are supported")
                 settings["prefix"] = bool(spec.get(3, 1))
+    if any(kind == 4 for _, _, kind in pieces):
+        raise ValueError("models with user-defined pieces are not supported")
     return {"pieces": pieces, **settings}
 
 
