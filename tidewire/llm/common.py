@@ -8,20 +8,21 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.session import configure, cut_lineage
+from tidewire.session import configure, cut_lineage, run_dir
 
-__all__ = ["FOLDS", "cut_lineage", "fold", "prepare", "self_contained", "table", "word_count", "ROWS_PER_BATCH", "sampled"]
+__all__ = ["FOLDS", "cut_lineage", "fold", "named", "prepare", "stored", "self_contained", "table", "word_count", "ROWS_PER_BATCH", "sampled"]
 
 # ASCII white space as the text contracts name it: space and U+0009 to U+000D.
 WHITE = r"\x20\x09-\x0D"
-# Rows of one Arrow batch sent to Python; texts can be long, so batches are small.
-ROWS_PER_BATCH = 500
+# Rows and bytes of one Arrow batch sent to Python; texts can be long, so batches are small.
+ROWS_PER_BATCH, BYTES_PER_BATCH = 500, 8 << 20
 # Rows whose fold is 0 are held out of every fit.
 FOLDS = 5
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
     return configure(spark)
 
 
@@ -29,6 +30,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def named(rows: DataFrame, *names: str) -> DataFrame:
+    """Columns by their exact names, whatever the others are called; of equal names the first."""
+    at = {name: i for i, name in reversed(list(enumerate(rows.columns)))}
+    plain = rows.toDF(*[f"_{i}" for i in range(len(rows.columns))])
+    return plain.select(*[F.col(f"_{at[n]}").alias(n) for n in names])
+
+
+def stored(rows: DataFrame, label: str) -> DataFrame:
+    """The rows, written to the shared folder and read again; unlike after a checkpoint, plans know their size.
+
+    Loops of joins need that: estimates of checkpointed tables multiply from round to round.
+    """
+    path = run_dir(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def self_contained(module: str) -> None:
     """Ship the functions of a module by value, so workers need not have the package installed."""
     cloudpickle.register_pickle_by_value(sys.modules[module])

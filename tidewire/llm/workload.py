@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import chat, dedup, langid, licenses, mixing, pieces, simhash, topk, toxicity, urls
+from tidewire.llm import chat, codebooks, dedup, langid, licenses, mixing, packing, pieces, simhash, topk, toxicity, tries, urls
 from tidewire.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +136,82 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces_ = packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces_.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+# crc32 of a decimal number, bit by bit.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda r, i: xor(r >> 1, (r & 1) * 3988292384))), 4294967295)"""
+
+_OP12 = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (SELECT conv_id, {_CRC32} % 9 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, t.pos, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id WHERE t.pos > c.h
+  UNION ALL SELECT c.conv_id, t.pos, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 5 WHERE t.pos <= c.h
+), p AS (
+  SELECT conv_id, row_number() OVER w AS depth, strlen(text) AS bytes,
+    string_agg(strlen(role) || ':' || role || strlen(text) || ':' || text, '' ) OVER w AS way
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c
+), n AS (SELECT depth, way, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes FROM p GROUP BY depth, way),
+up AS (
+  SELECT n.depth, n.way, n.conv_id, n.n_convs, n.bytes, a.way AS above, a.conv_id AS parent_conv_id
+  FROM n LEFT JOIN p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1 LEFT JOIN n a ON a.depth = p.depth AND a.way = p.way
+), k AS (SELECT depth - 1 AS depth, above AS way, count(*) AS n_children FROM up WHERE depth > 0 GROUP BY ALL),
+s AS (
+  SELECT p.depth, p.way, CAST(sum(CASE WHEN k.way IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves, CAST(sum((n.n_convs - 1) * n.bytes) AS BIGINT) AS saved_tokens
+  FROM n JOIN p ON p.conv_id = n.conv_id AND p.depth <= n.depth LEFT JOIN k ON k.depth = n.depth AND k.way = n.way GROUP BY p.depth, p.way
+), e AS (
+  SELECT depth, way, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends
+  FROM p JOIN (SELECT conv_id, max(depth) AS depth FROM p GROUP BY conv_id) USING (conv_id, depth) GROUP BY depth, way
+)
+SELECT up.conv_id, up.depth, up.parent_conv_id, up.n_convs, coalesce(k.n_children, 0) AS n_children, s.n_leaves, s.saved_tokens, coalesce(e.ends, sha256('')) AS ends_sha256
+FROM up JOIN s USING (depth, way) LEFT JOIN k USING (depth, way) LEFT JOIN e USING (depth, way)
+"""
+
+
+@query(_OP12)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.trie(tries.shared_starts(tries.sequences(table(spark, sf_dir, "conversations"))))
+
+
+def _assign_sql(book: str) -> str:
+    """Nearest entries by exact inner products; ties to the lower entry."""
+    return f"""SELECT x.row, x.part, min_by(b.entry, (b.sq - 2 * list_dot_product(x.v, b.v), b.entry)) AS entry,
+      min(b.sq - 2 * list_dot_product(x.v, b.v)) + any_value(list_dot_product(x.v, x.v)) AS error, any_value(x.v) AS v
+    FROM x JOIN {book} b ON x.part = b.part GROUP BY x.row, x.part"""
+
+
+def _op13() -> str:
+    steps = ["""v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS row, vec_id, label, [floor(CAST(x AS DOUBLE) * 1024) for x in embedding] AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), x AS MATERIALIZED (
+  SELECT row, part, v[part * (len(v) // 4) + 1 : (part + 1) * (len(v) // 4)] AS v FROM v, range(4) r(part)
+), b0 AS MATERIALIZED (SELECT part, row - 1 AS entry, v, list_dot_product(v, v) AS sq FROM x WHERE row <= 256)"""]
+    for i in range(4):
+        steps.append(f"""a{i} AS MATERIALIZED ({_assign_sql(f"b{i}")}),
+m{i} AS (SELECT part, entry, place, floor(sum(y) / count(*)) AS y FROM (SELECT part, entry, unnest(v) AS y, generate_subscripts(v, 1) AS place FROM a{i}) GROUP BY ALL),
+n{i} AS (SELECT part, entry, list(y ORDER BY place) AS v FROM m{i} GROUP BY ALL),
+b{i + 1} AS MATERIALIZED (SELECT part, entry, v, list_dot_product(v, v) AS sq FROM (SELECT b.part, b.entry, coalesce(n.v, b.v) AS v FROM b{i} b LEFT JOIN n{i} n USING (part, entry)))""")
+    steps.append(f"""a4 AS MATERIALIZED ({_assign_sql("b4")}),
+coded AS (SELECT row, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(error) AS BIGINT) AS error FROM a4 GROUP BY row),
+digest AS (SELECT sha256(string_agg(array_to_string([CAST(y AS BIGINT) for y in v], ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b4)""")
+    return "WITH " + ",\n".join(steps) + """
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN v USING (row), digest"""
+
+
+@query(_op13())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codebooks.compressed(table(spark, sf_dir, "embeddings"))
+    return codebooks.label_errors(coded).select("vec_id", "code", "error", "label_error", F.lit(codebooks.digest(books)).alias("codebooks_sha256"))
