@@ -180,7 +180,7 @@ def brute_codes(vectors, entries=256):
     """Plain Lloyd rounds in Python integers over (vec_id, embedding, label)."""
     kept = [(i, [math.floor(x * 1024) if abs(x) < 2**40 else int(x) * 1024 for x in v], label) for i, v, label in vectors
             if v is not None and all(x is not None and math.isfinite(x) for x in v)]
-    width = -(-max(len(v) for _, v, _ in kept) // 4)
+    width = max(1, -(-max(len(v) for _, v, _ in kept) // 4))
     kept = [(i, v + [0] * (4 * width - len(v)), label) for i, v, label in kept]
     kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
     out, books = [["", 0] for _ in kept], []

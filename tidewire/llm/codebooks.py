@@ -22,7 +22,7 @@ stay below 2^53, and in whole numbers of any size for components beyond that, wh
 limbs of 30 bits. Bounds are rounded down, so ties always reach the exact scan.
 
 Rows whose vector is null or holds null, NaN or infinity are left out. Shorter vectors count as
-padded with zeros, to the longest and then to a multiple of the parts. The first codebook is the
+padded with zeros, to the longest and then to a multiple of the parts, one component a part at least. The first codebook is the
 vectors of the smallest ids (null ids last, equal ids by vector); of fewer rows, all. A null id is
 kept. Repeated rows are coded each. An error beyond a 64-bit number is null, and so is the sum of
 its label. An empty table gives an empty result. Other columns play no part.
