@@ -10,6 +10,32 @@ from pyspark.sql import functions as F
 from tidewire.operators.upsert import first_by_key
 
 
+# Pages of one listing that are read at most.
+MAX_PAGES = 1000
+
+
+def listing_ends(
+    pages: DataFrame, listing: Sequence[str], *, dead: Column, final: Column, page: str = "page_no", max_pages: int = MAX_PAGES
+) -> DataFrame:
+    """How far a reader gets that asks for page 1, 2, ... of each listing.
+
+    It stops before the first page that is missing or `dead`, and after the first one that is
+    `final`. `last_page` is the last page it keeps, `read_to` the last one it asked for and got
+    an answer to. One aggregate with partial combine; a listing is at most `max_pages` numbers.
+    """
+    number = F.col(page)
+    facts = pages.where(number.between(1, max_pages)).groupBy(*listing).agg(
+        F.min(F.when(dead, number)).alias("_dead"), F.min(F.when(final & ~dead, number)).alias("_final"),
+        F.collect_set(number).alias("_seen"),
+    )
+    wanted = F.sequence(F.lit(1), F.size("_seen") + 1)
+    known = facts.withColumn("_whole", F.array_min(F.array_except(wanted, F.col("_seen").cast("array<int>"))) - 1)
+    # `least` leaves out nulls.
+    return known.select(
+        *listing, F.least("_whole", F.col("_dead") - 1, "_final").alias("last_page"), F.least("_whole", "_dead", "_final").alias("read_to")
+    )
+
+
 def page_novelty(rows: DataFrame, listing: Sequence[str], item: str, page: str = "page") -> DataFrame:
     """Per page of a listing: distinct ids, and how many of them no earlier page had.
 

@@ -21,6 +21,7 @@ from tidewire.operators.frontier import FreshnessPolicy, claim_winners, claimed_
 from tidewire.operators.upsert import changed_rows
 from tidewire.schemas import RAW_PAGES, RUN_COUNTERS, conform
 from tidewire.session import drop_dir, run_dir
+from tidewire.sources.captures import newest
 from tidewire.sources.registry import ADAPTERS
 from tidewire.sources.tables import LogTable
 from tidewire.streaming.jobs import store_outcomes
@@ -125,13 +126,14 @@ class _Cycle:
         return numbers[F.col("source")]
 
     def claim(self, tasks: DataFrame, step: int) -> tuple[DataFrame, DataFrame]:
-        """Claimed tasks and their captured pages. The captured table is scanned once per pass,
-        here; what is parsed later is the stored part of it that was claimed."""
+        """Claimed tasks and the newest captures of their pages. The captured table is scanned once
+        per pass for the page keys and once for the chosen pages, here; what is parsed later is the
+        stored part of it that was claimed."""
         before = self.urls.read(self.first + step, tasks, _WRITER)
         winners = claim_winners(tasks, before, now=self.now, policy=self.policy)
         won = self.stored(winners, f"claims{step}")
         self.urls.append(claimed_state(won, now=self.now), self.first + step, writer=_WRITER)
-        pages = self.captured.join(won.select("url"), "url", "left_semi")
+        pages = newest(self.captured, won, self.now)
         return won.select(*_TASK), self.stored(pages.select(*RAW_PAGES.names), f"pages{step}")
 
     def with_tasks(self, tasks: DataFrame) -> dict[str, Any]:

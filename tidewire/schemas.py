@@ -86,10 +86,11 @@ FRONTIER = _table(
     {"seed_name": _S, "priority": _I, "metadata": T.MapType(_S, _S), "seq": _L},
 )
 # A captured response. `url` is the task's URL; listings and comment threads have several pages
-# and sections: `main`, `search` (hits for the owner's name) and `reply` (answers to a comment).
+# and sections: `main`, `search` (hits for the owner's name) and `reply` (answers to the comment
+# `root_id`, paged on their own). A page may have been captured several times.
 RAW_PAGES = _table(
     {"url": _S},
-    {"page_no": _I, "section": _S, "status_code": _I, "text": _S, "error_message": _S, "proxy_url": _S, "fetched_at": _TS},
+    {"page_no": _I, "section": _S, "root_id": _S, "status_code": _I, "text": _S, "error_message": _S, "proxy_url": _S, "fetched_at": _TS},
 )
 STOCK_UNIVERSE = _table({"stock_id": _S}, {"market": _S, "board": _S, "tags": T.ArrayType(_S)})
 RANKING = _table(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions import payloads as J
@@ -13,7 +13,7 @@ from tidewire.functions import urls as U
 from tidewire.functions.staging import compute_once
 from tidewire.functions.text import is_blank, non_empty, optional_int, strip
 from tidewire.functions.times import epoch_seconds
-from tidewire.operators.listing import cap_per_owner, first_seen, page_novelty
+from tidewire.operators.listing import MAX_PAGES, cap_per_owner, first_seen, listing_ends, page_novelty
 from tidewire.sources import forum
 from tidewire.sources.forum import transport_error
 from tidewire.sources.tasks import explode_values, metadata, task_rows
@@ -158,6 +158,11 @@ def parse(fetched: DataFrame, web_base: str = U.VIDEO_WEB_BASE) -> DataFrame:
     ).drop("_known", "_body", "_data", "_object", "_post", "_author", "call_message", "call_blocked", "text")
 
 
+def _parsed(payloads: DataFrame) -> Column:
+    """The payload as `with_call` parsed it, or parsed here."""
+    return F.col("_body") if "_body" in payloads.columns else J.parse(F.col("text"))
+
+
 def listing_rows(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Videos of space listing pages (`text`, `mid`, `page_no`, `section`), one row each.
 
@@ -165,7 +170,7 @@ def listing_rows(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     search hits, a bare list of which only the owner's count.
     """
     body = F.col("_body")
-    parsed = payloads.select(*keep, "mid", "page_no", "section", J.parse(F.col("text")).alias("_body"))
+    parsed = payloads.select(*keep, "mid", "page_no", "section", _parsed(payloads).alias("_body"))
     hits = F.try_variant_get(body, "$", "array<variant>")
     videos = F.when(F.col("section") == "search", hits).otherwise(J.elements(body, "data.list.vlist"))
     rows = parsed.select(*keep, "mid", "page_no", "section", F.posexplode(videos).alias("pos", "_v"))
@@ -201,43 +206,64 @@ def space_videos(rows: DataFrame, max_per_section: int | None = None) -> DataFra
     return first_seen(rows, ["mid", "bvid"], listing_order())
 
 
+def space_ends(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
+    """Per space `url`: last_page and read_to of the owner's list (see listing_ends).
+
+    `pages` are called pages (`with_call`) with `mid`. The list ends before its first missing,
+    failed or empty page and before one without new videos, and after the page with which as
+    many distinct videos were seen as it announces in all.
+    """
+    own = pages.where((F.col("section") != "search") & F.col("page_no").between(1, max_pages))
+    listed = own.where(F.col("call_message").isNull())
+    fresh = page_novelty(listing_rows(listed, keep=("url",)), ["url"], "bvid", "page_no")
+    facts = own.select(
+        "url", "page_no", F.col("call_message").isNotNull().alias("_failed"),
+        optional_int(J.field(F.col("_body"), "data.page.count")).alias("_total"),
+    ).join(fresh.select("url", "page_no", "new_ids"), ["url", "page_no"], "left")
+    # A listing has at most max_pages rows here.
+    so_far = F.sum(F.coalesce("new_ids", F.lit(0))).over(Window.partitionBy("url").orderBy("page_no"))
+    facts = facts.withColumn("_seen", so_far)
+    dead = F.col("_failed") | (F.coalesce("new_ids", F.lit(0)) == 0)
+    return listing_ends(facts, ["url"], dead=dead, final=F.coalesce(F.col("_seen") >= F.col("_total"), F.lit(False)), max_pages=max_pages)
+
+
 def discover(
-    tasks: DataFrame, captured: DataFrame, web_base: str = U.VIDEO_WEB_BASE, max_per_section: int | None = None
+    tasks: DataFrame, captured: DataFrame, web_base: str = U.VIDEO_WEB_BASE, max_per_section: int | None = None,
+    max_pages: int = MAX_PAGES,
 ) -> tuple[DataFrame, DataFrame]:
     """Outcomes of space tasks, and their listed videos as fetch_post tasks.
 
-    A listing ends at its first failed page, whose error is the task's error; failed searches
-    only yield nothing.
+    A listing is read page by page to its end (see space_ends); where that is a failed page, its
+    error is the task's error. Failed searches only yield nothing. `captured` has one capture a page.
     """
     mid = F.coalesce(F.col("metadata")["mid"], U.parse_space_mid(F.col("url")))
     space = tasks.withColumn("mid", mid)
-    pages = with_call(space.select("url", "mid").join(captured, "url")).drop("_body")
+    pages = with_call(space.select("url", "mid").join(captured, "url"))
     failed = F.col("call_message").isNotNull()
     own = F.col("section") != "search"
-    # First failed page and last status per space; the struct's page number is what is compared.
-    fault = F.struct("page_no", F.col("call_message").alias("message"), F.col("call_blocked").alias("blocked"))
-    calls = pages.groupBy("url").agg(
-        F.min(F.when(failed & own, fault)).alias("_fault"),
-        F.max(F.when(own, F.struct("page_no", "status_code"))).alias("_last"),
-    )
+    ends = space_ends(pages, max_pages)
+    # The last page that was read; the struct's page number is what is compared.
+    facts = F.struct("page_no", "status_code", F.col("call_message").alias("message"), F.col("call_blocked").alias("blocked"))
+    read = pages.where(own).join(ends, "url").where(F.col("page_no") <= F.col("read_to"))
+    calls = read.groupBy("url").agg(F.max(facts).alias("_last"))
+    fault = F.col("_last.message")
     outcomes = space.join(calls, "url", "left").select(
         *tasks.columns,
         F.coalesce(F.col("_last.status_code"), F.lit(0)).alias("status_code"),
-        F.coalesce(F.col("_fault.blocked"), F.lit(False)).alias("blocked"),
+        F.coalesce(F.col("_last.blocked"), F.lit(False)).alias("blocked"),
         F.when(F.col("mid").isNull(), F.concat(F.lit("Could not parse Bilibili space mid from "), F.col("url")))
         .when(
-            F.col("_fault").isNotNull(),
+            fault.isNotNull(),
             F.concat(
                 F.lit("Fetch failed for space "), F.col("mid"), F.lit(" page "),
-                F.col("_fault.page_no").cast("string"), F.lit(": "), F.col("_fault.message"),
+                F.col("_last.page_no").cast("string"), F.lit(": "), fault,
             ),
         )
         .when(F.col("_last").isNull(), F.concat(F.lit("Fetch failed for space "), F.col("mid"), F.lit(": no captured page")))
         .alias("error"),
     )
-    good = pages.join(calls.select("url", F.col("_fault.page_no").alias("_stop")), "url").where(
-        ~failed & (~own | F.col("_stop").isNull() | (F.col("page_no") < F.col("_stop")))
-    )
+    kept = pages.where(own).join(ends, "url").where(F.col("page_no") <= F.col("last_page")).select(*pages.columns)
+    good = kept.unionByName(pages.where(~own & ~failed))
     videos = space_videos(listing_rows(good), max_per_section)
     listed = videos.join(space.select("mid", F.struct(*tasks.columns).alias("parent")), "mid")
     # Position in the merged list, as a sortable number.
@@ -261,7 +287,7 @@ def discover(
 def flatten_replies(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Comments of reply payloads (`text`, `post_entity_id`, `canonical_url`, `is_reply`,
     `owner_mid`, `fetched_at`); with a known owner only the owner's comments remain."""
-    replies = J.elements(J.parse(F.col("text")), "data.replies")
+    replies = J.elements(_parsed(payloads), "data.replies")
     known = list(dict.fromkeys([*keep, "post_entity_id", "canonical_url", "is_reply", "owner_mid", "fetched_at"]))
     r = F.col("_r")
     fields = compute_once(
@@ -305,42 +331,54 @@ def comment_tasks(posts: DataFrame, api_base: str = U.VIDEO_API_BASE, mode: int
     )
 
 
-def comments(tasks: DataFrame, captured: DataFrame) -> DataFrame:
-    """Comments of refresh tasks, from root pages (`main`) and answer pages (`reply`).
+def root_comment_ends(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
+    """Per `url`, how far its pages of root comments (called pages, section `main`) are read.
 
-    A root listing ends before its first failed, empty or repeated page, and after the first
-    page whose cursor says so; a page without a cursor is the last one.
+    They end before the first missing, failed or empty page and before one that has ids, all of
+    them seen, and after the first page whose cursor says so; a page without a cursor is the last one.
     """
-    meta = F.col("metadata")
-    pages = tasks.select(
-        "url", meta["post_id"].alias("post_entity_id"), meta["canonical_url"].alias("canonical_url"),
-        meta["owner_mid"].alias("owner_mid"),
-    ).join(captured.where("section in ('main', 'reply')"), "url")
     body = F.col("_body")
     cursor_end = F.coalesce(J.field(body, "data.cursor.is_end", "boolean"), F.lit(True))
     cursor_next = F.coalesce(J.field(body, "data.cursor.next", "bigint"), F.lit(0))
-    called = with_call(pages).withColumns(
-        {
-            "_failed": F.col("call_message").isNotNull(),
-            "_root": F.col("section") == "main",
-            "_final": cursor_end | (cursor_next <= 0),
-        }
-    )
-    root = called.where("_root")
     # Whether a page repeats is judged on all its ids, before any comment is dropped.
-    ids = root.where("not _failed").select("url", "page_no", F.explode(J.elements(body, "data.replies")).alias("_r"))
-    fresh = page_novelty(
-        ids.select("url", "page_no", J.field(F.col("_r"), "rpid").alias("rpid")), ["url"], "rpid", "page_no"
-    )
-    page = F.col("page_no")
+    ids = pages.where("call_message IS NULL").select("url", "page_no", F.explode(J.elements(body, "data.replies")).alias("_r"))
+    fresh = page_novelty(ids.select("url", "page_no", J.field(F.col("_r"), "rpid").alias("rpid")), ["url"], "rpid", "page_no")
+    facts = pages.select("url", "page_no", (cursor_end | (cursor_next <= 0)).alias("_final")).join(fresh, ["url", "page_no"], "left")
     dead = F.col("ids").isNull() | ((F.col("ids") > 0) & (F.col("new_ids") == 0))
-    ends = (
-        root.select("url", "page_no", "_final")
-        .join(fresh, ["url", "page_no"], "left")
-        .groupBy("url")
-        .agg(F.min(F.when(dead, page)).alias("_before"), F.min(F.when(F.col("_final"), page)).alias("_last"))
+    return listing_ends(facts, ["url"], dead=dead, final=F.col("_final"), max_pages=max_pages)
+
+
+def reply_ends(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
+    """Per (`url`, `root_id`), how far the pages of answers to a root comment are read: to the
+    first missing, failed or empty page, or through the first one whose cursor ends it or is absent."""
+    body = F.col("_body")
+    facts = pages.select(
+        "url", "root_id", "page_no", F.coalesce(J.field(body, "data.cursor.is_end", "boolean"), F.lit(True)).alias("_final"),
+        (F.col("call_message").isNotNull() | (F.size(J.elements(body, "data.replies")) <= 0)).alias("_empty"),
     )
-    good = called.where("not _failed").select(*pages.columns, (~F.col("_root")).alias("is_reply"))
-    rows = flatten_replies(good, keep=("url", "page_no", "is_reply"))
-    open_until = (F.col("_before").isNull() | (page < F.col("_before"))) & (F.col("_last").isNull() | (page <= F.col("_last")))
-    return rows.join(ends, "url", "left").where(F.col("is_reply") | open_until).drop("_before", "_last", "is_reply")
+    return listing_ends(facts, ["url", "root_id"], dead=F.coalesce("_empty", F.lit(True)), final=F.col("_final"), max_pages=max_pages)
+
+
+def comments(tasks: DataFrame, captured: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
+    """Comments of refresh tasks, from root pages (`main`) and answer pages (`reply`).
+
+    Both listings are read to their ends; answers are read for root comments only that were read
+    themselves and say they have some. `captured` has one capture a page.
+    """
+    meta = F.col("metadata")
+    pages = tasks.select(
+        "url", meta["post_id"].alias("post_entity_id"), meta["canonical_url"].alias("canonical_url"),
+        meta["owner_mid"].alias("owner_mid"),
+    ).join(captured.where("section in ('main', 'reply')"), "url")
+    called = with_call(pages)
+    root, answers = called.where("section = 'main'"), called.where("section = 'reply'")
+    within = F.col("page_no") <= F.col("last_page")
+    read = root.join(root_comment_ends(root, max_pages), "url").where(within).drop("last_page", "read_to")
+    r = F.col("_r")
+    asked = read.select("url", F.explode(J.elements(F.col("_body"), "data.replies")).alias("_r")).select(
+        "url", J.field(r, "rpid").alias("root_id"), J.field(r, "rcount", "bigint").alias("_n")
+    ).where("root_id IS NOT NULL AND _n > 0").select("url", "root_id").distinct()
+    ends = reply_ends(answers, max_pages).join(asked, ["url", "root_id"], "left_semi")
+    below = answers.join(ends, ["url", "root_id"]).where(within).drop("last_page", "read_to")
+    good = read.withColumn("is_reply", F.lit(False)).unionByName(below.withColumn("is_reply", F.lit(True)))
+    return flatten_replies(good, keep=("url", "page_no", "is_reply")).drop("is_reply")

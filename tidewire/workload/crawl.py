@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from tidewire.operators import frontier as FR
 from tidewire.operators import listing, runs
 from tidewire.plans.cycle import run_cycle
+from tidewire.schemas import RUN_COUNTERS
 from tidewire.session import run_dir
 from tidewire.sources import forum, video
 from tidewire.sources.tables import LogTable
@@ -252,20 +254,27 @@ def discovered_tasks(t: Tables) -> DataFrame:
 
 
 _SHAPES = "page_id % 6 IN (0, 1, 2, 4)"
-
-
-@query(
-    "crawl_cycle",
-    f"""SELECT 'post' AS kind, CAST(page_id + 1000000 AS VARCHAR) AS id FROM pages WHERE {_SHAPES}
-UNION ALL SELECT 'error', 'Could not parse post payload from https://xueqiu.com/' || page_id || '/' || (page_id + 1000000) || '?x=1#c' FROM pages WHERE NOT {_SHAPES}
-UNION ALL SELECT 'comment', conv_id || ':' || turn FROM conversations WHERE conv_id IN (SELECT page_id FROM pages WHERE {_SHAPES})
-UNION ALL SELECT 'claimed', 'https://xueqiu.com/' || page_id || '/' || (page_id + 1000000) || '?x=1#c' FROM pages
-UNION ALL SELECT 'claimed', 'https://xueqiu.com/statuses/comments.json?id=' || (page_id + 1000000) || '&count=20&page=1' FROM pages WHERE {_SHAPES}
-UNION ALL SELECT 'run', 'succeeded ' || count(*) FROM pages""",
-)
-def crawl_cycle(t: Tables) -> DataFrame:
-    """A whole cycle: every page is a seed, every conversation the comments of the page's post."""
-    root = run_dir(t.spark, "crawl-cycle")
+_TASK_URL = "'https://xueqiu.com/' || page_id || '/' || (page_id + 1000000) || '?x=1#c'"
+_THREAD_URL = "'https://xueqiu.com/statuses/comments.json?id=' || (page_id + 1000000) || '&count=20&page=1'"
+# Conversations without a gap up to a turn; a comment listing ends at the first missing page.
+_READ_TURNS = """SELECT conv_id, turn FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place FROM conversations) WHERE turn = place"""
+_CYCLE_SQL = f"""
+WITH p AS (SELECT page_id, page_id % 6 AS shape, {_SHAPES} AS good, {_TASK_URL} AS url, {_THREAD_URL} AS thread FROM pages),
+c AS (SELECT conv_id, turn FROM ({_READ_TURNS}) JOIN p ON conv_id = page_id AND good),
+facts AS (SELECT (SELECT count(*) FROM p) AS pages, (SELECT count(*) FROM p WHERE good) AS posts, (SELECT count(*) FROM c) AS comments,
+  (SELECT count(*) FROM p WHERE shape IN (0, 1)) AS authors)
+SELECT 'post' AS kind, CAST(page_id + 1000000 AS VARCHAR) AS id, 'author ' || CASE WHEN shape IN (0, 1) AND page_id > 0 THEN CAST(page_id AS VARCHAR) ELSE 'none' END AS note FROM p WHERE good
+UNION ALL SELECT 'author', CASE WHEN page_id > 0 THEN CAST(page_id AS VARCHAR) ELSE 'unknown' END, 'n' || page_id FROM p WHERE shape IN (0, 1)
+UNION ALL SELECT 'error', url, 'Could not parse post payload from ' || url FROM p WHERE NOT good
+UNION ALL SELECT 'comment', conv_id || ':' || turn, CAST(conv_id + 1000000 AS VARCHAR) FROM c
+UNION ALL SELECT 'url', url, 'fetch_post s-' || url || ' 200' FROM p
+UNION ALL SELECT 'url', thread, 'refresh_comments s-' || url || ' 200' FROM p WHERE good
+UNION ALL SELECT 'item', CAST(page_id + 1000000 AS VARCHAR), CASE WHEN page_id IN (SELECT conv_id FROM c) THEN 'refreshed' ELSE 'not refreshed' END FROM p WHERE good
+UNION ALL SELECT 'run', 'succeeded', concat_ws(' ', pages, pages + posts, pages, posts, comments, authors, 0, pages - posts, 0) FROM facts"""
+
+
+def _cycle_input(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Seeds and captured pages: every page is a seed, every conversation the comments of the page's post."""
     articles = article_pages(t)
     none = F.array().cast("array<string>")
     seeds = articles.select(
@@ -283,6 +292,11 @@ def crawl_cycle(t: Tables) -> DataFrame:
     captured = articles.withColumn("page_no", F.lit(1)).unionByName(threads).withColumns(
         {"section": F.lit("main"), "status_code": F.lit(200)}
     )
+    return seeds, captured
+
+
+def _cycle_result(t: Tables, root: str, seeds: DataFrame, captured: DataFrame) -> DataFrame:
+    """All tables after one cycle, as (kind, id, note), and the run's counters."""
     # Captured pages are a stored table in practice; here they are derived, so they are stored first.
     captured.write.parquet(f"{root}/captured")
     stored = t.spark.read.parquet(f"{root}/captured")
@@ -290,16 +304,37 @@ def crawl_cycle(t: Tables) -> DataFrame:
         t.spark, root, seeds, stored, run_id="run", batch_id=1, now=datetime(2024, 6, 1, tzinfo=timezone.utc)
     )
 
-    def table(name: str, kind: str, column: str) -> DataFrame:
-        return LogTable.named(t.spark, root, name).read().select(F.lit(kind).alias("kind"), F.col(column).alias("id"))
+    def table(name: str, kind: str, column: str, *note) -> DataFrame:
+        rows = LogTable.named(t.spark, root, name).read()
+        return rows.select(F.lit(kind).alias("kind"), F.col(column).alias("id"), F.concat_ws(" ", *note).alias("note"))
 
+    refreshed = F.when(F.col("last_comment_refresh_at").isNull(), "not refreshed").otherwise("refreshed")
     parts = [
-        table("comments", "comment", "source_entity_id"),
-        table("crawl_errors", "error", "error_message"),
-        table("url_state", "claimed", "url"),
-        run.select(F.lit("run").alias("kind"), F.concat_ws(" ", "status", F.col("pages_fetched").cast("string")).alias("id")),
+        table("posts", "post", "source_entity_id", F.lit("author"), F.coalesce("author_entity_id", F.lit("none"))),
+        table("authors", "author", "source_entity_id", "display_name"),
+        table("comments", "comment", "source_entity_id", "post_entity_id"),
+        table("crawl_errors", "error", "url", "error_message"),
+        table("url_state", "url", "url", "kind", "seed_name", F.col("last_status").cast("string")),
+        table("item_state", "item", "source_entity_id", refreshed),
+        run.select(F.lit("run").alias("kind"), F.col("status").alias("id"), F.concat_ws(" ", *[F.col(c).cast("string") for c in RUN_COUNTERS]).alias("note")),
     ]
-    result = table("posts", "post", "source_entity_id")
-    for part in parts:
-        result = result.unionByName(part)
-    return result
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("crawl_cycle", _CYCLE_SQL)
+def crawl_cycle(t: Tables) -> DataFrame:
+    """A whole cycle over pages captured once."""
+    return _cycle_result(t, run_dir(t.spark, "crawl-cycle"), *_cycle_input(t))
+
+
+@query("crawl_cycle_recaptured", _CYCLE_SQL)
+def crawl_cycle_recaptured(t: Tables) -> DataFrame:
+    """The same cycle where every page was also captured a day before, blocked, and is captured again
+    after the cycle's time, and every fifth capture is stored twice."""
+    seeds, captured = _cycle_input(t)
+    day = F.expr("INTERVAL 1 DAY")
+    before = captured.withColumns({"fetched_at": F.col("fetched_at") - day, "status_code": F.lit(403), "text": F.lit("captcha")})
+    after = captured.withColumns({"fetched_at": F.lit("2024-06-02").cast("timestamp"), "text": F.lit("")})
+    again = captured.where(F.pmod(F.xxhash64("url"), F.lit(5)) == 0)
+    captures = before.unionByName(after).unionByName(again).unionByName(captured)
+    return _cycle_result(t, run_dir(t.spark, "crawl-cycle"), seeds, captures)
