@@ -47,6 +47,20 @@ def is_object(v: Column) -> Column:
     return F.coalesce(F.startswith(F.schema_of_variant(v), F.lit("OBJECT<")), F.lit(False))
 
 
+def whole(v: Column) -> Column:
+    """A JSON value as an integer: numbers lose their fraction, true is 1, text must be an integer; else null."""
+    kind = F.schema_of_variant(v)
+    exact = F.try_variant_get(v, "$", "decimal(38,10)").try_cast("bigint")
+    rounded = F.try_variant_get(v, "$", "double")
+    return (
+        F.when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("bigint"))
+        .when(kind == "STRING", F.trim(F.try_variant_get(v, "$", "string")).try_cast("bigint"))
+        .when(kind == "BIGINT", F.try_variant_get(v, "$", "bigint"))
+        .when(F.startswith(kind, F.lit("DECIMAL")), exact)
+        .when(kind.isin("DOUBLE", "FLOAT"), rounded.try_cast("bigint"))
+    )
+
+
 def elements(v: Column, path: str) -> Column:
     """Elements of the array at path, or null when it is missing or not an array."""
     return field(v, path, "array<variant>")

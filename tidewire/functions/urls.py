@@ -9,18 +9,26 @@ from pyspark.sql import functions as F
 
 from tidewire.functions.text import is_blank, non_empty, strip
 
-# Site addresses and identifier patterns.
+# Site addresses, parts of their URLs, and identifier patterns.
 FORUM_BASE = "https://xueqiu.com"
 VIDEO_WEB_BASE = "https://www.bilibili.com"
 VIDEO_API_BASE = "https://api.bilibili.com"
 SPACE_BASE = "https://space.bilibili.com"
 COMMENTS_TEMPLATE = "https://xueqiu.com/statuses/comments.json?id={post_id}&count={page_size}&page={page}"
+STOCK_PATH, TOPIC_PATH, USER_PATH = "/S/", "/k?q=", "/u/"
+TIMELINE_PATH = "/statuses/stock_timeline.json?symbol_id="
+TIMELINE_REST = "&count={count}&source=all&sort=time&page={page}"
+SEARCH_PATH = "/query/v1/symbol/search/status.json?count={count}&comment=0&symbol="
+SEARCH_REST = "&hl=0&source=all&sort=time&page={page}&q=&type=90"
+VIDEO_COMMENTS_PATH = "/x/v2/reply/main?oid="
+VIDEO_COMMENTS_REST = "&type=1&mode={mode}&pn=1&ps={page_size}&next=0"
 POST_URL = r"https://xueqiu\.com/\d+/\d+"
 POST_ID = r"/(\d{6,})/?$"
 BVID = r"(?i)(BV[a-zA-Z0-9]{10})"
 BARE_AV = r"(?i)^av(\d+)$"
 VIDEO_PATH = r"(?i)bilibili\.com/video/([^/?#]+)"
 ANY_AV = r"(?i)(?:^|/)av(\d+)(?:$|[/?#])"
+DEFAULT_PORT = r"^(https://[^/]*):443$|^(http://[^/]*):80$"
 SPACE_MID = r"(?i)space\.bilibili\.com/(\d+)"
 
 
@@ -36,7 +44,9 @@ def _first(c: Column, pattern: str) -> Column:
 def url_path(url: Column) -> Column:
     """Path without query, fragment and trailing `;params`. Lenient, unlike parse_url."""
     path = F.regexp_extract(url, r"^(?:[^:/?#]+:)?(?://[^/?#]*)?([^?#]*)", 1)
-    return F.regexp_replace(path, r";[^/]*$", "")
+    # Only the last segment's parameters go; no pattern, so that many semicolons cost no more than few.
+    last = F.substring_index(path, "/", -1)
+    return F.concat(F.left(path, F.length(path) - F.length(last)), F.substring_index(last, ";", 1))
 
 
 def url_origin(url: Column) -> Column:
@@ -53,11 +63,12 @@ def normalize_url(url: Column) -> Column:
 
 
 def http_url(url: Column) -> Column:
-    """Canonical text of a task URL: lower-case scheme and host, and at least the path `/`."""
+    """Canonical text of a task URL: lower-case scheme and host, no default port, at least the path `/`."""
     head = url_origin(url)
     tail = F.substr(url, F.length(head) + 1)
     slash = F.when(tail.startswith("/"), F.lit("")).otherwise(F.lit("/"))
-    return F.concat(F.lower(head), slash, tail)
+    origin = F.regexp_replace(F.lower(head), DEFAULT_PORT, "$1$2")
+    return F.concat(origin, slash, tail)
 
 
 def is_post_url(url: Column, pattern: str = POST_URL) -> Column:
@@ -74,31 +85,31 @@ def quote(c: Column) -> Column:
 
 
 def stock_url(stock_id: Column, base_url: str = FORUM_BASE) -> Column:
-    return F.concat(F.lit(f"{_origin(base_url)}/S/"), stock_id)
+    return F.concat(F.lit(_origin(base_url) + STOCK_PATH), stock_id)
 
 
 def stock_timeline_url(stock_id: Column, base_url: str = FORUM_BASE, page: int = 1, count: int = 20) -> Column:
     return F.concat(
-        F.lit(f"{_origin(base_url)}/statuses/stock_timeline.json?symbol_id="),
+        F.lit(_origin(base_url) + TIMELINE_PATH),
         quote(stock_id),
-        F.lit(f"&count={count}&source=all&sort=time&page={page}"),
+        F.lit(TIMELINE_REST.format(count=count, page=page)),
     )
 
 
 def stock_search_url(stock_id: Column, base_url: str = FORUM_BASE, page: int = 1, count: int = 20) -> Column:
     return F.concat(
-        F.lit(f"{_origin(base_url)}/query/v1/symbol/search/status.json?count={count}&comment=0&symbol="),
+        F.lit(_origin(base_url) + SEARCH_PATH.format(count=count)),
         quote(stock_id),
-        F.lit(f"&hl=0&source=all&sort=time&page={page}&q=&type=90"),
+        F.lit(SEARCH_REST.format(page=page)),
     )
 
 
 def topic_url(topic_id: Column, base_url: str = FORUM_BASE) -> Column:
-    return F.concat(F.lit(f"{_origin(base_url)}/k?q="), quote(topic_id))
+    return F.concat(F.lit(_origin(base_url) + TOPIC_PATH), quote(topic_id))
 
 
 def user_url(user_id: Column, base_url: str = FORUM_BASE) -> Column:
-    return F.concat(F.lit(f"{_origin(base_url)}/u/"), user_id)
+    return F.concat(F.lit(_origin(base_url) + USER_PATH), user_id)
 
 
 def forum_comments_url(post_id: Column, template: str = COMMENTS_TEMPLATE, page_size: int = 20, page: int = 1) -> Column:
@@ -108,9 +119,9 @@ def forum_comments_url(post_id: Column, template: str = COMMENTS_TEMPLATE, page_
 
 def video_comments_url(aid: Column, api_base: str = VIDEO_API_BASE, mode: int = 3, page_size: int = 30) -> Column:
     return F.concat(
-        F.lit(f"{api_base.rstrip('/')}/x/v2/reply/main?oid="),
+        F.lit(api_base.rstrip("/") + VIDEO_COMMENTS_PATH),
         quote(aid),
-        F.lit(f"&type=1&mode={mode}&pn=1&ps={page_size}&next=0"),
+        F.lit(VIDEO_COMMENTS_REST.format(mode=mode, page_size=page_size)),
     )
 
 

@@ -10,27 +10,35 @@ from pyspark.sql import functions as F
 from tidewire.operators.upsert import first_by_key
 
 
-# Pages of one listing that are read at most.
-MAX_PAGES = 1000
+# Pages that are looked at together when a missing one is searched.
+_RUN = 1024
 
 
 def listing_ends(
-    pages: DataFrame, listing: Sequence[str], *, dead: Column, final: Column, page: str = "page_no", max_pages: int = MAX_PAGES
+    pages: DataFrame, listing: Sequence[str], *, dead: Column, final: Column, page: str = "page_no", max_pages: int | None = None
 ) -> DataFrame:
-    """How far a reader gets that asks for page 1, 2, ... of each listing.
+    """How far a reader gets that asks for page 1, 2, ... of each listing, up to `max_pages` of them.
 
     It stops before the first page that is missing or `dead`, and after the first one that is
     `final`. `last_page` is the last page it keeps, `read_to` the last one it asked for and got
-    an answer to. One aggregate with partial combine; a listing is at most `max_pages` numbers.
+    an answer to. Two aggregates with partial combine, the first over runs of pages, so that a
+    group holds at most a thousand page numbers, and then one number per run.
     """
     number = F.col(page)
-    facts = pages.where(number.between(1, max_pages)).groupBy(*listing).agg(
+    asked = number >= 1 if max_pages is None else number.between(1, max_pages)
+    run = F.floor((number - 1) / _RUN).cast("int")
+    runs = pages.where(asked).groupBy(*listing, run.alias("_run")).agg(
         F.min(F.when(dead, number)).alias("_dead"), F.min(F.when(final & ~dead, number)).alias("_final"),
-        F.collect_set(number).alias("_seen"),
+        F.collect_set(number.cast("int")).alias("_seen"),
     )
-    wanted = F.sequence(F.lit(1), F.size("_seen") + 1)
-    known = facts.withColumn("_whole", F.array_min(F.array_except(wanted, F.col("_seen").cast("array<int>"))) - 1)
+    start = F.col("_run") * _RUN
+    gap = F.array_min(F.array_except(F.sequence(start + 1, start + _RUN), F.col("_seen")))
+    facts = runs.withColumn("_gap", gap).groupBy(*listing).agg(
+        F.min("_dead").alias("_dead"), F.min("_final").alias("_final"), F.min("_gap").alias("_gap"), F.collect_set("_run").alias("_runs"),
+    )
+    absent = F.array_min(F.array_except(F.sequence(F.lit(0), F.size("_runs")), F.col("_runs"))) * _RUN + 1
     # `least` leaves out nulls.
+    known = facts.withColumn("_whole", F.least("_gap", absent) - 1)
     return known.select(
         *listing, F.least("_whole", F.col("_dead") - 1, "_final").alias("last_page"), F.least("_whole", "_dead", "_final").alias("read_to")
     )

@@ -30,6 +30,16 @@ def check_entity_id(entity_id: str) -> None:
         raise ValueError("invalid entity id")
 
 
+def valid_entity_id(c: Column) -> Column:
+    """The same test on a column; null is not valid."""
+    return F.coalesce(c.rlike(rf"\A(?:{ENTITY_ID.pattern.strip('^$')})\z"), F.lit(False))
+
+
+def valid_source(c: Column, allowed: Collection[str] = SOURCES) -> Column:
+    """Whether a source may be asked for; null asks for all."""
+    return c.isNull() | c.isin(*sorted(allowed))
+
+
 def check_page(limit: int, offset: int = 0) -> None:
     if not 1 <= limit <= MAX_LIMIT:
         raise ValueError(f"limit must be within 1..{MAX_LIMIT}")

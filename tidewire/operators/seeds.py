@@ -1,8 +1,8 @@
 """Seed generators, catalog checks, TTL, compilation and inventory.
 
 A compiled set is kept long, one row per (set, kind, value), because a single set may hold a
-third of all items. Snapshots store it as JSON documents of bounded size: the usual set is one
-document, a huge one is split into chunks by value hash.
+third of all items. Snapshots store it as JSON documents of bounded size, as many as the values
+need, dealt by value hash.
 """
 
 from __future__ import annotations
@@ -187,6 +187,18 @@ def seed_documents(
     )
 
 
+def emptied_chunks(snapshots: DataFrame, documents: DataFrame) -> DataFrame:
+    """Rows that empty the stored chunks which the new documents of their sets no longer have, so
+    that nothing of a larger snapshot stays behind."""
+    none = F.array().cast("array<string>")
+    empty = F.struct(
+        F.col("seed_set_name").alias("name"), F.lit(False).alias("discover_homepage"), *[none.alias(c) for c in SEED_KINDS.values()]
+    )
+    times = documents.groupBy("seed_set_name").agg(F.max("refreshed_at").alias("_at"))
+    left = snapshots.join(documents, ["seed_set_name", "chunk"], "left_anti").join(times, "seed_set_name")
+    return left.select("seed_set_name", "chunk", F.to_json(empty).alias("seed_json"), F.col("_at").alias("refreshed_at"))
+
+
 def current_snapshots(snapshots: DataFrame) -> DataFrame:
     """Documents of each set's newest refresh; chunks of older, larger snapshots drop out."""
     newest = snapshots.groupBy("seed_set_name").agg(F.max("refreshed_at").alias("refreshed_at"))

@@ -50,6 +50,12 @@ def owner_comments(comments: DataFrame, posts: DataFrame, source: str = "bilibil
     return comments.join(owners, _POST_KEY, "left").where(owner.isNull() | mine).drop("_owner")
 
 
+def pointed_at(rows: DataFrame, pending: DataFrame) -> DataFrame:
+    """The rows that pending comments point at, kept for the next round."""
+    anchors = pending.select(*_POST_KEY, F.col("anchor").alias("source_entity_id")).distinct()
+    return cut_lineage(rows.join(anchors, [*_POST_KEY, "source_entity_id"], "left_semi"))
+
+
 def comment_tree(comments: DataFrame, *, strict: bool = False, paths: bool = False) -> DataFrame:
     """Depth and root of every comment within its post.
 
@@ -60,8 +66,10 @@ def comment_tree(comments: DataFrame, *, strict: bool = False, paths: bool = Fal
     as the comment is deep.
 
     Ancestors are found by pointer doubling: a thread of depth d needs about log2(d) joins, and
-    resolved comments leave the working set. Runs one job per round; each round is
-    checkpointed. A round without progress leaves only cycles.
+    resolved comments leave the working set. What pending comments are joined with shrinks too: a
+    node that some comment points at after a round was already pointed at before it, so each round
+    looks up only among the rows the round before looked at. Rounds are checkpointed. A round
+    without progress leaves only cycles.
     """
     key = [*_POST_KEY, "source_entity_id"]
     place = F.struct(F.coalesce("published_at", "fetched_at").alias("at"), F.col("source_entity_id").alias("id"))
@@ -84,8 +92,9 @@ def comment_tree(comments: DataFrame, *, strict: bool = False, paths: bool = Fal
     total = max(state.count(), 2)
     pending = state.where(~F.col("done"))
     resolved = [state.where("done")]
+    lookup = pointed_at(state, pending)
     for _ in range(math.ceil(math.log2(total)) + 2):
-        ahead = state.select(
+        ahead = lookup.select(
             *_POST_KEY,
             F.col("source_entity_id").alias("anchor"),
             F.col("anchor").alias("_anchor"),
@@ -107,10 +116,7 @@ def comment_tree(comments: DataFrame, *, strict: bool = False, paths: bool = Fal
         pending = stepped.where(~F.col("done"))
         if pending.isEmpty():
             break
-        settled = resolved[0]
-        for part in resolved[1:]:
-            settled = settled.unionByName(part)
-        state = settled.unionByName(pending)
+        lookup = pointed_at(lookup.where("done").unionByName(stepped), pending)
     tree = resolved[0]
     for part in resolved[1:]:
         tree = tree.unionByName(part)

@@ -13,7 +13,7 @@ from datetime import datetime
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.operators import runs as R
@@ -33,6 +33,15 @@ _TASK = ["source", "kind", "url", "seed_name", "priority", "metadata", "seq"]
 _FACTS = [*_TASK, "status_code", "blocked", "error"]
 
 
+def _rows() -> Column:
+    return F.count(F.lit(1))
+
+
+def _page_counts() -> dict[str, Column]:
+    """Counters of a stage of fetched pages; a block counts as blocked and as error."""
+    return {"pages_fetched": _rows(), "blocked_responses": F.count_if(F.col("blocked")), "errors": F.count("error")}
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
@@ -78,20 +87,23 @@ def run_cycle(
     runs = LogTable.named(spark, root, "crawl_runs")
     cycle = _Cycle(spark, root, captured, batch_id, now, policy, adapters)
     try:
-        stats, status = cycle.run(seeds), "succeeded"
+        cycle.run(seeds)
     except Exception:
-        counted = [F.lit(1 if c == "errors" else 0).cast("bigint").alias(c) for c in RUN_COUNTERS]
-        _store_run(runs, spark.range(1).select(*counted), run_id, now, "failed", batch_id)
+        # What the stages written so far counted, and the failure itself.
+        cycle.counters["errors"] += 1
+        _store_run(runs, cycle.counters, run_id, now, "failed", batch_id)
+        drop_dir(spark, cycle.home)
         raise
-    _store_run(runs, stats, run_id, now, status, batch_id)
+    _store_run(runs, cycle.counters, run_id, now, "succeeded", batch_id)
     drop_dir(spark, cycle.home)  # all of it is in the stored tables now
     return R.run_rows(runs.read().where(F.col("run_id") == run_id))
 
 
-def _store_run(runs: LogTable, stats: DataFrame, run_id: str, now: datetime, status: str, batch_id: int) -> None:
-    row = stats.select(
+def _store_run(runs: LogTable, counters: Mapping[str, int], run_id: str, now: datetime, status: str, batch_id: int) -> None:
+    counted = [F.lit(counters[c]).cast("bigint").alias(c) for c in RUN_COUNTERS]
+    row = runs.spark.range(1).select(
         F.lit(run_id).alias("run_id"), F.lit(now).cast("timestamp").alias("started_at"),
-        F.current_timestamp().alias("finished_at"), F.lit(status).alias("status"), *RUN_COUNTERS,
+        F.current_timestamp().alias("finished_at"), F.lit(status).alias("status"), *counted,
         F.lit(0).alias("_order"),
     )
     known = runs.read(batch_id, writer=_WRITER)
@@ -109,16 +121,26 @@ class _Cycle:
         self.captured = conform(captured, RAW_PAGES)
         self.now = F.lit(now).cast("timestamp")
         self.home = run_dir(spark, "cycle")
+        self.counters = dict.fromkeys((*RUN_COUNTERS, "claimed"), 0)
         # Room for the appends a cycle makes to one table.
         self.first = batch_id * 10
         self.urls = LogTable.named(spark, root, "url_state")
         for name in _TABLES:  # what a failed attempt of this cycle left
             LogTable.named(spark, root, name).retract(_WRITER, self.first)
 
-    def stored(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a stage to the shared folder and continue from the files."""
+    def stored(self, df: DataFrame, name: str, **counted: Column) -> DataFrame:
+        """Write a stage to the shared folder and continue from the files. `counted` are aggregates
+        observed while it is written, which add to the counters of those names."""
         path = f"{self.home}/{name}"
-        df.write.parquet(path)
+        seen = Observation(name)
+        (df.observe(seen, *[c.alias(n) for n, c in counted.items()]) if counted else df).write.parquet(path)
+        if counted:
+            found = seen.get
+            for n in counted:
+                self.counters[n] += found.get(n) or 0
+            # Every task enqueued so far is either claimed or, once its pass has claimed, skipped.
+            if "claimed" in counted:
+                self.counters["skipped_tasks"] = self.counters["tasks_enqueued"] - self.counters["claimed"]
         return self.spark.read.parquet(path)
 
     def adapter_no(self) -> Column:
@@ -131,7 +153,7 @@ class _Cycle:
         stored part of it that was claimed."""
         before = self.urls.read(self.first + step, tasks, _WRITER)
         winners = claim_winners(tasks, before, now=self.now, policy=self.policy)
-        won = self.stored(winners, f"claims{step}")
+        won = self.stored(winners, f"claims{step}", claimed=_rows())
         self.urls.append(claimed_state(won, now=self.now), self.first + step, writer=_WRITER)
         pages = newest(self.captured, won, self.now)
         return won.select(*_TASK), self.stored(pages.select(*RAW_PAGES.names), f"pages{step}")
@@ -144,10 +166,12 @@ class _Cycle:
     def of(self, df: DataFrame, source: str) -> DataFrame:
         return df.where(F.col("source") == source)
 
-    def run(self, seeds: DataFrame) -> DataFrame:
+    def run(self, seeds: DataFrame) -> None:
+        self.counters["seeds_processed"] = seeds.agg(F.count_distinct("name")).first()[0]
         expanded = [a.expand(seeds) for a in self.adapters.values()]
         seeded = self.stored(
-            _union(expanded).withColumn("seq", _seq(0, self.adapter_no(), pos=F.col("pos"))).select(*_TASK), "seeded"
+            _union(expanded).withColumn("seq", _seq(0, self.adapter_no(), pos=F.col("pos"))).select(*_TASK), "seeded",
+            tasks_enqueued=_rows(),
         )
         first, pages = self.claim(seeded, 1)
 
@@ -161,10 +185,10 @@ class _Cycle:
         unseen = nothing.select(
             *_TASK, F.lit(0).alias("status_code"), F.lit(False).alias("blocked"), F.lit(None).cast("string").alias("error")
         )
-        visited = self.stored(_union([unseen, *outcomes]), "visited") if outcomes else unseen
-        discovered, second, more = nothing, nothing, pages.limit(0)
+        visited = self.stored(_union([unseen, *outcomes]), "visited", **_page_counts()) if outcomes else unseen
+        second, more = nothing, pages.limit(0)
         if links:
-            discovered = self.stored(_union(links), "discovered")
+            discovered = self.stored(_union(links), "discovered", tasks_enqueued=_rows())
             second, more = self.claim(discovered, 2)
 
         fetching, pages = first.where("kind = 'fetch_post'").unionByName(second), pages.unionByName(more)
@@ -175,8 +199,11 @@ class _Cycle:
         if not parsed:
             a = next(iter(self.adapters.values()))
             parsed = [a.parse(a.with_page(nothing, pages)).select(*_FACTS, "post", "author", "fetched_at")]
-        fetched = self.stored(_union(parsed), "fetched")
+        fetched = self.stored(
+            _union(parsed), "fetched", posts_written=F.count("post"), authors_written=F.count("author"), **_page_counts()
+        )
         self.store_entities(visited, fetched)
+        self.mark_fetched(visited.select("url", "status_code").unionByName(fetched.select("url", "status_code")), 4)
 
         posts = self.posts_of(fetched)
         items = LogTable.named(self.spark, self.root, "item_state")
@@ -195,8 +222,8 @@ class _Cycle:
                 F.col("seed_name").alias("seed"),
             ),
         )
-        refreshing = self.stored(numbered.select(*_TASK), "refreshing")
-        third, pages = self.claim(refreshing, 3)
+        refreshing = self.stored(numbered.select(*_TASK), "refreshing", tasks_enqueued=_rows())
+        third, pages = self.claim(refreshing, 5)
 
         threads = [
             a.comments(self.of(third, s), pages).select(
@@ -206,12 +233,10 @@ class _Cycle:
             )
             for s, a in (self.with_tasks(third) or self.adapters).items()
         ]
-        comments = self.stored(_union(threads), "comments")
+        comments = self.stored(_union(threads), "comments", comments_written=_rows())
         LogTable.named(self.spark, self.root, "comments").append(comments, self.first, ["_order"], _WRITER)
         self.mark_refreshed(items, comments)
-        self.mark_fetched(_union([visited.select("url", "status_code"), fetched.select("url", "status_code"),
-                                  third.select("url", F.lit(200).alias("status_code"))]))
-        return self.stats(seeds, [seeded, discovered, refreshing], [first, second, third], visited, fetched, comments)
+        self.mark_fetched(third.select("url", F.lit(200).alias("status_code")), 6)
 
     def posts_of(self, fetched: DataFrame) -> DataFrame:
         return fetched.where("post is not null").select("post.*", "seed_name", F.struct(*_later()).alias("_order"))
@@ -239,35 +264,8 @@ class _Cycle:
         marked = items.read(self.first + 2, done, _WRITER).withColumn("last_comment_refresh_at", self.now)
         items.append(marked, self.first + 2, writer=_WRITER)
 
-    def mark_fetched(self, statuses: DataFrame) -> None:
-        known = self.urls.read(self.first + 4, statuses, _WRITER)
+    def mark_fetched(self, statuses: DataFrame, step: int) -> None:
+        known = self.urls.read(self.first + step, statuses, _WRITER)
         rows = known.join(statuses.withColumnRenamed("status_code", "_status"), "url")
         marked = rows.withColumns({"last_fetched_at": self.now, "last_status": F.col("_status").cast("int")})
-        self.urls.append(marked.drop("_status"), self.first + 4, writer=_WRITER)
-
-    def stats(self, seeds, queued, claimed, visited, fetched, comments) -> DataFrame:
-        """The nine counters from one aggregate over task rows and one over comments."""
-        counts = [q.agg(F.count("*").alias("tasks_enqueued")) for q in queued]
-        won = [c.agg(F.count("*").alias("_claimed")) for c in claimed]
-        pages = visited.select("blocked", "error", F.lit(0).alias("_post"), F.lit(0).alias("_author")).unionByName(
-            fetched.select(
-                "blocked", "error", F.col("post").isNotNull().cast("int").alias("_post"),
-                F.col("author").isNotNull().cast("int").alias("_author"),
-            )
-        )
-        facts = [
-            seeds.agg(F.count_distinct("name").alias("seeds_processed")),
-            *counts,
-            *won,
-            pages.agg(
-                F.count("*").alias("pages_fetched"), F.sum("_post").alias("posts_written"),
-                F.sum("_author").alias("authors_written"), F.count_if("blocked").alias("blocked_responses"),
-                F.count("error").alias("errors"),
-            ),
-            comments.agg(F.count("*").alias("comments_written")),
-        ]
-        columns = [c for c in RUN_COUNTERS if c != "skipped_tasks"] + ["_claimed"]
-        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), facts)
-        total = rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in columns])
-        return total.withColumn("skipped_tasks", F.col("tasks_enqueued") - F.col("_claimed")).drop("_claimed")
-
+        self.urls.append(marked.drop("_status"), self.first + step, writer=_WRITER)

@@ -13,6 +13,7 @@ from tidewire.functions.html import extract_articles, page_links
 from tidewire.functions.staging import compute_once
 from tidewire.functions.text import is_blank, non_empty, strip_html
 from tidewire.functions.times import lenient_variant_time
+from tidewire.operators.listing import listing_ends
 from tidewire.sources.tasks import explode_values, metadata, task_rows
 
 SOURCE = "xueqiu"
@@ -148,7 +149,8 @@ def flatten_comments(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame
     """Comments of JSON payload rows (`text`, `post_entity_id`, `fetched_at`), with `pos`."""
     body, first = F.col("_body"), F.col("_comments")
     # Staged, so that a payload is parsed once: text, parsed value, list.
-    parsed = payloads.select(*keep, "post_entity_id", "fetched_at", J.parse(F.col("text")).alias("_body"))
+    whole = F.col("_body") if "_body" in payloads.columns else J.parse(F.col("text"))
+    parsed = payloads.select(*keep, "post_entity_id", "fetched_at", whole.alias("_body"))
     listed = parsed.withColumn("_comments", J.elements(body, "comments"))
     records = F.when(F.size(first) > 0, first).otherwise(J.elements(body, "list"))
     rows = listed.select(*keep, "post_entity_id", "fetched_at", F.posexplode(records).alias("pos", "_c"))
@@ -178,9 +180,8 @@ def flatten_comments(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame
     )
 
 
-def has_more(text: Column) -> Column:
-    """Whether a comment page announces another one."""
-    body = J.parse(text)
+def has_more(body: Column) -> Column:
+    """Whether a parsed comment page announces another one."""
     return J.first_usable(body, "next_max_id", "has_more").isNotNull()
 
 
@@ -197,24 +198,20 @@ def comment_tasks(posts: DataFrame, template: str = U.COMMENTS_TEMPLATE) -> Data
 
 
 def comments(tasks: DataFrame, captured: DataFrame) -> DataFrame:
-    """Comments of refresh tasks. A listing ends before its first failed, blocked or empty page,
-    and after the first page that announces no other."""
+    """Comments of refresh tasks. A listing is read page by page: it ends before its first missing,
+    failed, blocked or empty page, and after the first page that announces no other. `captured` has
+    one capture a page."""
     meta = F.col("metadata")
     pages = tasks.select("url", meta["post_id"].alias("post_entity_id")).join(
         captured.where("section = 'main'"), "url"
     )
     checked = classify(pages)
-    rows = flatten_comments(checked.where("error is null"), keep=("url", "page_no"))
+    good = F.col("error").isNull()
+    parsed = compute_once(checked, {"_body": J.parse(F.when(good, F.col("text")))})
+    rows = flatten_comments(parsed.where(good), keep=("url", "page_no"))
     counts = rows.groupBy("url", "page_no").agg(F.count("*").alias("_n"))
-    ends = (
-        checked.select("url", "page_no", (F.col("error").isNull() & has_more(F.col("text"))).alias("_more"))
-        .join(counts, ["url", "page_no"], "left")
-        .groupBy("url")
-        .agg(
-            F.min(F.when(F.col("_n").isNull(), F.col("page_no"))).alias("_before"),
-            F.min(F.when(~F.col("_more"), F.col("page_no"))).alias("_last"),
-        )
+    facts = parsed.select("url", "page_no", F.coalesce(has_more(F.col("_body")), F.lit(False)).alias("_more"))
+    ends = listing_ends(
+        facts.join(counts, ["url", "page_no"], "left"), ["url"], dead=F.col("_n").isNull(), final=~F.col("_more")
     )
-    page = F.col("page_no")
-    kept = (F.col("_before").isNull() | (page < F.col("_before"))) & (F.col("_last").isNull() | (page <= F.col("_last")))
-    return rows.join(ends, "url").where(kept).drop("_before", "_last")
+    return rows.join(ends, "url").where(F.col("page_no") <= F.col("last_page")).drop("last_page", "read_to")

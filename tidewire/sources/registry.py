@@ -54,7 +54,7 @@ def _manual(spark: SparkSession, definition: Mapping[str, Any], as_of) -> DataFr
 
 def _stock_universe(spark: SparkSession, definition: Mapping[str, Any], as_of) -> DataFrame:
     if definition.get("dataset_path"):
-        universe = datasets.read_stock_dataset(spark, definition["dataset_path"])
+        universe = datasets.read_stock_dataset(spark, definition["dataset_path"], bool(definition.get("lines")))
     elif definition.get("stocks"):
         rows = [{"tags": [], **r} for r in definition["stocks"]]
         universe = _records(spark, rows, STOCK_UNIVERSE)
@@ -71,7 +71,7 @@ def _ranking(spark: SparkSession, definition: Mapping[str, Any], as_of) -> DataF
     if definition.get("page_path"):
         entries = datasets.ranking_rows(spark.read.text(definition["page_path"], wholetext=True), html="value")
     elif definition.get("dataset_path"):
-        entries = datasets.read_ranking_dataset(spark, definition["dataset_path"])
+        entries = datasets.read_ranking_dataset(spark, definition["dataset_path"], bool(definition.get("lines")))
     elif definition.get("entries"):
         entries = _records(spark, definition["entries"], RANKING)
     else:

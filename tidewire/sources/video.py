@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from tidewire.functions import payloads as J
 from tidewire.functions import urls as U
 from tidewire.functions.staging import compute_once
-from tidewire.functions.text import is_blank, non_empty, optional_int, strip
+from tidewire.functions.text import is_blank, non_empty, strip
 from tidewire.functions.times import epoch_seconds
-from tidewire.operators.listing import MAX_PAGES, cap_per_owner, first_seen, listing_ends, page_novelty
+from tidewire.operators.listing import cap_per_owner, first_seen, listing_ends, page_novelty
 from tidewire.sources import forum
 from tidewire.sources.forum import transport_error
 from tidewire.sources.tasks import explode_values, metadata, task_rows
@@ -24,6 +24,8 @@ SOURCE = "bilibili"
 PRIORITY = {"space": 120, "discovered": 180, "video": 200, "comments": 300}
 BLOCK_STATUS = (403, 412, 429)
 BLOCK_CODE = -412
+# Pages of one listing that are asked for at most.
+MAX_PAGES = 1000
 BLOCK_TEXT = r"\b(403|412|429)\b"
 
 
@@ -95,9 +97,9 @@ def post_struct(data: Column, fetched_at: Column, web_base: str = U.VIDEO_WEB_BA
         F.lit(None).cast("string").alias("language"),
         epoch_seconds(J.field(data, "pubdate")).alias("published_at"),
         fetched_at.alias("fetched_at"),
-        optional_int(J.field(data, "stat.like")).alias("like_count"),
-        optional_int(J.field(data, "stat.reply")).alias("comment_count"),
-        optional_int(J.field(data, "stat.share")).alias("repost_count"),
+        J.whole(J.field(data, "stat.like", "variant")).alias("like_count"),
+        J.whole(J.field(data, "stat.reply", "variant")).alias("comment_count"),
+        J.whole(J.field(data, "stat.share", "variant")).alias("repost_count"),
         F.array().cast("array<string>").alias("raw_topic_ids"),
     )
 
@@ -180,8 +182,8 @@ def listing_rows(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         rows.where(J.is_object(v) & mine),
         {
             "_bvid": J.field(v, "bvid", "variant"),
-            "_aid": optional_int(J.field(v, "aid")),
-            "_published": optional_int(J.first_text(v, "created", "pubdate")),
+            "_aid": J.whole(J.field(v, "aid", "variant")),
+            "_published": J.whole(J.first_usable(v, "created", "pubdate")),
         },
     )
     # Only a JSON string counts as a video id.
@@ -218,7 +220,7 @@ def space_ends(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
     fresh = page_novelty(listing_rows(listed, keep=("url",)), ["url"], "bvid", "page_no")
     facts = own.select(
         "url", "page_no", F.col("call_message").isNotNull().alias("_failed"),
-        optional_int(J.field(F.col("_body"), "data.page.count")).alias("_total"),
+        J.whole(J.field(F.col("_body"), "data.page.count", "variant")).alias("_total"),
     ).join(fresh.select("url", "page_no", "new_ids"), ["url", "page_no"], "left")
     # A listing has at most max_pages rows here.
     so_far = F.sum(F.coalesce("new_ids", F.lit(0))).over(Window.partitionBy("url").orderBy("page_no"))
@@ -312,7 +314,7 @@ def flatten_replies(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         strip(message).alias("content_text"),
         epoch_seconds(J.field(r, "ctime")).alias("published_at"),
         "fetched_at",
-        optional_int(J.field(r, "like")).alias("like_count"),
+        J.whole(J.field(r, "like", "variant")).alias("like_count"),
         "pos",
     )
 
@@ -339,7 +341,7 @@ def root_comment_ends(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame
     """
     body = F.col("_body")
     cursor_end = F.coalesce(J.field(body, "data.cursor.is_end", "boolean"), F.lit(True))
-    cursor_next = F.coalesce(J.field(body, "data.cursor.next", "bigint"), F.lit(0))
+    cursor_next = F.coalesce(J.whole(J.field(body, "data.cursor.next", "variant")), F.lit(0))
     # Whether a page repeats is judged on all its ids, before any comment is dropped.
     ids = pages.where("call_message IS NULL").select("url", "page_no", F.explode(J.elements(body, "data.replies")).alias("_r"))
     fresh = page_novelty(ids.select("url", "page_no", J.field(F.col("_r"), "rpid").alias("rpid")), ["url"], "rpid", "page_no")
@@ -376,7 +378,7 @@ def comments(tasks: DataFrame, captured: DataFrame, max_pages: int = MAX_PAGES)
     read = root.join(root_comment_ends(root, max_pages), "url").where(within).drop("last_page", "read_to")
     r = F.col("_r")
     asked = read.select("url", F.explode(J.elements(F.col("_body"), "data.replies")).alias("_r")).select(
-        "url", J.field(r, "rpid").alias("root_id"), J.field(r, "rcount", "bigint").alias("_n")
+        "url", J.field(r, "rpid").alias("root_id"), J.whole(J.field(r, "rcount", "variant")).alias("_n")
     ).where("root_id IS NOT NULL AND _n > 0").select("url", "root_id").distinct()
     ends = reply_ends(answers, max_pages).join(asked, ["url", "root_id"], "left_semi")
     below = answers.join(ends, ["url", "root_id"]).where(within).drop("last_page", "read_to")

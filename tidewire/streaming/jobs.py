@@ -9,18 +9,25 @@ shuffled by key, which a keyed stateful operator could not do for a hot key.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import sys
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidewire.operators.frontier import FreshnessPolicy, claim_winners, claimed_state
+from tidewire.operators.upsert import last_by_key
 from tidewire.sources import forum
 from tidewire.sources.tables import LogTable
 
 POLL_SECONDS = 300
 
+# Shipped by value, so workers need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def writer_of(rows: DataFrame) -> str:
     """The id of the streaming query a micro-batch belongs to."""
@@ -44,10 +51,40 @@ def upsert_stream(
     stream: DataFrame, table: LogTable, order: Sequence[str], checkpoint: str, poll_seconds: int | None = None
 ) -> StreamingQuery:
     """Latest-wins upsert. Arrival order decides: the batch, then `order` within it. Late data
-    therefore wins; with an event time first in `order` it does so only between batches."""
+    therefore wins; see upsert_by_event_time for the other rule."""
     return each_batch(stream, lambda rows, batch: table.append(rows, batch, order, writer_of(rows)), checkpoint, poll_seconds)
 
 
+def upsert_by_event_time(
+    stream: DataFrame, table: LogTable, time: str, order: Sequence[str], checkpoint: str, *,
+    delay: str | None = None, poll_seconds: int | None = None,
+) -> StreamingQuery:
+    """Newest-event-wins upsert: a row replaces the stored one only if its `time` is not older.
+
+    `time` is a column of the table, so the stored row tells across batches and restarts when it
+    happened; equal times go to the later arrival, rows without a time are the oldest. Each
+    batch is reduced to its newest row per key before it meets the table, of which only those keys
+    are read. With a `delay`, rows that far behind the newest event are dropped: the watermark of a
+    stream that also drops repeats of one key and time.
+    """
+    keys = list(table.keys)
+    if delay is not None:
+        stream = without_repeats(stream, time, [*keys, time], delay)
+
+    def work(rows: DataFrame, batch: int) -> None:
+        writer = writer_of(rows)
+        # Used twice, and the batch may come out of a stateful operator.
+        newest = last_by_key(rows, keys, [time, *order]).persist()
+        known = table.read(batch, newest, writer).select(*keys, F.struct(F.col(time).alias("at")).alias("_stored"))
+        current = newest.join(known, keys, "left")
+        older = F.coalesce(F.col(time) < F.col("_stored.at"), F.col(time).isNull() & F.col("_stored.at").isNotNull())
+        spare = [c for c in order if c not in table.schema.names]
+        table.append(current.where(F.col("_stored").isNull() | ~older).drop("_stored", *spare), batch, writer=writer)
+        newest.unpersist()
+
+    return each_batch(stream, work, checkpoint, poll_seconds)
+
+
 def ingest_articles(
     pages: DataFrame, root: str, checkpoint: str, poll_seconds: int | None = None
 ) -> StreamingQuery:
@@ -92,12 +129,13 @@ def claim_stream(
     policy: FreshnessPolicy = FreshnessPolicy(),
     poll_seconds: int | None = None,
 ) -> StreamingQuery:
-    """Per-URL freshness claims: winners of each micro-batch go to `claims_path`."""
+    """Per-URL freshness claims: winners of each micro-batch go to a folder of the stream's own under
+    `claims_path`."""
 
     def work(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
         at, writer = now(), writer_of(rows)
-        folder = f"{claims_path}/batch={batch:012d}"
+        folder = f"{claims_path}/writer={writer}/batch={batch:012d}"
         claim_winners(rows, state.read(batch, rows, writer), now=at, policy=policy).withColumn(
             "claimed_at", at
         ).write.mode("overwrite").parquet(folder)
@@ -126,9 +164,29 @@ def seed_item_stream(
     return each_batch(items, work, checkpoint, poll_seconds)
 
 
+def _ends_by_key(keys: Sequence[str], time: str):
+    """Of each Arrow batch the earliest and the latest row per key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pa.Table.from_batches([batch]).sort_by(time)
+            numbered = rows.select(list(dict.fromkeys(keys))).append_column("_row", pa.array(range(rows.num_rows), pa.int64()))
+            ends = numbered.group_by(list(dict.fromkeys(keys)), use_threads=False).aggregate([("_row", "min"), ("_row", "max")])
+            kept = sorted({*ends["_row_min"].to_pylist(), *ends["_row_max"].to_pylist()})
+            yield from rows.take(pa.array(kept, pa.int64())).to_batches()
+
+    return run
+
+
 def without_repeats(stream: DataFrame, time: str, keys: Sequence[str], delay: str) -> DataFrame:
-    """First row per key within the delay; later repeats are dropped."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
+    """One row per key within the delay; repeats are dropped, and rows behind the watermark.
+
+    All rows of a key meet in one state task, so repeats are dropped before the shuffle as well,
+    batch by batch in each task: of a key that fills a third of the stream, two rows of some ten
+    thousand get there, the latest because the earliest may be behind the watermark.
+    """
+    reduced = stream.mapInArrow(_ends_by_key(keys, time), stream.schema)
+    return reduced.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def rolling_activity(

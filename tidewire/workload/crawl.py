@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timezone
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -295,14 +297,34 @@ def _cycle_input(t: Tables) -> tuple[DataFrame, DataFrame]:
     return seeds, captured
 
 
-def _cycle_result(t: Tables, root: str, seeds: DataFrame, captured: DataFrame) -> DataFrame:
-    """All tables after one cycle, as (kind, id, note), and the run's counters."""
+class _NoComments:
+    """The forum adapter, but its comment pages cannot be read."""
+
+    def __getattr__(self, name: str):
+        return getattr(forum, name)
+
+    def comments(self, tasks: DataFrame, captured: DataFrame) -> DataFrame:
+        raise _Unreadable("comment pages")
+
+
+class _Unreadable(RuntimeError):
+    pass
+
+
+def _cycle_result(t: Tables, root: str, seeds: DataFrame, captured: DataFrame, attempts: Sequence[Any] = (forum,)) -> DataFrame:
+    """All tables after the attempts at one cycle, each with its forum adapter, as (kind, id, note), and the run's counters."""
     # Captured pages are a stored table in practice; here they are derived, so they are stored first.
     captured.write.parquet(f"{root}/captured")
     stored = t.spark.read.parquet(f"{root}/captured")
-    run = run_cycle(
-        t.spark, root, seeds, stored, run_id="run", batch_id=1, now=datetime(2024, 6, 1, tzinfo=timezone.utc)
-    )
+    for adapter in attempts:
+        try:
+            run_cycle(
+                t.spark, root, seeds, stored, run_id="run", batch_id=1, now=datetime(2024, 6, 1, tzinfo=timezone.utc),
+                adapters={forum.SOURCE: adapter, video.SOURCE: video},
+            )
+        except _Unreadable:
+            pass
+    run = runs.run_rows(LogTable.named(t.spark, root, "crawl_runs").read())
 
     def table(name: str, kind: str, column: str, *note) -> DataFrame:
         rows = LogTable.named(t.spark, root, name).read()
@@ -338,3 +360,27 @@ def crawl_cycle_recaptured(t: Tables) -> DataFrame:
     again = captured.where(F.pmod(F.xxhash64("url"), F.lit(5)) == 0)
     captures = before.unionByName(after).unionByName(again).unionByName(captured)
     return _cycle_result(t, run_dir(t.spark, "crawl-cycle"), seeds, captures)
+
+
+@query("item_state_cycle", _CYCLE_SQL)
+def item_state_cycle(t: Tables) -> DataFrame:
+    """A cycle that fails once its posts are stored, and its repetition under the same batch id."""
+    return _cycle_result(t, run_dir(t.spark, "crawl-cycle"), *_cycle_input(t), attempts=(_NoComments(), forum))
+
+
+@query(
+    "crawl_cycle_failed",
+    f"""
+WITH p AS (SELECT page_id, page_id % 6 AS shape, {_SHAPES} AS good, {_TASK_URL} AS url, {_THREAD_URL} AS thread FROM pages),
+facts AS (SELECT (SELECT count(*) FROM p) AS pages, (SELECT count(*) FROM p WHERE good) AS posts, (SELECT count(*) FROM p WHERE shape IN (0, 1)) AS authors)
+SELECT 'post' AS kind, CAST(page_id + 1000000 AS VARCHAR) AS id, 'author ' || CASE WHEN shape IN (0, 1) AND page_id > 0 THEN CAST(page_id AS VARCHAR) ELSE 'none' END AS note FROM p WHERE good
+UNION ALL SELECT 'author', CASE WHEN page_id > 0 THEN CAST(page_id AS VARCHAR) ELSE 'unknown' END, 'n' || page_id FROM p WHERE shape IN (0, 1)
+UNION ALL SELECT 'error', url, 'Could not parse post payload from ' || url FROM p WHERE NOT good
+UNION ALL SELECT 'url', url, 'fetch_post s-' || url || ' 200' FROM p
+UNION ALL SELECT 'url', thread, 'refresh_comments s-' || url FROM p WHERE good
+UNION ALL SELECT 'item', CAST(page_id + 1000000 AS VARCHAR), 'not refreshed' FROM p WHERE good
+UNION ALL SELECT 'run', 'failed', concat_ws(' ', pages, pages + posts, pages, posts, 0, authors, 0, pages - posts + 1, 0) FROM facts""",
+)
+def crawl_cycle_failed(t: Tables) -> DataFrame:
+    """A cycle that fails at its comments: what was done before is stored and counted, with one error more."""
+    return _cycle_result(t, run_dir(t.spark, "crawl-cycle"), *_cycle_input(t), attempts=(_NoComments(),))
