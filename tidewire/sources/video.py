@@ -241,7 +241,6 @@ def discover(
     mid = F.coalesce(F.col("metadata")["mid"], U.parse_space_mid(F.col("url")))
     space = tasks.withColumn("mid", mid)
     pages = with_call(space.select("url", "mid").join(captured, "url"))
-    failed = F.col("call_message").isNotNull()
     own = F.col("section") != "search"
     ends = space_ends(pages, max_pages)
     # The last page that was read; the struct's page number is what is compared.
@@ -265,7 +264,9 @@ def discover(
         .alias("error"),
     )
     kept = pages.where(own).join(ends, "url").where(F.col("page_no") <= F.col("last_page")).select(*pages.columns)
-    good = kept.unionByName(pages.where(~own & ~failed))
+    # Hits are a bare list, which is no call that could fail with a code.
+    answered = non_empty(F.col("error_message")).isNull() & F.coalesce(F.col("status_code") < 400, F.lit(True))
+    good = kept.unionByName(pages.where(~own & answered))
     videos = space_videos(listing_rows(good), max_per_section)
     listed = videos.join(space.select("mid", F.struct(*tasks.columns).alias("parent")), "mid")
     # Position in the merged list, as a sortable number.
