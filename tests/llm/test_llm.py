@@ -128,8 +128,10 @@ def test_near_copies_by_jaccard_brute_force(spark, monkeypatch):
     assert sum(5 * len(sets[i] & sets[j]) < 4.5 * len(sets[i] | sets[j]) for i, j in pairs) > 50
     alike.join(*np.array(pairs).T)
     rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
-    for node_rows in (1024, 4):
+    for node_rows, node_bytes, unit_bytes in ((1024, 16 << 20, 16 << 20), (1024, 16 << 20, 0), (4, 16 << 20, 4096), (1024, 8192, 0)):
         monkeypatch.setattr(jaccard, "NODE_ROWS", node_rows)
+        monkeypatch.setattr(jaccard, "NODE_BYTES", node_bytes)
+        monkeypatch.setattr(jaccard, "UNIT_BYTES", unit_bytes)
         kept = sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, rows, SF).collect())
         assert kept == sorted(set(alike.label.tolist()))
 

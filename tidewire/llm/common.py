@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewire.session import configure, cut_lineage, run_dir
 
-__all__ = ["FOLDS", "cut_lineage", "fold", "named", "prepare", "stored", "self_contained", "table", "word_count", "ROWS_PER_BATCH", "sampled"]
+__all__ = ["FOLDS", "cut_lineage", "fold", "named", "prepare", "quoted", "stored", "self_contained", "table", "word_count", "ROWS_PER_BATCH", "sampled"]
 
 # ASCII white space as the text contracts name it: space and U+0009 to U+000D.
 WHITE = r"\x20\x09-\x0D"
@@ -37,6 +37,11 @@ def named(rows: DataFrame, *names: str) -> DataFrame:
     return plain.select(*[F.col(f"_{at[n]}").alias(n) for n in names])
 
 
+def quoted(name: str) -> str:
+    """A column's name as an expression that means just it."""
+    return f"`{name.replace('`', '``')}`"
+
+
 def stored(rows: DataFrame, label: str) -> DataFrame:
     """The rows, written to the shared folder and read again; unlike after a checkpoint, plans know their size.
 

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import cut_lineage, word_count
+from tidewire.llm.common import cut_lineage, quoted, word_count
 
 WEIGHTS = (1, 2, 3)
 REPEATS = 3
@@ -226,6 +226,6 @@ def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, repeats: int = REPE
     """
     sized = cut_lineage(docs.select(F.col("doc_id").alias("key"), "source", word_count(F.col("text")).alias("size")))
     plan = decisions(sized, weights, repeats)
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_mix_row"), F.col("doc_id").alias("_mix_key"), F.col("source").alias("_mix_from"), word_count(F.col("text")).alias("_mix_size"))
+    packed = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_mix_row"), F.col("doc_id").alias("_mix_key"), F.col("source").alias("_mix_from"), word_count(F.col("text")).alias("_mix_size"))
     rows = apply(packed, plan, "_mix_key", "_mix_from", "_mix_size", repeats).where("copies > 0")
     return rows.select("_mix_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_mix_row.*")

@@ -8,9 +8,10 @@ semiring, found position by position.
 
 A unigram model needs no more. In a BPE model, merges decide, not sums of scores; there the lattice
 is composed with one more machine, over pairs of neighbouring pieces: a pair is let through if
-merging the two strings together gives just that pair. A path all of whose pairs pass is the merge
-result, and only one does, so the shortest path is the encoding of the library, exactly.
-Its arcs are computed when first needed and remembered.
+merging the two strings together gives just that pair, so states are a position and the last
+piece. A path all of whose pairs pass is the merge result, and only one does, so the shortest
+path is the encoding of the library, exactly. Arcs are computed when first needed and remembered;
+one relaxation over states serves both kinds of model.
 
 No piece spans the start of a word or a character without longer pieces (checked when compiled), so
 a text is cut there and each unit's path is remembered: repeated words cost a look-up.
@@ -19,7 +20,8 @@ Supported models: identity normaliser, as in the model of the box; others are re
 Decoding joins pieces and bytes and takes the leading blank away; it gives the text back exactly,
 but for U+2581 in a text, which the format itself reads as a blank.
 
-Nulls: a null text is the empty one; it has no pieces. Repeated rows are encoded each. An empty table
+Nulls: a null text is the empty one; it has no pieces. Repeated rows are encoded each, texts of any
+length whole. Ties between paths go to the one found first, shorter arcs first. An empty table
 gives an empty result. Other columns are kept by `encoded`, but for its own `ids` and `n_pieces`.
 """
 
@@ -35,13 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import self_contained
+from tidewire.llm.common import named, self_contained
 
 BLANK = "▁"
 # Units remembered by a worker, in each of two halves; pairs likewise.
 CACHE = 300_000
 # Weight of leaving by bytes; above that of any piece, so it is a last resort.
-_BYTE_COST = 1e6
+_BYTE_COST, _FAR = 1e6, float("inf")
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 self_contained(__name__)
@@ -125,94 +127,109 @@ class Transducer:
             state = self.trie
             for ch in piece:
                 state = state.setdefault(ch, {})
-            state[""] = (number,)
+            state[""] = ((number,), -self.scores[number])
         joined = "".join(sorted({ch for p in normal if len(p) > 1 for ch in p} - {BLANK}))
         self.units = re.compile(f"{BLANK}*[{re.escape(joined)}]+|{BLANK}+|[^{BLANK}]", re.S)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
-
-    def merged(self, text: str) -> list[str]:
-        """The pieces that merging leaves of a short string: best score first, leftmost on ties."""
-        parts = list(text)
-        while len(parts) > 1:
-            best = max(((self.scores[n], -i) for i in range(len(parts) - 1) if (n := self.ids.get(parts[i] + parts[i + 1])) is not None), default=None)
-            if best is None:
-                break
-            i = -best[1]
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-        return parts
+        # How merging makes each piece: its last two parts, and whether it does at all.
+        self.halves: dict[int, tuple[int, int]] = {}
+        self.made: dict[int, bool] = {}
+
+    def split(self, piece: int) -> tuple[int, int]:
+        """The two pieces whose merging makes a piece last; (piece, piece) for one that merging cannot
+        take apart: a single character, or a piece that merging its characters does not give."""
+        found = self.halves.get(piece)
+        if found is None:
+            parts, found = list(self.text[piece]), (piece, piece)
+            while len(parts) > 1:
+                best = max(((self.scores[n], -i) for i in range(len(parts) - 1) if (n := self.ids.get(parts[i] + parts[i + 1])) is not None), default=None)
+                if best is None:
+                    break
+                i = -best[1]
+                if len(parts) == 2:
+                    found = (self.ids.get(parts[0], -2), self.ids.get(parts[1], -2))
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            self.halves[piece] = found
+            self.made[piece] = len(parts) == 1
+        return found
 
     def passes(self, left: int, right: int) -> bool:
         """Whether the neighbour machine has an arc from one piece to the next; left -1 is the start.
 
-        A piece may start a path if merging its own characters gives that piece; bytes always may.
+        A piece may stand on a path if merging its characters makes it; bytes always may. Two pieces
+        may stand side by side if, while both were made, no merge across their border came first:
+        merges are undone from the last one back, and a pair that meets at the border must not have a
+        piece of its own that is better than (left of it: at least as good as) the merge undone.
         """
         if len(self.pairs) > CACHE:
             self.pairs.clear()
+        key = left << 32 | right
         a, b = self.text[left] if left >= 0 else "", self.text[right]
-        found = self.pairs[left << 32 | right] = not b or (left >= 0 and not a) or self.merged(a + b) == ([a, b] if a else [b])
+        if not b or (left >= 0 and not a):
+            found = True
+        else:
+            self.split(right)
+            found = self.made[right] and (not a or self.apart(left, right))
+        self.pairs[key] = found
         return found
 
+    def apart(self, a: int, b: int) -> bool:
+        scores, text, ids = self.scores, self.text, self.ids
+        # What a merge across the border must beat: (score, whether a tie is enough).
+        bar, tie = float("-inf"), False
+        while True:
+            across = ids.get(text[a] + text[b])
+            if across is not None and (scores[across] > bar or (tie and scores[across] == bar)):
+                return False
+            (_, a_right), (b_left, _) = self.split(a), self.split(b)
+            whole_a, whole_b = a_right == a, b_left == b
+            if whole_a and whole_b:
+                return True
+            # The later merge is the one of the lower score; on equal scores the right one.
+            if not whole_a and (whole_b or scores[a] < scores[b]):
+                bar, tie, a = scores[a], False, a_right
+            else:
+                bar, tie, b = scores[b], True, b_left
+            if a < 0 or b < 0:
+                return True
+
     def fallback(self, ch: str) -> tuple[int, ...]:
         return tuple(self.bytes.get(b, self.unknown) for b in ch.encode("utf-8", "replace"))
 
-    def arcs(self, unit: str, at: int) -> list[tuple[int, tuple[int, ...]]]:
-        """(end, ids put out) of the lexicon's arcs from a position, shortest first."""
-        found, state, end, n = [], self.trie, at, len(unit)
-        while end < n and (state := state.get(unit[end])) is not None:
-            end += 1
-            if "" in state:
-                found.append((end, state[""]))
-        if unit[at] not in self.ids:
-            found.insert(0, (at + 1, self.fallback(unit[at])))
-        return found
-
     def shortest(self, unit: str) -> list[int]:
-        """Piece ids on the shortest path through the lattice of a unit."""
-        return self.accepted(unit) if self.bpe else self.cheapest(unit)
-
-    def cheapest(self, unit: str) -> list[int]:
-        """The tropical shortest path over positions, from left to right."""
-        best: list[tuple | None] = [(0.0, 0, ())] + [None] * len(unit)
-        for at in range(len(unit)):
-            for end, ids in self.arcs(unit, at):
-                weight = -self.scores[ids[0]] if self.text[ids[0]] else _BYTE_COST
-                if best[end] is None or best[at][0] + weight < best[end][0]:
-                    best[end] = (best[at][0] + weight, at, ids)
-        path, end = [], len(unit)
-        while end:
-            _, end, ids = best[end]
-            path.append(ids)
-        return [i for ids in reversed(path) for i in ids]
-
-    def accepted(self, unit: str) -> list[int]:
-        """The only path that the neighbour machine accepts, whatever the weights.
+        """Piece ids on the tropical shortest path through the composed machines, for one unit.
 
-        Searched depth first, longest arcs first; a state (position, last piece) found dead is not
-        entered again, so the work is bounded by the states of the composition.
+        Positions are settled from left to right. With the neighbour machine a state is a position
+        and the last piece; as the only accepted path to a position is the merge result of the text up
+        to there, each position has one such state at most, and arcs to a position that has its
+        state need no test. Of equal paths the first found stays.
         """
-        n, pairs = len(unit), self.pairs
-        path: list[tuple[int, ...]] = []
-        ends, open_, dead, last = [0], [self.arcs(unit, 0)], set(), -1
-        while ends[-1] < n:
-            arcs = open_[-1]
-            while arcs:
-                end, ids = arcs.pop()
-                let = pairs.get(last << 32 | ids[0])
-                if (self.passes(last, ids[0]) if let is None else let) and (end, ids[-1]) not in dead:
-                    path.append(ids)
-                    ends.append(end)
-                    last = ids[-1]
-                    if end < n:
-                        open_.append(self.arcs(unit, end))
-                    break
-            else:
-                dead.add((ends.pop(), last))
-                open_.pop()
-                path.pop()
-                last = path[-1][-1] if path else -1
-        return [i for ids in path for i in ids]
+        n, bpe, pairs, trie = len(unit), self.bpe, self.pairs, self.trie
+        weight, last, back = [0.0] + [_FAR] * n, [-1] * (n + 1), [None] * (n + 1)
+        for at in range(n):
+            base = weight[at]
+            if base == _FAR:
+                continue
+            before, state, end = last[at], trie, at
+            arcs = [] if unit[at] in self.ids else [(at + 1, self.fallback(unit[at]), _BYTE_COST)]
+            while end < n and (state := state.get(unit[end])) is not None:
+                end += 1
+                if "" in state and not (bpe and back[end]):
+                    arcs.append((end, *state[""]))
+            for end, ids, cost in arcs:
+                if bpe:
+                    let = pairs.get(before << 32 | ids[0])
+                    if not (self.passes(before, ids[0]) if let is None else let):
+                        continue
+                if base + cost < weight[end]:
+                    weight[end], last[end], back[end] = base + cost, ids[-1], (at, ids)
+        path, at = [], n
+        while at:
+            at, ids = back[at]
+            path.append(ids)
+        return [i for ids in reversed(path) for i in ids]
 
     def ids_of(self, unit: str) -> bytes:
         """A unit's ids, from the older half of the memory or the shortest path."""
@@ -246,22 +263,25 @@ class Transducer:
 
 
 def encoded(docs: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
-    """The columns of `docs`, with `ids` (array of int) and `n_pieces`, which replace any of that name."""
-    keep = [c for c in docs.columns if c not in ("ids", "n_pieces")]
+    """The columns of `docs`, with `ids` (array of int) and `n_pieces`, which replace any of that name
+    in whatever case. Columns go to Python and back by position, so their names do not matter."""
     shared = docs.sparkSession.sparkContext.broadcast(load(model))
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    text = docs.columns.index("text")
+    rows = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = machine_of(shared.value)
         for batch in batches:
-            found = [np.frombuffer(machine.encode(t or ""), dtype="<i4") for t in batch.column(len(keep)).to_pylist()]
+            found = [np.frombuffer(machine.encode(t or ""), dtype="<i4") for t in batch.column(text).to_pylist()]
             sizes = np.array([len(f) for f in found], dtype=np.int64)
             offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*found, np.zeros(0, "<i4")])))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids, pa.array(sizes)], names=[*keep, "ids", "n_pieces"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array(sizes)], names=[*batch.schema.names, "ids", "n_pieces"])
 
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text"))
-    return rows.mapInArrow(run, f"{fields}{', ' if fields else ''}ids array<int>, n_pieces long")
+    out = rows.mapInArrow(run, f"{fields}, ids array<int>, n_pieces long")
+    kept = [(i, name) for i, name in enumerate(docs.columns) if name.lower() not in ("ids", "n_pieces")]
+    return out.select(*[F.col(f"_{i}").alias(name) for i, name in kept], "ids", "n_pieces")
 
 
 def digests(docs: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
@@ -284,4 +304,4 @@ def digests(docs: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
             types = (pa.int64(), pa.string(), pa.string(), pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(columns, types)]], names=["doc_id", "n_pieces", "ids_sha256", "text_sha256", "round_trip"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_pieces long, ids_sha256 string, text_sha256 string, round_trip boolean")
+    return named(docs, "doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_pieces long, ids_sha256 string, text_sha256 string, round_trip boolean")

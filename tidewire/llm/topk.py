@@ -8,7 +8,7 @@ A block reports only bins it needs: below its own kth score no bin can hold the
 pass emits at most k bins a query and block, and the last pass at most k rows.
 
 Rows whose vector is null, or holds null, NaN or infinity, take no part; neither do rows without
-id. Shorter vectors count as padded with zeros. Repeated ids: as a query an id is asked once, with
+id, nor vectors whose scaled length is 2**31 or more, as their scores need not fit 64 bits. Shorter vectors count as padded with zeros. Repeated ids: as a query an id is asked once, with
 its smallest vector; as candidates all its rows count, except for the query's own id. Components
 are floor(64 x); queries are the ids divisible by 20. An empty table gives an empty result.
 """
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import cut_lineage, self_contained
+from tidewire.llm.common import cut_lineage, named, self_contained
 
 K = 20
 QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 4096
@@ -31,8 +31,10 @@ self_contained(__name__)
 
 def quantised(embeddings: DataFrame, scale: int = 64) -> DataFrame:
     """(vec_id, v): integer vectors of the rows that take part."""
-    usable = F.col("embedding").isNotNull() & F.col("vec_id").isNotNull() & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return embeddings.where(usable).select("vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * scale)).alias("v"))
+    rows = named(embeddings, "vec_id", "embedding").where("embedding IS NOT NULL AND vec_id IS NOT NULL")
+    whole = F.transform("embedding", lambda x: F.when(F.abs(x) < 2.0**32, F.floor(x.cast("double") * scale)))
+    rows = rows.select("vec_id", whole.alias("v")).where(F.forall("v", lambda x: x.isNotNull()))
+    return rows.where(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x) < 2.0**62)
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:

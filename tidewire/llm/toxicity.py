@@ -15,7 +15,8 @@ first by a hash of the id: a bounded sample, with a fixed number of steps.
 
 Nulls: a null or empty text has no window and gets the score of a window without evidence. Null
 labels do not train. With labels of fewer than two kinds every score is 0. Repeated rows are
-scored each. An empty table gives an empty result. Other columns play no part.
+scored each. An empty table gives an empty result. Other columns play no part, whatever their
+names; `accepted` hands them on. Texts of any length are scored whole.
 """
 
 from __future__ import annotations
@@ -24,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import fold, sampled, self_contained
+from tidewire.llm.common import fold, named, self_contained
 
 NGRAMS, BUCKETS, DIM = (3, 4, 5), 1 << 18, 6
 WINDOW = 24
@@ -202,42 +203,46 @@ def scorer_of(shared: dict) -> Scorer | None:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None:
-    """Trains on a bounded sample of the labelled rows outside fold 0."""
-    marked = labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    usable = (fold(F.col("doc_id")) != 0) & (F.char_length("text") <= MAX_CHARS)
-    both = docs.where(usable).select("doc_id").join(marked, "doc_id")
-    texts = docs.where(usable).select("doc_id", "text")
-    found = [r for c in (0, 1) for r in sampled(texts, both.where(F.col("toxic") == c), MAX_PER_CLASS).collect()]
+    """Trains on a bounded sample of the labelled rows outside fold 0: ids are chosen for both
+    classes at once, then their texts fetched."""
+    marked = named(labels, "doc_id", "toxic").where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    rows = named(docs, "doc_id", "text").where((fold(F.col("doc_id")) != 0) & (F.char_length("text") <= MAX_CHARS))
+
+    def first(table: DataFrame, *more: str) -> DataFrame:
+        nth = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id", *more))
+        return table.withColumn("n", nth).where(F.col("n") <= MAX_PER_CLASS)
+
+    chosen = first(rows.select("doc_id").join(marked, "doc_id").distinct()).drop("n")
+    # At most two classes of ids; repeated rows of them are cut again.
+    found = first(rows.join(F.broadcast(chosen), "doc_id"), "text").orderBy("toxic", "n").collect()
     return train([r.text for r in found], [r.toxic for r in found])
 
 
-def scored(docs: DataFrame, model: tuple[np.ndarray, float] | None, keep: list[str]) -> DataFrame:
-    """The columns `keep` of every row, and `score` from 0 to 1."""
+def scored(docs: DataFrame, model: tuple[np.ndarray, float] | None) -> DataFrame:
+    """Every row, its columns renamed _0, _1, ... by position, and `score` from 0 to 1."""
     shared = docs.sparkSession.sparkContext.broadcast({"model": model})
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    text = docs.columns.index("text")
+    rows = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = scorer_of(shared.value)
         for batch in batches:
-            *kept, text = batch.columns
-            scores = np.zeros(len(text)) if scorer is None else scorer.score(text.to_pylist())
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(scores)], names=[*keep, "score"])
+            texts = batch.column(text)
+            scores = np.zeros(len(texts)) if scorer is None else scorer.score(texts.to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, "score"])
 
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text"))
     return rows.mapInArrow(run, f"{fields}, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row."""
-    rows = scored(docs, fit(docs, labels), ["doc_id"])
+    docs = named(docs, "doc_id", "text")
+    rows = scored(docs, fit(docs, labels)).withColumnRenamed("_0", "doc_id")
     return rows.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows that are not predicted toxic, in the columns of `docs`."""
-    return scored(docs, fit(docs, labels), docs.columns).where("score < 0.5").drop("score") if "score" not in docs.columns else _accepted_beside_score(docs, labels)
-
-
-def _accepted_beside_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """As `accepted`, for tables that have a column named score themselves."""
-    return accepted(docs.withColumnRenamed("score", "_own_score"), labels).withColumnRenamed("_own_score", "score").select(*docs.columns)
+    rows = scored(docs, fit(docs, labels)).where("score < 0.5")
+    return rows.select(*[F.col(f"_{i}").alias(name) for i, name in enumerate(docs.columns)])

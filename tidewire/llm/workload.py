@@ -120,9 +120,10 @@ WITH v AS (
   SELECT vec_id, [floor(CAST(x AS DOUBLE) * 64) for x in embedding] AS v FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
-), s AS (
+), q AS (SELECT vec_id, min(v) AS v FROM v WHERE vec_id % 20 = 0 GROUP BY vec_id),
+s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+  FROM q JOIN v c ON q.vec_id <> c.vec_id
 ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
 """
