@@ -92,7 +92,7 @@ def _captured(spark):
                                  "owner": {"mid": 5, "name": "o"}, "stat": {"like": 1}}}
     own = {"data": {"list": {"vlist": [{"bvid": "BV0000000001", "aid": 11, "created": 9}]}}, "code": 0}
     def reply_page(rpid, final=False):
-        rows = [{"rpid": rpid, "member": {"mid": "5"}, "content": {"message": " mine "}, "ctime": 1},
+        rows = [{"rpid": rpid, "rcount": 1, "member": {"mid": "5"}, "content": {"message": " mine "}, "ctime": 1},
                 {"rpid": 2, "member": {"mid": "6"}, "content": {"message": "other"}, "ctime": 1}]
         return json.dumps({"code": 0, "data": {"replies": rows, "cursor": {"is_end": final, "next": 5}}})
 
@@ -113,10 +113,10 @@ def _captured(spark):
         (video_comments, 2, "main", 200, reply_page(3)),
         (video_comments, 3, "main", 200, reply_page(3)),  # nothing new: the listing ends before it
         (video_comments, 4, "main", 200, reply_page(4)),
-        (video_comments, 5, "reply", 200, json.dumps(answer)),
+        (video_comments, 1, "reply", 200, json.dumps(answer)),
     ]
     schema = "url string, page_no int, section string, status_code int, text string"
-    df = spark.createDataFrame(rows, schema)
+    df = spark.createDataFrame(rows, schema).withColumn("root_id", F.when(F.col("section") == "reply", "1"))
     return df.withColumn("fetched_at", F.lit(NOW).cast("timestamp"))
 
 

@@ -373,6 +373,8 @@ def comments(tasks: DataFrame, captured: DataFrame, max_pages: int = MAX_PAGES)
         "url", meta["post_id"].alias("post_entity_id"), meta["canonical_url"].alias("canonical_url"),
         meta["owner_mid"].alias("owner_mid"),
     ).join(captured.where("section in ('main', 'reply')"), "url")
+    if "root_id" not in pages.columns:
+        pages = pages.withColumn("root_id", F.lit(None).cast("string"))
     called = with_call(pages)
     root, answers = called.where("section = 'main'"), called.where("section = 'reply'")
     within = F.col("page_no") <= F.col("last_page")
