@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import WHITE, cut_lineage, quoted
+from tidewire.llm.common import WHITE, cut_lineage, one_of_each
 
 MIN_CHUNK, MAX_CHUNK = 256, 2048
 _CUT = "(?<=[aeghkpsyäéñ0-4.]) (?=[abfhlnostuzéA-M0-4])"
@@ -71,10 +71,5 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows that stay, in the columns of `docs`; of repeated rows one."""
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")).distinct()
-    marked = docs.select(
-        F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"),
-        F.sha2(normalised(F.col("text")).cast("binary"), 256).alias("_sha"),
-    )
-    same = F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha"))
-    return marked.join(kept, same, "left_semi").dropDuplicates(["_id", "_sha"]).select("_row.*")
+    kept = exact_groups(docs).where("kept").select("doc_id", F.col("text_sha256").alias("mark"))
+    return one_of_each(docs, kept, F.sha2(normalised(F.col("text")).cast("binary"), 256))

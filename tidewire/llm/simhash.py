@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import cut_lineage, quoted, self_contained
+from tidewire.llm.common import cut_lineage, one_of_each, self_contained
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
 # Members of a task, rows of a batch of tasks, and children of an index node.
@@ -245,8 +245,5 @@ def deduplicated(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     Groups are those of `near_groups` unless given. Of repeated rows one stays. In a group without any id, every text stays.
     """
     groups = near_groups(docs) if groups is None else groups
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_md5").alias("_kept_md5")).distinct()
-    rows = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"), digest("text").alias("_md5"))
-    same = F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_md5") == F.col("_kept_md5"))
-    return rows.join(kept, same, "left_semi").dropDuplicates(["_id", "_md5"]).select("_row.*")
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", F.col("text_md5").alias("mark"))
+    return one_of_each(docs, kept, digest("text"))
