@@ -10,8 +10,7 @@ A unigram model needs no more. In a BPE model, merges decide, not sums of scores
 is composed with one more machine, over pairs of neighbouring pieces: a pair is let through if
 merging the two strings together gives just that pair, so states are a position and the last
 piece. A path all of whose pairs pass is the merge result, and only one does, so the shortest
-path is the encoding of the library, exactly. Arcs are computed when first needed and remembered;
-one relaxation over states serves both kinds of model.
+path is the encoding of the library, exactly. Arcs are computed when first needed and remembered.
 
 No piece spans the start of a word or a character without longer pieces (checked when compiled), so
 a text is cut there and each unit's path is remembered: repeated words cost a look-up.
@@ -41,9 +40,10 @@ from tidewire.llm.common import named, self_contained
 
 BLANK = "▁"
 # Units remembered by a worker, in each of two halves; pairs likewise.
-CACHE = 300_000
+CACHE = 500_000
 # Weight of leaving by bytes; above that of any piece, so it is a last resort.
 _BYTE_COST, _FAR = 1e6, float("inf")
+_NONE: dict[int, bool] = {}
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 self_contained(__name__)
@@ -132,7 +132,8 @@ class Transducer:
         self.units = re.compile(f"{BLANK}*[{re.escape(joined)}]+|{BLANK}+|[^{BLANK}]", re.S)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.pairs: dict[int, bool] = {}
+        self.pairs: dict[int, dict[int, bool]] = {}
+        self.tested = 0
         # How merging makes each piece: its last two parts, and whether it does at all.
         self.halves: dict[int, tuple[int, int]] = {}
         self.made: dict[int, bool] = {}
@@ -163,16 +164,17 @@ class Transducer:
         merges are undone from the last one back, and a pair that meets at the border must not have a
         piece of its own that is better than (left of it: at least as good as) the merge undone.
         """
-        if len(self.pairs) > CACHE:
-            self.pairs.clear()
-        key = left << 32 | right
         a, b = self.text[left] if left >= 0 else "", self.text[right]
         if not b or (left >= 0 and not a):
             found = True
         else:
             self.split(right)
             found = self.made[right] and (not a or self.apart(left, right))
-        self.pairs[key] = found
+        self.tested += 1
+        if self.tested > CACHE:
+            self.pairs.clear()
+            self.tested = 0
+        self.pairs.setdefault(left, {})[right] = found
         return found
 
     def apart(self, a: int, b: int) -> bool:
@@ -195,36 +197,53 @@ class Transducer:
             if a < 0 or b < 0:
                 return True
 
-    def fallback(self, ch: str) -> tuple[int, ...]:
-        return tuple(self.bytes.get(b, self.unknown) for b in ch.encode("utf-8", "replace"))
+    def fallback(self, ch: str) -> tuple[tuple[int, ...], float]:
+        """What a character without a piece puts out, and the weight of that arc."""
+        return tuple(self.bytes.get(b, self.unknown) for b in ch.encode("utf-8", "replace")), _BYTE_COST
+
+    def arcs(self, unit: str, at: int) -> list[tuple[int, tuple[int, ...], float]]:
+        """(end, ids put out, weight) of the lexicon's arcs from a position, shortest first."""
+        found = [] if unit[at] in self.ids else [(at + 1, *self.fallback(unit[at]))]
+        state, end, n = self.trie, at, len(unit)
+        while end < n and (state := state.get(unit[end])) is not None:
+            end += 1
+            if "" in state:
+                found.append((end, *state[""]))
+        return found
 
     def shortest(self, unit: str) -> list[int]:
         """Piece ids on the tropical shortest path through the composed machines, for one unit.
 
-        Positions are settled from left to right. With the neighbour machine a state is a position
-        and the last piece; as the only accepted path to a position is the merge result of the text up
-        to there, each position has one such state at most, and arcs to a position that has its
-        state need no test. Of equal paths the first found stays.
+        `weight` and `back` hold the best path known to each position. Arcs are relaxed from left to
+        right, and of equal paths the first found stays. With the neighbour machine, the only
+        accepted path to a position is the merge result of the text up to there, so a position is
+        settled by the first arc that reaches it, in whatever order: then they are settled depth
+        first, longest arcs first, and the search ends with the last position.
         """
-        n, bpe, pairs, trie = len(unit), self.bpe, self.pairs, self.trie
+        n = len(unit)
         weight, last, back = [0.0] + [_FAR] * n, [-1] * (n + 1), [None] * (n + 1)
-        for at in range(n):
-            base = weight[at]
-            if base == _FAR:
-                continue
-            before, state, end = last[at], trie, at
-            arcs = [] if unit[at] in self.ids else [(at + 1, self.fallback(unit[at]), _BYTE_COST)]
-            while end < n and (state := state.get(unit[end])) is not None:
-                end += 1
-                if "" in state and not (bpe and back[end]):
-                    arcs.append((end, *state[""]))
-            for end, ids, cost in arcs:
-                if bpe:
-                    let = pairs.get(before << 32 | ids[0])
-                    if not (self.passes(before, ids[0]) if let is None else let):
-                        continue
-                if base + cost < weight[end]:
-                    weight[end], last[end], back[end] = base + cost, ids[-1], (at, ids)
+        if not self.bpe:
+            for at in range(n):
+                for end, ids, cost in self.arcs(unit, at) if weight[at] < _FAR else ():
+                    if weight[at] + cost < weight[end]:
+                        weight[end], back[end] = weight[at] + cost, (at, ids)
+        else:
+            open_, rows = [(0, self.arcs(unit, 0))], self.pairs
+            while back[n] is None:
+                at, arcs = open_[-1]
+                before = last[at]
+                row = rows.get(before, _NONE)
+                while arcs:
+                    end, ids, cost = arcs.pop()
+                    if back[end] is None:
+                        let = row.get(ids[0])
+                        if self.passes(before, ids[0]) if let is None else let:
+                            weight[end], last[end], back[end] = weight[at] + cost, ids[-1], (at, ids)
+                            if end < n:
+                                open_.append((end, self.arcs(unit, end)))
+                            break
+                else:
+                    open_.pop()
         path, at = [], n
         while at:
             at, ids = back[at]
