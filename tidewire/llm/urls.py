@@ -7,10 +7,12 @@ longest whose path fits.
 For the other pages a URL is a set of tokens (scheme, host labels, the host, path parts, query
 names and values, ending). Spark's FP-growth mines token sets of labelled URLs together with the
 label; sets found in MIN_ROWS labelled URLs or more, and nearly always with `block`, become rules.
-Tokens that always occur together count as one, and mining sees at most MAX_TOKENS of a URL, so a
-long spam template costs no more than a short one. Rules match by an inverted index from token to
-rule: a rule fires when all its tokens are found. Only distinct sets of rule tokens are matched,
-so a pattern shared by very many pages is judged once.
+Tokens that always occur together count as one, and a token that is blocked wherever it occurs is a
+rule that no longer one can better. FP-growth sees at most MAX_TOKENS of a URL, so a long spam
+template costs no more than a short one; sets of tokens of the URLs this cuts are found level by
+level, whatever their length (see `_within_long`), so no rule is lost. Rules match by an inverted
+index from token to rule: a rule fires when all its tokens are found. Only distinct sets of rule
+tokens are matched, so a pattern shared by very many pages is judged once.
 
 Nulls: a null URL, or one without `://`, has empty host and path, no tokens, and is allowed. Null
 labels do not train. No labels, or labels of one kind: no mined rules, all remaining pages are
@@ -34,7 +36,7 @@ RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow",
 BLOCK = "label=block"
 # A rule must cover this many labelled URLs, however many there are, and block this share of them.
 MIN_ROWS, MIN_CONFIDENCE = 20, 0.8
-# Tokens of a labelled URL that rules are mined from, those in front that are blocked most; no rule is longer.
+# Tokens of a labelled URL that FP-growth sees, those in front that are blocked most; others are searched level by level.
 MAX_TOKENS = 10
 # Explicit rules that are tested in place; more of them are joined by host suffix.
 INLINE_RULES = 100
@@ -69,41 +71,97 @@ def tokens(url: Column) -> Column:
     return F.when(h != "", F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
 
 
-def _transactions(rows: DataFrame, min_rows: int, max_tokens: int) -> DataFrame:
-    """(row, items): of each labelled URL its tokens fit for rules, at most `max_tokens`, and BLOCK if blocked.
+def _frequent(rows: DataFrame, min_rows: int, min_confidence: float) -> tuple[DataFrame, DataFrame]:
+    """(token, n, bad) of the tokens fit for rules, and (row, blocked, token, n, bad) of those fit for longer ones.
 
     Tokens found in exactly the same URLs stand for one another, so of each such class only one is
-    kept; without that a template of k tokens would have 2**k equal itemsets.
+    kept; without that a template of k tokens would have 2**k equal itemsets. A token blocked too
+    seldom is in no rule; one that is always blocked is a rule, and longer ones are no more confident.
     """
     each = rows.select("row", "blocked", F.explode("tokens").alias("token"))
     marks = [F.bit_xor(F.xxhash64("row", F.lit(i))).alias(f"x{i}") for i in range(2)]
-    found = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.count_if("blocked").alias("bad"), *marks).where(F.col("n") >= min_rows)
-    chosen = found.groupBy("n", "bad", "x0", "x1").agg(F.min("token").alias("token"))
+    found = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.count_if("blocked").alias("bad"), *marks)
+    found = found.where((F.col("n") >= min_rows) & (F.col("bad") >= _least_bad(min_rows, min_confidence)))
+    chosen = cut_lineage(found.groupBy("n", "bad", "x0", "x1").agg(F.min("token").alias("token")).select("token", "n", "bad"))
+    return chosen, cut_lineage(each.join(chosen.where("bad < n"), "token"))
+
+
+def _least_bad(min_rows: int, min_confidence: float) -> float:
+    """Blocked URLs that any rule covers; less a little, so that rounding loses none."""
+    return min_rows * min_confidence - 1e-6
+
+
+def _transactions(each: DataFrame, max_tokens: int) -> DataFrame:
+    """(row, items, cut): of each URL of `each` the tokens for FP-growth, at most `max_tokens`, and BLOCK
+    if blocked. Where `cut` is true it has more tokens, which are for `_within_long`."""
     order = [F.desc(F.col("bad") / F.col("n")), F.desc("n"), F.col("token")]
     nth = F.row_number().over(Window.partitionBy("row").orderBy(*order))
-    kept = each.join(chosen.select("token", "n", "bad"), "token").withColumn("nth", nth).where(F.col("nth") <= max_tokens)
+    kept = each.withColumn("nth", nth).where(F.col("nth") <= max_tokens + 1)
     label = F.when(F.first("blocked"), F.array(F.lit(BLOCK))).otherwise(F.array().cast("array<string>"))
-    return kept.groupBy("row").agg(F.concat(F.collect_list("token"), label).alias("items"))
+    items = F.collect_list(F.when(F.col("nth") <= max_tokens, F.col("token")))
+    return kept.groupBy("row").agg(F.concat(items, label).alias("items"), (F.max("nth") > max_tokens).alias("cut"))
+
+
+def _within_long(each: DataFrame, cut: DataFrame, fine: int, min_rows: int, min_confidence: float) -> DataFrame:
+    """(items): candidates for rules among the tokens of the URLs `cut`(row), counted in all URLs of `each`.
+
+    `fine` is the number of labelled URLs that are not blocked. Sets grow by a token a level, and a set
+    grows only while each of its tokens leaves out a URL that is not blocked and that the others let
+    in: without such a token the set covers as many of those, and at least as many blocked ones, so
+    the shorter set is at least as confident. Every part of a set that passes has passed, so no
+    rule is lost, and templates whose parts nearly always occur together end at once. URLs with the
+    same tokens are one row with their numbers.
+    """
+    seen = each.join(cut, "row", "left_semi").select("token").distinct()
+    rows = each.join(seen, "token").groupBy("row").agg(F.array_sort(F.collect_list("token")).alias("rest"), F.first("blocked").alias("blocked"))
+    rows = rows.groupBy("rest").agg(F.count(F.lit(1)).alias("n"), F.count_if("blocked").alias("bad"))
+    rows = cut_lineage(rows.select(F.array().cast("array<string>").alias("items"), "rest", "n", "bad"))
+    level = each.sparkSession.range(1).select(F.array().cast("array<string>").alias("part"), F.lit(fine).alias("fine"))
+    found = rows.select("items").limit(0)
+    while True:
+        grown = rows.select("items", "n", "bad", F.col("rest").alias("_rest"), F.posexplode("rest").alias("_at", "_token"))
+        grown = grown.select(
+            F.concat("items", F.array("_token")).alias("items"), F.slice("_rest", F.col("_at") + 2, F.size("_rest")).alias("rest"), "n", "bad"
+        )
+        counted = grown.groupBy("items").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+        counted = counted.where((F.col("n") >= min_rows) & (F.col("bad") >= _least_bad(min_rows, min_confidence)))
+        each_part = F.explode(F.transform("items", lambda _, i: F.filter("items", lambda _, j: j != i))).alias("part")
+        parts = counted.select("items", "n", "bad", each_part).join(level, "part").where("n - bad < fine")
+        sets = parts.groupBy("items", "n", "bad").agg(F.count(F.lit(1)).alias("parts")).where(F.col("parts") == F.size("items"))
+        sets = cut_lineage(sets.select("items", "n", "bad"))
+        if sets.isEmpty():
+            return found
+        found = found.unionByName(sets.where(F.col("bad") / F.col("n") >= min_confidence).select("items"))
+        # A set that covers blocked URLs only has nothing left to leave out.
+        open_ = sets.where("bad < n")
+        level = open_.select(F.col("items").alias("part"), (F.col("n") - F.col("bad")).alias("fine"))
+        rows = grown.where(F.size("rest") > 0).join(open_.select("items"), "items")
+        rows = cut_lineage(rows.groupBy("items", "rest").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
 
 
 def mined_rules(labelled: DataFrame, min_rows: int = MIN_ROWS, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """(rule_id, items, confidence, support) from rows (url, blocked boolean); support is a number of rows.
 
     A rule stays only if no shorter rule among its tokens is at least as confident. Figures of
-    the rules that FP-growth finds are counted again on whole URLs, for pruning.
+    the rules found are counted again on whole URLs, for pruning. `max_tokens` changes how rules are
+    found, not which.
     """
     spark = labelled.sparkSession
     empty = spark.createDataFrame([], "rule_id long, items array<string>, confidence double, support long")
     rows = labelled.where("blocked IS NOT NULL").select(F.monotonically_increasing_id().alias("row"), "blocked", tokens(F.col("url")).alias("tokens"))
     rows = cut_lineage(rows)
-    baskets = cut_lineage(_transactions(rows, min_rows, max_tokens))
+    single, each = _frequent(rows, min_rows, min_confidence)
+    found = single.where(F.col("bad") / F.col("n") >= min_confidence).select(F.array("token").alias("items"))
+    baskets = cut_lineage(_transactions(each, max_tokens))
     total = baskets.count()
-    if total < min_rows:
-        return empty
-    # Half a row below the bound, so that rounding of the share cannot lift it.
-    model = FPGrowth(itemsCol="items", minSupport=(min_rows - 0.5) / total, minConfidence=min_confidence).fit(baskets)
-    found = model.associationRules.where(F.col("consequent") == F.array(F.lit(BLOCK))).select(F.array_sort("antecedent").alias("items"))
-    found = cut_lineage(found.withColumn("rule_id", F.xxhash64("items")))
+    if total >= min_rows:
+        # Half a row below the bound, so that rounding of the share cannot lift it.
+        model = FPGrowth(itemsCol="items", minSupport=(min_rows - 0.5) / total, minConfidence=min_confidence).fit(baskets)
+        found = found.unionByName(model.associationRules.where(F.col("consequent") == F.array(F.lit(BLOCK))).select(F.array_sort("antecedent").alias("items")))
+        cut = baskets.where("cut").select("row")
+        if not cut.isEmpty():
+            found = found.unionByName(_within_long(each, cut, rows.where("NOT blocked").count(), min_rows, min_confidence))
+    found = cut_lineage(found.distinct().withColumn("rule_id", F.xxhash64("items")))
     if found.isEmpty():
         return empty
     index = found.select("rule_id", F.size("items").alias("n"), F.explode("items").alias("token"))
