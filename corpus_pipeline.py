@@ -28,9 +28,11 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near copies share 0.8 or more of their five-word shingles; op6_simhash keeps its own contract."""
+    """Near copies are linked by op6's method, SimHash in a Gray-order hierarchical index, or share 0.8 or
+    more of their five-word shingles, of which SimHash alone loses most; groups are components of both."""
     prepare(spark)
-    return simhash.deduplicated(docs, jaccard.near_groups(docs))
+    alike = simhash.near_groups(docs).select("text_md5", "root")
+    return simhash.deduplicated(docs, jaccard.near_groups(docs, alike))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +48,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", reject_toxic),
     ("exact_dedup", drop_exact_copies),
-    # Texts with five-word Jaccard of 0.8 or more: MinHash bands, then the exact similarity; not op6's four words and four bits.
+    # op6's SimHash groups, joined with pairs of five-word Jaccard 0.8 or more (MinHash bands, then the exact similarity).
     ("near_dedup", drop_near_copies),
     ("mix", mix_sources),
     ("sentencepiece", encode),

@@ -136,6 +136,20 @@ def test_near_copies_by_jaccard_brute_force(spark, monkeypatch):
         assert kept == sorted(set(alike.label.tolist()))
 
 
+def test_near_copies_of_the_pipeline_by_simhash_as_well(spark):
+    """Texts that SimHash links are one group, though they share too few five-word shingles, as is what either has in common with others."""
+    line = " ".join(f"common{i}" for i in range(41))
+    far = [(i, f"{line} " * 30 + " ".join(f"own{i}x{k}" for k in range(20))) for i in (7, 8)]
+    words = [f"v{k}" for k in range(120)]
+    near = [(9, far[0][1] + " end"), (3, " ".join(words)), (4, " ".join([*words, "end"])), (None, "no id"), (5, "alone")]
+    rows = spark.createDataFrame([*far, *near], "doc_id long, text string")
+    sets = [set(jaccard.shingles(t).tolist()) for _, t in far]
+    assert 5 * len(sets[0] & sets[1]) < 4 * len(sets[0] | sets[1])
+    assert (simhash.fingerprint(far[0][1]) ^ simhash.fingerprint(far[1][1])).bit_count() <= simhash.RADIUS
+    kept = sorted((r.doc_id or -1) for r in corpus_pipeline.drop_near_copies(spark, rows, SF).collect())
+    assert kept == [-1, 3, 5, 7]
+
+
 def test_index_search_is_exact():
     rng = np.random.default_rng(1)
     values = rng.integers(0, 2**63, 30, dtype=np.uint64)

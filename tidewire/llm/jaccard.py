@@ -223,11 +223,19 @@ def links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     return found.unionByName(stars).unionByName(_verified(docs, distinct, _mixed_tasks(rest, labels)))
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_md5, key, component_id): component_id is the smallest doc_id of the group."""
+def near_groups(docs: DataFrame, alike: DataFrame | None = None) -> DataFrame:
+    """(doc_id, text_md5, key, component_id, root): component_id is the smallest doc_id of the group, root names it.
+
+    `alike`(text_md5, root) are groups of texts that another method found; each is linked as a whole.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, text_md5 string, key binary, size long, bands array<long>"
     marks = cut_lineage(docs.select("doc_id", "text", digest("text")).mapInArrow(_marks, schema))
     sets = marks.groupBy("key").agg(F.min("doc_id").alias("first"), F.min("text_md5").alias("text_md5"), F.first("size").alias("size"), F.first("bands").alias("bands"))
     sets = cut_lineage(sets)
-    return grouped(marks, sets.select("key", "first"), links(docs, sets), "key")
+    found = links(docs, sets)
+    if alike is not None:
+        keyed = marks.select("text_md5", "key").distinct().join(alike.distinct(), "text_md5").select("key", "root").distinct()
+        least = keyed.groupBy("root").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        found = found.unionByName(keyed.join(least, "root").select("key", F.col("least").alias("root")))
+    return grouped(marks, sets.select("key", "first"), found, "key")

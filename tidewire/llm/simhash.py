@@ -223,20 +223,20 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_md5, fp, component_id): component_id is the smallest doc_id the fingerprint is linked to."""
+    """(doc_id, text_md5, fp, component_id, root): component_id is the smallest doc_id the fingerprint is linked to, root names the group."""
     marks = cut_lineage(fingerprints(docs))
     distinct = cut_lineage(marks.groupBy("fp").agg(F.min("doc_id").alias("first")))
     return grouped(marks, distinct, links(distinct.select("fp")), "fp")
 
 
 def grouped(marks: DataFrame, distinct: DataFrame, linked: DataFrame, by: str) -> DataFrame:
-    """`marks`(doc_id, text_md5, `by`) with the component_id of `by`, from links (`by`, root) among `distinct`(`by`, first)."""
+    """`marks`(doc_id, text_md5, `by`) with the component_id and the root of `by`, from links (`by`, root) among `distinct`(`by`, first)."""
     found = components(linked.select(F.col(by).alias("a"), F.col("root").alias("b")))
     rooted = distinct.join(found.select(F.col("node").alias(by), "root"), by, "left").select(by, "first", F.coalesce("root", by).alias("root"))
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(names, "root").select(by, "component_id")
+    named = rooted.join(names, "root").select(by, "component_id", "root")
     # The documents stand on the left, so a value with very many of them can be split.
-    return marks.join(named, by).select("doc_id", "text_md5", by, "component_id")
+    return marks.join(named, by).select("doc_id", "text_md5", by, "component_id", "root")
 
 
 def deduplicated(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
