@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tidewire.operators.frontier import FreshnessPolicy
 from tidewire.sources.tables import LogTable
 from tidewire.streaming import jobs
+from tidewire.workload import streams
+from tidewire.workload.registry import Tables
 
 AUTHOR = "source string, source_entity_id string, display_name string, seq int"
 TASK = "url string, kind string, source string, seed_name string, priority int, metadata map<string,string>, seq long"
@@ -94,3 +96,24 @@ def test_stream_sees_claims_of_batch_jobs(spark, tmp_path):
         policy=FreshnessPolicy(post_recrawl=60),
     ).awaitTermination()
     assert [r.url for r in spark.read.parquet(f"{home}/claims").collect()] == ["b"]
+
+
+def test_activity_rows_are_dealt_before_they_are_counted_per_window(spark, tmp_path, monkeypatch):
+    """Each row is in twelve windows; a task holds its part of the rows only, however few files there are."""
+    path = str(tmp_path / "src")
+    spark.range(1000).select(F.timestamp_seconds(F.col("id") * 60).alias("ts"), (F.col("id") % 7).alias("url")).coalesce(1).write.parquet(path)
+    counted = jobs.rolling_activity(spark.readStream.schema("ts timestamp, url long").parquet(path), "ts", "url")
+    plan = counted._jdf.queryExecution().analyzed().toString()
+    assert 0 < plan.index("Expand") < plan.index("RepartitionByExpression [ts")
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(streams, "STATE_ROWS", 30)
+    with streams._state_partitions(Tables(spark, ""), spark.range(1000)):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "34"
+        job = counted.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp"))
+        job = job.trigger(availableNow=True).start()
+        job.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == usual
+    assert {s.numShufflePartitions for p in job.recentProgress for s in p.stateOperators} == {34}
+    got = {r.window_end.timestamp(): r.recent_urls for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    want = {e: len({i % 7 for i in range(1000) if e - 3600 <= 60 * i < e}) for e in range(300, 59941 - 600, 300)}
+    assert got == want

@@ -24,6 +24,8 @@ from tidewire.sources import forum
 from tidewire.sources.tables import LogTable
 
 POLL_SECONDS = 300
+# Rows that a task holds to drop repeats of a key among them before a shuffle.
+REDUCED_ROWS = 10_000
 
 # Shipped by value, so workers need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -165,15 +167,24 @@ def seed_item_stream(
 
 
 def _ends_by_key(keys: Sequence[str], time: str):
-    """Of each Arrow batch the earliest and the latest row per key."""
+    """Of each REDUCED_ROWS rows or more, whatever the size of Arrow batches, the earliest and the latest row per key."""
+
+    def ends(batches: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches).sort_by(time)
+        numbered = rows.select(list(dict.fromkeys(keys))).append_column("_row", pa.array(range(rows.num_rows), pa.int64()))
+        ends = numbered.group_by(list(dict.fromkeys(keys)), use_threads=False).aggregate([("_row", "min"), ("_row", "max")])
+        kept = sorted({*ends["_row_min"].to_pylist(), *ends["_row_max"].to_pylist()})
+        return rows.take(pa.array(kept, pa.int64())).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            rows = pa.Table.from_batches([batch]).sort_by(time)
-            numbered = rows.select(list(dict.fromkeys(keys))).append_column("_row", pa.array(range(rows.num_rows), pa.int64()))
-            ends = numbered.group_by(list(dict.fromkeys(keys)), use_threads=False).aggregate([("_row", "min"), ("_row", "max")])
-            kept = sorted({*ends["_row_min"].to_pylist(), *ends["_row_max"].to_pylist()})
-            yield from rows.take(pa.array(kept, pa.int64())).to_batches()
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= REDUCED_ROWS:
+                yield from ends(held)
+                held = []
+        if held:
+            yield from ends(held)
 
     return run
 
@@ -182,7 +193,7 @@ def without_repeats(stream: DataFrame, time: str, keys: Sequence[str], delay: st
     """One row per key within the delay; repeats are dropped, and rows behind the watermark.
 
     All rows of a key meet in one state task, so repeats are dropped before the shuffle as well,
-    batch by batch in each task: of a key that fills a third of the stream, two rows of some ten
+    some rows at a time in each task: of a key that fills a third of the stream, two rows of some ten
     thousand get there, the latest because the earliest may be behind the watermark.
     """
     reduced = stream.mapInArrow(_ends_by_key(keys, time), stream.schema)
@@ -196,7 +207,10 @@ def rolling_activity(
 
     A URL's last fetch lies within the hour before the window's end exactly when some fetch of
     it lies in the window, so this equals the batch activity count at each window end.
+
+    A fetch is in many windows, and a task counts all of its rows in memory before they are shuffled;
+    so rows are first dealt evenly to as many tasks as there are state partitions.
     """
-    per_url = stream.withWatermark(time, delay).groupBy(F.window(time, size, slide), url).agg(F.count("*").alias("_n"))
+    per_url = stream.repartition(F.col(time), F.col(url)).withWatermark(time, delay).groupBy(F.window(time, size, slide), url).agg(F.count("*").alias("_n"))
     counted = per_url.groupBy("window").agg(F.count("*").cast("bigint").alias("recent_urls"))
     return counted.select(F.col("window.end").alias("window_end"), "recent_urls")

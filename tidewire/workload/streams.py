@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,10 @@ from tidewire.workload.parsing import article_pages
 from tidewire.workload.registry import Tables, query
 
 
+# Rows of a stream's whole input for each state partition; the activity count holds each in twelve windows.
+STATE_ROWS = 200_000
+
+
 def _in_three(t: Tables, home: str, rows: DataFrame, part: Column, start: Callable[[DataFrame], StreamingQuery]) -> None:
     """Feed rows to a stream in three arrivals; the job is started anew for each and runs to the end of it."""
     source = rows.withColumn("_part", part)
@@ -27,6 +32,20 @@ def _in_three(t: Tables, home: str, rows: DataFrame, part: Column, start: Callab
         start(t.spark.readStream.schema(schema).parquet(f"{home}/source")).awaitTermination()
 
 
+@contextmanager
+def _state_partitions(t: Tables, rows: DataFrame) -> Iterator[None]:
+    """Streams started within have a state partition for every STATE_ROWS of `rows`, and no fewer than usual.
+
+    Their number is fixed by a stream's first start, so it is chosen from all that will arrive."""
+    key = "spark.sql.shuffle.partitions"
+    usual = t.spark.conf.get(key)
+    t.spark.conf.set(key, str(max(int(usual), -(-rows.count() // STATE_ROWS))))
+    try:
+        yield
+    finally:
+        t.spark.conf.set(key, usual)
+
+
 def _thirds(column: str) -> Column:
     return F.pmod(F.col(column), F.lit(3))
 
@@ -153,7 +172,8 @@ def stream_activity(t: Tables) -> DataFrame:
         job = jobs.rolling_activity(stream, "ts", "user_id").writeStream.format("parquet").option("path", f"{home}/out")
         return job.option("checkpointLocation", f"{home}/checkpoint").outputMode("append").trigger(availableNow=True).start()
 
-    _in_three(t, home, rows, F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)), start)
+    with _state_partitions(t, rows):
+        _in_three(t, home, rows, F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)), start)
     return t.spark.read.schema("window_end timestamp, recent_urls bigint").parquet(f"{home}/out")
 
 
