@@ -40,7 +40,7 @@ from tidewire.llm.common import named, self_contained
 
 BLANK = "▁"
 # Units remembered by a worker, in each of two halves; pairs likewise.
-CACHE = 500_000
+CACHE = 200_000
 # Weight of leaving by bytes; above that of any piece, so it is a last resort.
 _BYTE_COST, _FAR = 1e6, float("inf")
 _NONE: dict[int, bool] = {}

@@ -35,7 +35,7 @@ WINDOW = 24
 MAX_PER_CLASS, MAX_CHARS = 1500, 20_000
 STEPS, RATE, DECAY, MIN_TEXTS = 150, 2.0, 0.002, 5
 # Words remembered by a worker, in each of two halves.
-CACHE = 300_000
+CACHE = 100_000
 _STRIP = ".,;:!?\"'()[]{}<>*_~`-%&$#@/\\|=+…“”‘’«»¡¿"
 
 self_contained(__name__)
