@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -205,3 +206,22 @@ def test_registered_queries_agree_with_the_library_functions(spark):
     for name in ("op1_mix", "op6_simhash", "op10_sentencepiece"):
         assert {r.doc_id for r in QUERIES[name](spark, SF).collect()} == ids
     assert packing.capacities(1500).tolist() == [1024, 256, 128, 64, 16, 8, 4]
+
+
+def test_training_memory_is_a_few_bytes_an_ngram(monkeypatch):
+    """The driver trains: nothing but a number by n-gram may be held for all words at once; chunks do not change the model."""
+    monkeypatch.setattr(toxicity, "STEPS", 3)
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    texts = [" ".join("".join(w) for w in letters[rng.integers(0, 26, (200, 9))]) + (" vile" if i % 2 else "") for i in range(300)]
+    labels = [i % 2 for i in range(300)]
+    ngrams = len(toxicity.subwords([w for w in dict.fromkeys(w for t in texts for w in t.split())])[0])
+    tracemalloc.start()
+    scores, bias = toxicity.train(texts, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ngrams > 1_000_000 and peak < 35 * ngrams
+    monkeypatch.setattr(toxicity, "CHUNK", 700)
+    monkeypatch.setattr(toxicity, "WORDS_AT_ONCE", 90)
+    again = toxicity.train(texts, labels)
+    assert again[1] == bias and np.array_equal(again[0], scores)

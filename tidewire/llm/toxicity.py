@@ -11,7 +11,8 @@ As the softmax is linear, a trained bucket is one number (its vector against the
 scoring adds numbers per word, remembered for words seen before.
 
 Training takes at most MAX_PER_CLASS labelled texts a class, none above MAX_CHARS characters, the
-first by a hash of the id: a bounded sample, with a fixed number of steps.
+first by a hash of the id: a bounded sample, with a fixed number of steps. It runs in the driver, which
+holds four bytes for each n-gram of each distinct word; all else by n-gram is made for CHUNK of them at a time.
 
 Nulls: a null or empty text has no window and gets the score of a window without evidence. Null
 labels do not train. With labels of fewer than two kinds every score is 0. Repeated rows are
@@ -34,6 +35,8 @@ NGRAMS, BUCKETS, DIM = (3, 4, 5), 1 << 18, 6
 WINDOW = 24
 MAX_PER_CLASS, MAX_CHARS = 1500, 20_000
 STEPS, RATE, DECAY, MIN_TEXTS = 150, 2.0, 0.002, 5
+# N-grams that training looks at together, and words whose n-grams are hashed together.
+CHUNK, WORDS_AT_ONCE = 100_000, 5_000
 # Words remembered by a worker, in each of two halves.
 CACHE = 100_000
 _STRIP = ".,;:!?\"'()[]{}<>*_~`-%&$#@/\\|=+…“”‘’«»¡¿"
@@ -77,10 +80,27 @@ def word_means(values: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> np.nd
     return (total[end] - total[end - counts]) / np.maximum(counts, 1).reshape(-1, *[1] * (values.ndim - 1))
 
 
-def _grams_by_text(docs: list[np.ndarray], ids: np.ndarray, counts: np.ndarray) -> Iterator[list[np.ndarray]]:
+def _vocabulary_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """As `subwords`, with bucket numbers of four bytes."""
+    ids, counts = [], []
+    for at in range(0, len(words), WORDS_AT_ONCE):
+        part, sizes = subwords(words[at:at + WORDS_AT_ONCE])
+        ids.append(part.astype(np.int32))
+        counts.append(sizes)
+    return np.concatenate(ids), np.concatenate(counts)
+
+
+def _chunks(counts: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """Runs of words with some CHUNK n-grams: first word, end, first n-gram, end."""
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    cuts = np.unique(np.append(np.searchsorted(ends, np.arange(0, ends[-1], CHUNK)), len(counts)))
+    return [(a, b, ends[a], ends[b]) for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+
+
+def _grams_by_text(docs: list[np.ndarray], ids: np.ndarray, counts: np.ndarray) -> Iterator[np.ndarray]:
     ends = np.cumsum(counts)
     for doc in docs:
-        yield [ids[ends[w] - counts[w]:ends[w]] for w in np.unique(doc)]
+        yield np.concatenate([ids[ends[w] - counts[w]:ends[w]] for w in np.unique(doc)])
 
 
 def train(texts: list[str], labels: list[int], seed: int = 7) -> tuple[np.ndarray, float] | None:
@@ -94,16 +114,24 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> tuple[np.ndarra
     docs, y = [docs[i] for i in kept], np.array([labels[i] for i in kept], dtype=np.float64)
     if len(set(y)) < 2:
         return None
-    ids, counts = subwords(list(vocabulary))
-    owner = np.repeat(np.arange(len(counts)), counts)
+    ids, counts = _vocabulary_grams(list(vocabulary))
+    n_words = len(vocabulary)
+    del vocabulary
     # Buckets seen in few texts only teach those texts by heart; they stay at zero.
-    texts_with = np.bincount(np.concatenate([np.unique(np.concatenate(part)) for part in _grams_by_text(docs, ids, counts)]), minlength=BUCKETS)
-    shared = texts_with[ids] >= MIN_TEXTS
-    used, grams = np.unique(ids[shared], return_inverse=True)
+    texts_with = np.zeros(BUCKETS, dtype=np.int64)
+    for part in _grams_by_text(docs, ids, counts):
+        texts_with[np.unique(part)] += 1
+    used = np.flatnonzero(texts_with >= MIN_TEXTS)
     if not len(used):
         return None
-    owner = owner[shared]
-    weight_in_word = (1 / counts[owner]).astype(np.float32)
+    number = np.full(BUCKETS, -1, dtype=np.int32)
+    number[used] = np.arange(len(used))
+    grams = number[ids]
+    del ids
+    per_word = np.concatenate([np.bincount(np.repeat(np.arange(b - a), counts[a:b])[grams[at:end] >= 0], minlength=b - a) for a, b, at, end in _chunks(counts)])
+    grams = grams[grams >= 0]
+    weight_in_word = (1 / np.maximum(counts, 1)).astype(np.float32)
+    chunks = _chunks(per_word)
     words = np.concatenate(docs)
     sizes = np.array([len(d) for d in docs])
     per_doc = -(-sizes // WINDOW)
@@ -111,8 +139,11 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> tuple[np.ndarra
     first = np.repeat(np.cumsum(sizes) - sizes, per_doc) + WINDOW * (np.arange(len(doc_of)) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc))
     window_of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(words))))
     # A window is a set of words: repeats count once.
-    pairs = np.unique(window_of * len(vocabulary) + words)
-    window_of, words = pairs // len(vocabulary), pairs % len(vocabulary)
+    pairs = window_of * n_words + words
+    pairs.sort()
+    pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])]
+    window_of, words = np.divmod(pairs, n_words)
+    del pairs
     doc_start = np.cumsum(per_doc) - per_doc
     share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
 
@@ -122,7 +153,19 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> tuple[np.ndarra
     scale = [0.0, 0.0, 0.0]
 
     def means(per_bucket: np.ndarray) -> np.ndarray:
-        return np.bincount(owner, weights=per_bucket[grams] * weight_in_word, minlength=len(counts))
+        out = np.empty(n_words)
+        for a, b, at, end in chunks:
+            own = np.repeat(np.arange(b - a), per_word[a:b])
+            out[a:b] = np.bincount(own, weights=per_bucket[grams[at:end]] * weight_in_word[a:b][own], minlength=b - a)
+        return out
+
+    def by_bucket(per_word_error: np.ndarray) -> np.ndarray:
+        """One n-gram after the other, so that sums do not depend on CHUNK."""
+        out = np.zeros(len(used))
+        share_of_gram = per_word_error * weight_in_word
+        for a, b, at, end in chunks:
+            np.add.at(out, grams[at:end], np.repeat(share_of_gram[a:b], per_word[a:b]))
+        return out.astype(np.float32)
 
     def forward() -> np.ndarray:
         return np.bincount(window_of, weights=means(E @ W)[words], minlength=len(first)) / WINDOW + bias
@@ -136,8 +179,8 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> tuple[np.ndarra
         doc_odds = np.add.reduceat(weight * odds, doc_start)
         error = (1 / (1 + np.exp(-np.clip(doc_odds, -30, 30))) - y) * share
         d_window = error[doc_of] * weight / WINDOW
-        d_word = np.bincount(words, weights=d_window[window_of], minlength=len(counts))
-        d_bucket = np.bincount(grams, weights=d_word[owner] * weight_in_word, minlength=len(used)).astype(np.float32)
+        d_word = np.bincount(words, weights=d_window[window_of], minlength=n_words)
+        d_bucket = by_bucket(d_word)
         gradients = [d_bucket[:, None] * W, E.T @ d_bucket, error.sum()]
         # One step size per parameter block, so that buckets move as far as their evidence goes.
         for i, g in enumerate(gradients):
