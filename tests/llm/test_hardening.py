@@ -225,3 +225,24 @@ def test_training_memory_is_a_few_bytes_an_ngram(monkeypatch):
     monkeypatch.setattr(toxicity, "WORDS_AT_ONCE", 90)
     again = toxicity.train(texts, labels)
     assert again[1] == bias and np.array_equal(again[0], scores)
+
+
+@pytest.mark.parametrize("per_task", [100_000, 7])
+def test_components_use_no_more_tasks_than_their_edges_need(spark, monkeypatch, per_task):
+    """A chain, a star and a pair, dealt over far more partitions than cores."""
+    edges = [(i, i + 1) for i in range(100, 130)] + [(500, i) for i in range(200, 220)] + [(900, 901), (901, 900), (7, 7)]
+    tasks, cut = [], simhash.cut_lineage
+    monkeypatch.setattr(simhash, "cut_lineage", lambda rows: tasks.append(rows.rdd.getNumPartitions()) or cut(rows))
+    monkeypatch.setattr(simhash, "EDGES_PER_TASK", per_task, raising=False)
+    held = {"spark.sql.shuffle.partitions": "48", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in held}
+    try:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+        found = simhash.components(spark.createDataFrame(edges, "a long, b long").repartition(48)).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    expected = {i: 100 for i in range(101, 131)} | {i: 200 for i in [*range(201, 220), 500]} | {901: 900}
+    assert sorted((r.node, r.root) for r in found) == sorted(expected.items())
+    assert len(tasks) > 2 and max(tasks[1:]) <= max(spark.sparkContext.defaultParallelism, -(-52 // per_task))

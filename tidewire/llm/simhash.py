@@ -34,6 +34,8 @@ from tidewire.llm.common import cut_lineage, one_of_each, self_contained
 SHINGLE, SEED, RADIUS = 4, 42, 4
 # Members of a task, rows of a batch of tasks, and children of an index node.
 NODE_ROWS, BATCH_ROWS, FAN = 8192, 8192, 16
+# Edges that a task reads or writes, about, while components are joined.
+EDGES_PER_TASK = 100_000
 
 self_contained(__name__)
 
@@ -203,7 +205,9 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of `edges`(a, b): root is the smallest node it is connected to.
 
     Alternates large-star and small-star until nothing moves. Minima are combined before the
-    shuffle, and the edge side of each join may be split where a node has very many edges.
+    shuffle, and the edge side of each join may be split where a node has very many edges. Rounds add
+    no edges, so their count tells how many tasks are enough; each task more leaves files and log entries
+    in every stage of every round.
     """
     pair = F.when(F.col("a") > F.col("b"), F.struct("a", "b")).otherwise(F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = cut_lineage(edges.where("a <> b").select(pair.alias("p")).select("p.a", "p.b").distinct())
@@ -213,13 +217,14 @@ def components(edges: DataFrame) -> DataFrame:
         if tuple(state) == last:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         last = tuple(state)
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        tasks = max(edges.sparkSession.sparkContext.defaultParallelism, -(-last[0] // EDGES_PER_TASK))
+        both = edges.coalesce(tasks).select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").coalesce(tasks).distinct().coalesce(tasks)
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = moved.unionByName(lowest.select("a", F.col("m").alias("b")))
-        edges = cut_lineage(small.where("a <> b").distinct())
+        edges = cut_lineage(small.where("a <> b").coalesce(tasks).distinct().coalesce(tasks))
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
